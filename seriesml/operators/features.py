@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from seriesml.functions.columns import correlation, is_numeric
 from seriesml.functions.rolling import FEATURES, SERIES_FEATURES, rolling_mean, slope
-from seriesml.operators.ordering import SeriesLayout, over_series, series_stats
+from seriesml.operators.ordering import SeriesLayout, dense_index, over_series, series_stats
 from seriesml.operators.peaks import peak_frequency
+from seriesml.session import materialise
 
 # Default rolling length, rolling length of the peak frequency, and the reported share of missing values.
 ROLLING_LENGTH = 10
@@ -72,20 +73,24 @@ def engineer(df: DataFrame, layout: SeriesLayout, features: Mapping[str, Sequenc
         return int(lengths.get(FEATURES[name].length, ROLLING_LENGTH)) if FEATURES[name].length else 1
 
     windowed = [(name, c) for name, cols in features.items() if name in FEATURES for c in cols]
-    out = df
+    out, index = df, None
+    if layout.sliced:
+        # Indexed and written once; every feature below starts from this table.
+        out, index = materialise(dense_index(df, layout), "indexed"), "_i"
+    rows = out
     if windowed:
         back = max(max(FEATURES[name].back, length(name) - 1) for name, _ in windowed)
         ahead = max(FEATURES[name].ahead for name, _ in windowed)
         out = over_series(
             out, layout,
             lambda w: [FEATURES[n].build(F.col(c), w, length(n)).alias(f"{c}_{n}") for n, c in windowed],
-            back, ahead)
+            back, ahead, index)
     spread = {f"{c}_variance": F.var_pop(c) for c in features.get("variance", ())}
     if spread:
         out = series_stats(out, layout, spread)
     for c in features.get("peak_frequency", ()):
-        out = peak_frequency(out, layout, c, f"{c}_peak_frequency", peak_mean_length)
-    return out
+        out = peak_frequency(out, layout, c, f"{c}_peak_frequency", peak_mean_length, rows=rows)
+    return out.drop("_i") if index else out
 
 
 def engineer_all(df: DataFrame, layout: SeriesLayout, cols: Sequence[str], lengths: Mapping[str, int] | None = None,

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesml.session import materialise
+
 ROWS_PER_TASK = 5_000_000
 ROWS_PER_TASK_CONF = "spark.seriesml.rowsPerTask"
 INLINE_HOT_SERIES = 1000
@@ -90,13 +92,6 @@ def _splits(df: DataFrame, name: str, rows: int, limit: int) -> tuple[float, ...
     return tuple(sorted(set(cuts or ()))) or (0.0,)
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
-
-
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Null-safe equi join that keeps the left key columns; the side to broadcast is left to runtime statistics."""
     renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
@@ -153,28 +148,31 @@ def dense_index(df: DataFrame, layout: SeriesLayout, out: str = "_i", total: str
 
 
 def over_series(
-    df: DataFrame, layout: SeriesLayout, build: Callable[[WindowSpec], list[Column]], before: int = 0, after: int = 0
+    df: DataFrame, layout: SeriesLayout, build: Callable[[WindowSpec], list[Column]], before: int = 0, after: int = 0,
+    index: str | None = None
 ) -> DataFrame:
     """Add the columns `build(w)`, where `w` is the ordered window of a series.
 
     Each column may look at most `before` rows back and `after` rows ahead. Long series are cut into blocks that
-    carry a copy of the neighbouring rows, so results equal those of one window over the series.
+    carry a copy of the neighbouring rows, so results equal those of one window over the series. `index` names a
+    dense position that is already in the table.
     """
     if not layout.sliced:
         w = Window.partitionBy(*layout.series).orderBy(*layout.order)
         return df.select("*", *build(w))
     size = max(layout.rows_per_task, before, after, 1)
-    indexed = dense_index(df, layout, "_i")
-    own, at = F.floor(F.col("_i") / size), F.col("_i") % size
+    indexed = df if index else dense_index(df, layout, "_i")
+    at_row = index or "_i"
+    own, at = F.floor(F.col(at_row) / size), F.col(at_row) % size
     copies = F.array_compact(F.array(
         own,
         F.when(at >= size - before, own + 1) if before else F.lit(None).cast("long"),
         F.when((at < after) & (own > 0), own - 1) if after else F.lit(None).cast("long"),
     ))
     spread = indexed.withColumn("_own", own).withColumn("_block", F.explode(copies))
-    w = Window.partitionBy(*layout.series, "_block").orderBy("_i")
-    return (spread.select("*", *build(w)).filter(F.col("_own") == F.col("_block"))
-            .drop("_i", "_own", "_block"))
+    w = Window.partitionBy(*layout.series, "_block").orderBy(at_row)
+    made = spread.select("*", *build(w)).filter(F.col("_own") == F.col("_block")).drop("_own", "_block")
+    return made if index else made.drop("_i")
 
 
 def series_stats(df: DataFrame, layout: SeriesLayout, aggs: dict[str, Column]) -> DataFrame:
@@ -217,14 +215,25 @@ def neighbours(df: DataFrame, layout: SeriesLayout, index: str, cols: Sequence[s
             .drop("_lag", "_lead", "_block"))
 
 
-def carry_forward(df: DataFrame, layout: SeriesLayout, index: str, col: str, out: str) -> DataFrame:
-    """Add the last non-NULL value of `col` at or before each row in index order."""
+def settled(df: DataFrame, layout: SeriesLayout, name: str) -> DataFrame:
+    """Long series are read several times by the next steps, so their table is written once."""
+    return materialise(df, name) if layout.sliced else df
+
+
+def carry_forward(df: DataFrame, layout: SeriesLayout, index: str, col: str, out: str,
+                  source: DataFrame | None = None) -> DataFrame:
+    """Add the last non-NULL value of `col` at or before each row in index order.
+
+    `source` may be a cheaper table with the same series, index and `col`, to find the value each block starts with.
+    """
     keys = [*layout.series, "_block"]
     blocked = df.withColumn("_block", block_of(layout, index))
     w = Window.partitionBy(*keys).orderBy(index).rowsBetween(Window.unboundedPreceding, 0)
     held = blocked.withColumn(out, F.last(col, ignorenulls=True).over(w))
     if not layout.sliced:
         return held.drop("_block")
+    if source is not None:
+        blocked = source.withColumn("_block", block_of(layout, index))
     ends = blocked.groupBy(*keys).agg(F.max_by(col, F.when(F.col(col).isNotNull(), F.col(index))).alias("_end"))
     we = Window.partitionBy(*layout.series).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.select(*keys, F.last("_end", ignorenulls=True).over(we).alias("_held"))

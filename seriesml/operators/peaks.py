@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from seriesml.functions.rolling import PEAK_SCALE, rolling_mean
 from seriesml.operators.ordering import (
-    SeriesLayout, carry_forward, dense_index, join_on, neighbours, over_series)
+    SeriesLayout, carry_forward, dense_index, join_on, neighbours, over_series, settled)
 from seriesml.session import materialise
 
 PEAK_DISTANCE = 5
@@ -29,7 +29,7 @@ def peak_candidates(indexed: DataFrame, layout: SeriesLayout, col: str, index: s
     rows = indexed.select(*layout.series, F.col(index).alias("_at"), F.col(col).alias("height"))
     rows = neighbours(rows, layout, "_at", ["height"])
     starts = rows.filter(F.col("_prev").isNull() | ~F.col("_prev.height").eqNullSafe(F.col("height")))
-    starts = starts.select(*layout.series, "_at", "height")
+    starts = settled(starts.select(*layout.series, "_at", "height"), layout, "runs")
     runs = neighbours(starts, layout, "_at", ["_at", "height"])
     return (runs.filter((F.col("_prev.height") < F.col("height")) & (F.col("_next.height") < F.col("height")))
             .select(*layout.series,
@@ -109,10 +109,12 @@ def suppress_close(candidates: DataFrame, layout: SeriesLayout, distance: int =
                    small: int = SMALL_CLUSTER, block: int = OPEN_BLOCK) -> DataFrame:
     """Positions of the candidates that survive the minimum distance."""
     series = list(layout.series)
-    near = neighbours(candidates, layout, "pos", ["pos"])
+    near = neighbours(settled(candidates, layout, "candidates"), layout, "pos", ["pos"])
     near = near.withColumn(
         "_start", F.when(F.col("_prev").isNull() | (F.col("pos") - F.col("_prev.pos") >= distance), F.col("pos")))
-    marked = carry_forward(near.drop("_prev", "_next"), layout, "pos", "_start", "_cluster").drop("_start")
+    near = settled(near.drop("_prev", "_next"), layout, "candidates")
+    # Read by the size check and by both kinds of clusters.
+    marked = materialise(carry_forward(near, layout, "pos", "_start", "_cluster").drop("_start"), "clusters")
     keys = [*series, "_cluster"]
     sizes = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     big = sizes.filter(F.col("_size") > small).select(*keys)
@@ -130,7 +132,8 @@ def _small_clusters(marked: DataFrame, series: Sequence[str], distance: int) ->
 
 def peak_positions(df: DataFrame, layout: SeriesLayout, col: str, distance: int = PEAK_DISTANCE) -> DataFrame:
     """Series and 0-based positions of the peaks of `col`."""
-    found = peak_candidates(dense_index(df, layout), layout, col)
+    indexed = settled(dense_index(df, layout).select(*layout.series, "_i", col), layout, "indexed")
+    found = peak_candidates(indexed, layout, col)
     if distance <= 1:
         return found.select(*layout.series, "pos")
     return suppress_close(found, layout, distance)
@@ -145,19 +148,24 @@ def peak_flags(df: DataFrame, layout: SeriesLayout, col: str, out: str = "is_pea
 
 
 def peak_frequency(df: DataFrame, layout: SeriesLayout, col: str, out: str, mean_length: int,
-                   distance: int = PEAK_DISTANCE) -> DataFrame:
+                   distance: int = PEAK_DISTANCE, rows: DataFrame | None = None) -> DataFrame:
     """Add the rolling mean of the peak frequency.
 
     At a peak the frequency is 10 over the number of other samples since the last peak (or the start of the
-    series); it holds until the next peak and is 0 before the first.
+    series); it holds until the next peak and is 0 before the first. `rows` may be a written table with the same
+    series, index `_i` and `col` as `df`; then `df` has the index too.
     """
-    indexed = dense_index(df, layout)
-    peaks = peak_positions(df, layout, col, distance)
-    peaks = neighbours(peaks, layout, "pos", ["pos"])
+    indexed = df if rows is not None and "_i" in df.columns else settled(dense_index(df, layout), layout, "indexed")
+    narrow = (rows if rows is not None and "_i" in rows.columns else indexed).select(*layout.series, "_i", col)
+    found = peak_candidates(narrow, layout, col)
+    peaks = suppress_close(found, layout, distance) if distance > 1 else found.select(*layout.series, "pos")
+    peaks = neighbours(settled(peaks, layout, "peaks"), layout, "pos", ["pos"])
     since = F.col("pos") - F.coalesce(F.col("_prev.pos"), F.lit(-1)) - 1
     marks = peaks.select(*layout.series, F.col("pos").alias("_i"), (F.lit(PEAK_SCALE) / since).alias("_mark"))
-    held = carry_forward(join_on(indexed, marks, [*layout.series, "_i"]), layout, "_i", "_mark", "_freq")
+    marks = settled(marks, layout, "marks")
+    keys = [*layout.series, "_i"]
+    held = carry_forward(join_on(indexed, marks, keys), layout, "_i", "_mark", "_freq", join_on(narrow.drop(col), marks, keys))
     held = held.withColumn("_freq", F.coalesce("_freq", F.lit(0.0))).drop("_mark")
-    return over_series(
-        held.drop("_i"), layout, lambda w: [rolling_mean(F.col("_freq"), w, mean_length).alias(out)], mean_length - 1
-    ).drop("_freq")
+    made = over_series(held, layout, lambda w: [rolling_mean(F.col("_freq"), w, mean_length).alias(out)], mean_length - 1,
+                       index="_i").drop("_freq")
+    return made if "_i" in df.columns else made.drop("_i")

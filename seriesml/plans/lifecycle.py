@@ -164,7 +164,8 @@ def _split(df: DataFrame, layout: SeriesLayout, config: Config) -> DataFrame:
 def make_samples(df: DataFrame, config: Config, series: Sequence[str], order: Sequence[str]):
     """Everything up to the flattened samples (series, sample, split, x, y), written once for training."""
     made, layout, encoding, catalogue, raw_inputs = _prepare(df, config, series, order)
-    parted = _split(made, layout, config)
+    # Read by the scalers and by the samples, so the sorted windows behind it run once.
+    parted = materialise(_split(made, layout, config), "features")
     train = parted.filter(F.col("split") == "train")
     inputs, target = list(catalogue.inputs), catalogue.targets[0]
     input_scaler = scale.fit_scaler(train, inputs, config.scale.input_method)
@@ -172,7 +173,8 @@ def make_samples(df: DataFrame, config: Config, series: Sequence[str], order: Se
     ready = scale.apply_scaler(scale.apply_scaler(parted, input_scaler), target_scaler)
     sq = config.sequentialize
     steps = sequence.effective_target_size(sq.target_size, config.clean.classification)
-    by_split = series_layout(ready, [*series, "split"], order, layout.rows_per_task)
+    by_split = (series_layout(ready, [*series, "split"], order, layout.rows_per_task) if layout.sliced
+                else SeriesLayout((*series, "split"), tuple(order), layout.rows_per_task))
     samples = sequence.flatten_samples(sequence.sequences(
         ready, by_split, inputs, [target], sq.window_size, steps, sq.overlap, sq.future_predict))
     samples = materialise(samples, "samples")
