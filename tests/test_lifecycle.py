@@ -33,7 +33,7 @@ def test_regression_and_inference(spark, recorded):
     cfg = config(train={"learning_method": "linearregression"}, featurize={"add_mean": ["a"], "rolling_window_size_mean": 3})
     df = recorded.drop("kind")
     fitted = lifecycle.fit(df, cfg, ["series_id"], ["t"])
-    assert fitted.catalogue.removed == ("flat", "twin") and fitted.catalogue.inputs == ("a", "b", "a_mean")
+    assert fitted.catalogue.removed == ("flat", "twin", "word") and fitted.catalogue.inputs == ("a", "b", "a_mean")
     row = fitted.metrics.first()
     assert row["r2"] > 0.99 and row["n"] == 3 * 148
     got = fitted.transform(df.drop("y"))

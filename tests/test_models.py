@@ -139,17 +139,32 @@ def test_shapley_of_a_linear_score(spark, planted):
     pytest.MonkeyPatch().setattr(attribution, "EXACT_FEATURES", 10)
 
 
-def test_local_surrogate_recovers_slopes(spark, planted, monkeypatch):
+def test_local_surrogate_solves_the_weighted_ridge(spark, planted, monkeypatch):
+    """Slopes against a direct solution on the same perturbed rows; the penalty shrinks them where weights are small."""
     rows = planted.filter("id < 5").select("id", "a", "b", "c")
-    w = {"a": 2.0, "b": -1.0, "c": 0.0}
-    score = lambda d: d.withColumn("y_pred", dot(w, 1.0))
-    sums = attribution.local_surrogate(rows, ["id"], ["a", "b", "c"], planted, score, 400)
-    std = planted.agg(*[F.stddev_pop(c).alias(c) for c in "abc"]).first()
-    got = {(r["id"], r["feature"]): r["value"] for r in sums.collect()}
-    assert all(abs(v - w[c] * std[c]) < 0.1 for (_, c), v in got.items()) and len(got) == 15
+    w, seen = {"a": 2.0, "b": -1.0, "c": 0.0}, []
+
+    def score(d):
+        seen.append(d)
+        return d.withColumn("y_pred", dot(w, 1.0) + F.col("a") * F.col("b"))
+    got = {(r["id"], r["feature"]): r["value"] for r in attribution.local_surrogate(
+        rows, ["id"], ["a", "b", "c"], planted, score, 400).collect()}
+    assert len(got) == 15
+    stats = planted.agg(*[F.avg(c).alias(f"m{c}") for c in "abc"], *[F.stddev_pop(c).alias(f"s{c}") for c in "abc"]).first()
+    mean, std = np.array([stats[f"m{c}"] for c in "abc"]), np.array([stats[f"s{c}"] for c in "abc"])
+    own = rows.toPandas().set_index("id")
+    for i, part in seen[0].toPandas().groupby("id"):
+        x = part[["a", "b", "c"]].to_numpy()
+        z = (x - mean) / std
+        away = ((z - (own.loc[i].to_numpy() - mean) / std) ** 2).sum(1)
+        assert len(z) == 400 and np.isclose(away.min(), 0) and abs(z.mean()) < 0.15 and abs(z.std() - 1) < 0.1
+        k = np.sqrt(np.exp(-away / (3 * 0.75 ** 2)))
+        y = 2 * x[:, 0] - x[:, 1] + 1 + x[:, 0] * x[:, 1]
+        zc, yc = z - np.average(z, 0, k), y - np.average(y, weights=k)
+        want = np.linalg.solve((zc * k[:, None]).T @ zc + np.eye(3), (zc * k[:, None]).T @ yc)
+        assert np.allclose([got[(i, c)] for c in "abc"], want, atol=1e-8)
     monkeypatch.setattr(attribution, "SUM_COLUMNS", 1)
-    again = attribution.local_surrogate(rows, ["id"], ["a", "b", "c"], planted, score, 400)
-    for r in again.collect():
+    for r in attribution.local_surrogate(rows, ["id"], ["a", "b", "c"], planted, score, 400).collect():
         assert abs(got[(r["id"], r["feature"])] - r["value"]) < 1e-8
 
 
