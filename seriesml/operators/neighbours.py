@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesml.operators.split import seeded_key
+from seriesml.session import materialise
 
 K = 5
 MAX_PIVOTS = 256
@@ -64,6 +65,8 @@ def fit_neighbours(train: DataFrame, id: str, x: str, label: str, k: int = K, pi
 
     placed = rows.withColumn("_a", assign("_x")).select("_id", "_x", "_label", F.col("_a.cell").alias("_cell"),
                                                         F.col("_a.away").alias("_away"))
+    # Read by both statistics and by every search.
+    placed = materialise(placed, "cells")
     facts = placed.groupBy("_cell").agg(F.max("_away").alias("r"), F.count(F.lit(1)).alias("n")).collect()
     w = Window.partitionBy("_cell").orderBy("_away", "_id")
     inner = placed.select("_cell", "_away", "_id").withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
@@ -84,48 +87,49 @@ def _cells_to_visit(model: NeighbourModel):
 
     @F.pandas_udf("array<int>")
     def visit(values: pd.Series) -> pd.Series:
-        if not len(values):
-            return pd.Series([], dtype=object)
         out = []
-        for part in np.array_split(_matrix(values), max(1, len(values) // 512)):
-            d = _distances(part, centres)
+        for start in range(0, len(values), 512):
+            d = _distances(_matrix(values.iloc[start:start + 512]), centres)
+            rows = np.arange(len(d))
             own = d.argmin(axis=1)
-            for i in range(len(part)):
-                bounds = (d[i][:, None] + nearest).ravel()
-                limit = np.partition(bounds, k - 1)[k - 1] if len(bounds) >= k else np.inf
-                limit = limit * (1 + 1e-9) + 1e-9
-                keep = live & (d[i] - radius <= limit)
-                gap = gaps[own[i]]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    beyond = (d[i] ** 2 - d[i][own[i]] ** 2) / (2 * gap)
-                keep &= ~((gap > 0) & (beyond > limit))
-                out.append(np.flatnonzero(keep).astype("int32"))
-        return pd.Series(out)
+            bounds = (d[:, :, None] + nearest[None, :, :]).reshape(len(d), -1)
+            limit = np.partition(bounds, k - 1, axis=1)[:, k - 1] * (1 + 1e-9) + 1e-9
+            keep = live[None, :] & (d - radius[None, :] <= limit[:, None])
+            gap = gaps[own]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                beyond = (d ** 2 - (d[rows, own] ** 2)[:, None]) / (2 * gap)
+            keep &= ~((gap > 0) & (beyond > limit[:, None]))
+            out += [np.flatnonzero(r).astype("int32") for r in keep]
+        return pd.Series(out, dtype=object)
 
     return visit
 
 
 def _block_search(k: int):
-    def search(keys, train: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        ids, labels = train["_id"].to_numpy(), train["_label"].to_numpy()
-        found = []
-        if len(train) and len(asked):
-            t, q = _matrix(train["_x"]), _matrix(asked["_x"])
-            size = (t * t).sum(1)
-            for start in range(0, len(q), 256):
-                part = q[start:start + 256]
-                own = (part * part).sum(1)
-                d2 = size[None, :] + own[:, None] - 2.0 * (part @ t.T)
-                for i in range(len(part)):
-                    edge = np.partition(d2[i], k - 1)[k - 1] if len(t) > k else np.inf
-                    near = np.flatnonzero(d2[i] <= edge + 1e-9 * (own[i] + size.max() + 1.0))
-                    exact = np.sqrt(((t[near] - part[i]) ** 2).sum(axis=1))
-                    best = np.lexsort((ids[near], exact))[:k]
-                    found.append(pd.DataFrame({"_qid": asked["_qid"].iloc[start + i], "_id": ids[near][best],
-                                               "_label": labels[near][best], "distance": exact[best]}))
-        if found:
-            return pd.concat(found, ignore_index=True)
-        return pd.DataFrame({"_qid": [], "_id": [], "_label": [], "distance": []})
+    """The k nearest rows of a block for each query of it: screened by products, decided by exact distances."""
+    def search(keys: tuple, train: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if not len(train) or not len(asked):
+            return pd.DataFrame({"_qid": [], "_id": [], "_label": [], "distance": []})
+        by_id = train.sort_values("_id", kind="stable")
+        ids, labels = by_id["_id"].to_numpy(), by_id["_label"].to_numpy()
+        t, q, qid = _matrix(by_id["_x"]), _matrix(asked["_x"]), asked["_qid"].to_numpy()
+        size = (t * t).sum(1)
+        rows = max(1, 4_000_000 // len(t))
+        out = []
+        for start in range(0, len(q), rows):
+            part = q[start:start + rows]
+            own = (part * part).sum(1)
+            d2 = size[None, :] + own[:, None] - 2.0 * (part @ t.T)
+            edge = np.partition(d2, k - 1, axis=1)[:, k - 1] if len(t) > k else np.full(len(part), np.inf)
+            i, j = np.nonzero(d2 <= (edge + 1e-9 * (own + size.max() + 1.0))[:, None])
+            exact = np.sqrt(((t[j] - part[i]) ** 2).sum(axis=1))
+            order = np.lexsort((j, exact, i))
+            i, j, exact = i[order], j[order], exact[order]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            first = place < k
+            out.append(pd.DataFrame({"_qid": qid[start + i[first]], "_id": ids[j[first]], "_label": labels[j[first]],
+                                     "distance": exact[first]}))
+        return pd.concat(out, ignore_index=True)
     return search
 
 
@@ -135,7 +139,8 @@ def neighbours(model: NeighbourModel, queries: DataFrame, id: str, x: str, k: in
     if k > model.k:
         raise ValueError(f"fitted for at most {model.k} neighbours")
     asked = queries.select(F.col(id).alias("_qid"), F.col(x).cast("array<double>").alias("_x"))
-    visits = asked.withColumn("_cells", _cells_to_visit(model)("_x")).select("_qid", "_x", F.explode("_cells").alias("_cell"))
+    planned = materialise(asked.withColumn("_cells", _cells_to_visit(model)("_x")), "visits")
+    visits = planned.select("_qid", "_x", F.explode("_cells").alias("_cell"))
     # How many queries reach a cell decides into how many parts they are cut; training slices are copied to each part.
     load = np.zeros(len(model.pivots), dtype="int64")
     for r in visits.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect():

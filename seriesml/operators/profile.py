@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesml.functions.columns import correlation, is_numeric, numeric_columns
+from seriesml.operators.learners import with_vector
 from seriesml.operators.ordering import cumulative_share, join_on
 from seriesml.operators.quantiles import DIRECT_ROWS, exact_quantiles
 
@@ -28,7 +30,9 @@ CORRELATION_THRESHOLD = 0.9
 BOOLEAN_PAIRS = (("t", "f"), ("yes", "no"), ("y", "n"), ("true", "false"))
 # Columns per aggregate, so that generated code stays small for wide tables.
 COLUMNS_PER_PASS = 50
-PAIRS_PER_PASS = 400
+PAIRS_PER_PASS = 40
+# Above this many columns the correlations come from one matrix.
+MATRIX_COLUMNS = 9
 
 
 def _long(row: DataFrame, cols: Sequence[str], stats: Sequence[str], name: str = "column_name") -> DataFrame:
@@ -64,29 +68,12 @@ def overview(df: DataFrame) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approximate: bool = False) -> DataFrame:
-    """Distinct non-NULL values per column.
+    """Distinct non-NULL values per column, and the non-NULL rows.
 
     Exact counts send each (column, value) pair once per map task; `approximate` keeps a fixed-size sketch instead.
     """
-    if approximate:
-        return _per_column(df, cols, {"n_distinct": F.approx_count_distinct, "n": F.count})
-    pairs = _value_counts(df, cols)
-    got = pairs.groupBy("column_name").agg(F.count("value").alias("n_distinct"),
-                                           F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))),
-                                                      F.lit(0)).alias("n"))
-    return _with_all_columns(got, cols)
-
-
-def _with_all_columns(got: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A row for each column, also of an empty table."""
-    names = got.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
-    return join_on(names, got, ["column_name"]).na.fill(0, ["n_distinct", "n"])
-
-
-def _value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column_name, value as text, n) for all columns, combined on the map side."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols])
-    return df.select(F.inline(cells)).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    count = F.approx_count_distinct if approximate else F.count_distinct
+    return _per_column(df, list(cols), {"n_distinct": count, "n": F.count})
 
 
 def distinct_flags(df: DataFrame, cols: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
@@ -212,14 +199,47 @@ def _pair_table(df: DataFrame, pairs: Sequence[tuple[str, str]], score: callable
 
 
 def pearson(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of each pair of columns (each pair once), all pairs in one pass over the rows."""
-    return _pair_table(df, list(combinations(cols or numeric_columns(df), 2)), correlation, "correlation")
+    """Pearson correlation of each pair of columns (each pair once); NULL for a column that does not vary.
+
+    A first pass finds columns that are constant or have gaps. Complete columns then share one pass, as a matrix when
+    there are many; only pairs with gaps need sums of their own.
+    """
+    cols = list(cols or numeric_columns(df))
+    facts = df.agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{c}_{i}") for c in cols
+                                                   for i, f in enumerate((F.count, F.min, F.max))]).first()
+    varied = {c for c in cols if facts[f"{c}_0"] and facts[f"{c}_1"] < facts[f"{c}_2"]}
+    complete = [c for c in cols if c in varied and facts[f"{c}_0"] == facts["n"]]
+    pairs = list(combinations(cols, 2))
+    full = [p for p in pairs if p[0] in complete and p[1] in complete]
+    gaps = [p for p in pairs if p not in set(full) and p[0] in varied and p[1] in varied]
+    flat = [p for p in pairs if p[0] not in varied or p[1] not in varied]
+    parts = []
+    if len(complete) > MATRIX_COLUMNS:
+        parts.append(_matrix_pairs(df, complete))
+    elif full:
+        parts.append(_pair_table(df, full, F.corr, "correlation"))
+    if gaps:
+        parts.append(_pair_table(df, gaps, correlation, "correlation"))
+    if flat:
+        parts.append(df.sparkSession.createDataFrame([(a, b, None) for a, b in flat], "column_a string, column_b string, correlation double"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _matrix_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """All pairs of complete columns from one matrix of cross products."""
+    vectors = with_vector(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), list(cols), "_v")
+    matrix = Correlation.corr(vectors.select("_v"), "_v").first()[0].toArray()
+    rows = [(cols[i], cols[j], float(matrix[i, j])) for i, j in combinations(range(len(cols)), 2)]
+    return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, correlation double")
 
 
 def nullity_correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Correlation of the missing-value indicators."""
     flags = df.select(*[missing(c).cast("double").alias(c) for c in cols])
-    return _pair_table(flags, list(combinations(cols, 2)), correlation, "correlation")
+    return pearson(flags, cols)
 
 
 def average_ranks(df: DataFrame, col: str, out: str, rows_per_task: int | None = None) -> DataFrame:

@@ -1,39 +1,55 @@
 """Exact quantiles with linear interpolation, whatever the number of rows.
 
-Up to `direct_rows` rows the built-in exact percentile is used. Beyond, every pass narrows a value range around each
-wanted rank with approximate percentiles and exact counts, until the range holds few distinct values; only those are
-sorted. All columns and quantiles share each pass.
+Up to `direct_rows` rows the built-in exact percentile is used. Beyond, a pass of approximate percentiles brackets the
+wanted ranks, a counting pass tells which bracket holds each rank, and this repeats until the brackets hold few rows;
+only those are sorted. All columns and quantiles share each pass.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DIRECT_ROWS = 1_000_000
-WINDOW_VALUES = 100_000
+WINDOW_ROWS = 100_000
+ACCURACY = 10_000
+SLACK = 0.0005
+PARALLEL_COLUMNS = 8
+
+Rank = tuple[str, int]
+Range = tuple[str, float, float, int, int]
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], shares: Sequence[float],
-                    direct_rows: int = DIRECT_ROWS, window_values: int = WINDOW_VALUES) -> dict[str, list[float | None]]:
+                    direct_rows: int = DIRECT_ROWS, window_rows: int = WINDOW_ROWS) -> dict[str, list[float | None]]:
     """Quantiles of each column; NULLs are left out."""
     cols = list(cols)
-    sizes = df.agg(*[F.count(c).alias(c) for c in cols]).first()
+    facts = df.agg(*[f(c).alias(f"{c}_{i}") for c in cols for i, f in enumerate((F.count, F.min, F.max))]).first()
+    sizes = {c: facts[f"{c}_0"] for c in cols}
     small = [c for c in cols if sizes[c] <= direct_rows]
     out: dict[str, list[float | None]] = {}
     if small:
-        row = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(float(s)) for s in shares])).alias(c)
-                       for c in small]).first()
-        out.update({c: list(row[c]) if row[c] is not None else [None] * len(shares) for c in small})
+        wanted = F.array(*[F.lit(float(s)) for s in shares])
+
+        def direct(c: str) -> list[float | None]:
+            got = df.agg(F.percentile(F.col(c).cast("double"), wanted).alias("q")).first()["q"]
+            return list(got) if got is not None else [None] * len(shares)
+        # A small column is one task, so columns run side by side.
+        with ThreadPoolExecutor(min(len(small), PARALLEL_COLUMNS)) as pool:
+            out.update(zip(small, pool.map(direct, small)))
     large = [c for c in cols if c not in out]
     if large:
-        ranks = {c: sorted({r for s in shares for r in _ranks(s, sizes[c])}) for c in large}
-        values = _order_statistics(df, ranks, sizes, window_values)
+        whole = {c: (c, float(facts[f"{c}_1"]), float(facts[f"{c}_2"]), 0, sizes[c]) for c in large}
+        ranks = {(c, r): whole[c] for c in large for s in shares for r in _ranks(s, sizes[c])}
+        values = _order_statistics(df, ranks, window_rows)
         for c in large:
-            out[c] = [_interpolate(values[c], s, sizes[c]) for s in shares]
+            out[c] = [_interpolate(values, c, s, sizes[c]) for s in shares]
     return out
 
 
@@ -42,71 +58,87 @@ def _ranks(share: float, n: int) -> tuple[int, int]:
     return math.floor(at), math.ceil(at)
 
 
-def _interpolate(values: dict[int, float], share: float, n: int) -> float:
+def _interpolate(values: dict[Rank, float], c: str, share: float, n: int) -> float:
     lo, hi = _ranks(share, n)
     at = share * (n - 1)
-    return values[lo] if lo == hi else values[lo] * (hi - at) + values[hi] * (at - lo)
-
-
-def _order_statistics(df: DataFrame, ranks: dict[str, list[int]], sizes, window_values: int) -> dict[str, dict[int, float]]:
-    """Exact values at 0-based ranks. A range is (low, high, rows below low, rows inside)."""
-    ends = df.agg(*[f(c).cast("double").alias(f"{c}_{i}") for c in ranks for i, f in enumerate((F.min, F.max))]).first()
-    ranges = {(c, r): (ends[f"{c}_0"], ends[f"{c}_1"], 0, sizes[c]) for c, rs in ranks.items() for r in rs}
-    found: dict[tuple[str, int], float] = {}
-    while wide := [k for k, v in ranges.items() if k not in found and v[3] > window_values]:
-        row = df.agg(*[_around(k, ranges[k]).alias(str(i)) for i, k in enumerate(wide)]).first()
-        counts = []
-        for i, (c, _) in enumerate(wide):
-            lo, hi, below, inside = ranges[wide[i]]
-            a, b = row[str(i)]
-            x = F.col(c)
-            counts += [F.count_if(x < a).alias(f"{i}_0"), F.count_if(x <= a).alias(f"{i}_1"),
-                       F.count_if(x < b).alias(f"{i}_2"), F.count_if(x <= b).alias(f"{i}_3")]
-        got = df.agg(*counts).first()
-        for i, key in enumerate(wide):
-            lo, hi, below, inside = ranges[key]
-            a, b = row[str(i)]
-            below_a, to_a, below_b, to_b = (got[f"{i}_{j}"] for j in range(4))
-            r = key[1]
-            if r < below_a:
-                ranges[key] = (lo, math.nextafter(a, -math.inf), below, below_a - below)
-            elif r < to_a:
-                found[key] = a
-            elif r < below_b:
-                ranges[key] = (math.nextafter(a, math.inf), math.nextafter(b, -math.inf), to_a, below_b - to_a)
-            elif r < to_b:
-                found[key] = b
-            else:
-                ranges[key] = (math.nextafter(b, math.inf), hi, to_b, below + inside - to_b)
-    left = [k for k in ranges if k not in found]
-    if left:
-        found.update(_read_ranges(df, {k: ranges[k] for k in left}))
-    return {c: {r: found[(c, r)] for r in rs} for c, rs in ranks.items()}
-
-
-def _around(key, found_range):
-    """Approximate values just below and above the wanted rank, among the rows of its range."""
-    c, r = key
-    lo, hi, below, inside = found_range
-    share, slack = (r - below + 0.5) / inside, 0.0005
-    value = F.when(F.col(c).between(lo, hi), F.col(c).cast("double"))
-    return F.percentile_approx(value, [max(share - slack, 0.0), min(share + slack, 1.0)], 10000)
-
-
-def _read_ranges(df: DataFrame, ranges) -> dict[tuple[str, int], float]:
+    return values[c, lo] if lo == hi else values[c, lo] * (hi - at) + values[c, hi] * (at - lo)
+
+
+def _order_statistics(df: DataFrame, ranks: dict[Rank, Range], window_rows: int) -> dict[Rank, float]:
+    """Exact values at 0-based ranks. A range is (column, low, high, rows below low, rows inside)."""
+    found: dict[Rank, float] = {}
+    ranks = dict(ranks)
+    while True:
+        found.update({k: r[1] for k, r in ranks.items() if r[1] == r[2]})
+        ranks = {k: r for k, r in ranks.items() if k not in found}
+        wide = defaultdict(list)
+        for key, r in ranks.items():
+            if r[4] > window_rows:
+                wide[r].append(key)
+        if not wide:
+            break
+        _narrow(df, wide, ranks, found)
+    if ranks:
+        found.update(_read_ranges(df, ranks))
+    return found
+
+
+def _inside(r: Range) -> Column:
+    return F.col(r[0]).between(r[1], r[2])
+
+
+def _narrow(df: DataFrame, wide: dict[Range, list[Rank]], ranks: dict[Rank, Range], found: dict[Rank, float]) -> None:
+    """One approximate pass for cut values around the ranks, one exact pass for the rows at and between the cuts."""
+    spans = list(wide)
+    asked = []
+    for r in spans:
+        at = sorted({(rank - r[3] + 0.5) / r[4] for _, rank in wide[r]})
+        shares = [min(max(a + d, 0.0), 1.0) for a in at for d in (-SLACK, SLACK)]
+        value = F.col(r[0]).cast("double") if r[3] == 0 and len(spans) == 1 else F.when(_inside(r), F.col(r[0]).cast("double"))
+        asked.append(F.percentile_approx(value, shares, ACCURACY))
+    row = df.agg(*[a.alias(str(i)) for i, a in enumerate(asked)]).first()
+    cuts = [sorted(set(row[str(i)])) for i in range(len(spans))]
+    # Zone 2j lies below cut j, zone 2j + 1 is the cut itself. A search in the sorted edges finds the zone of a value.
+    values = df.select(*[F.when(_inside(r), F.col(r[0]).cast("double")).alias(f"v{i}") for i, r in enumerate(spans)])
+    edges = [[-math.inf, *[e for c in cut for e in (c, math.nextafter(c, math.inf))], math.inf] for cut in cuts]
+    names = [f"z{i}" for i in range(len(spans))]
+    zoned = Bucketizer(splitsArray=edges, inputCols=[f"v{i}" for i in range(len(spans))], outputCols=names,
+                       handleInvalid="keep").transform(values)
+    cells = F.array(*[F.struct(F.lit(i).alias("span"), F.when(F.col(f"v{i}").isNotNull(), F.col(n)).cast("int").alias("zone"))
+                      for i, n in enumerate(names)])
+    counted = zoned.select(F.inline(cells)).filter(F.col("zone").isNotNull()).groupBy("span", "zone").agg(
+        F.count(F.lit(1)).alias("n"))
+    rows = {(c["span"], c["zone"]): c["n"] for c in counted.collect()}
+    for i, r in enumerate(spans):
+        c, lo, hi, below, _ = r
+        for zone in range(2 * len(cuts[i]) + 1):
+            n = rows.get((i, zone), 0)
+            for key in wide[r]:
+                if below <= key[1] < below + n:
+                    if zone % 2:
+                        found[key] = cuts[i][zone // 2]
+                    else:
+                        j = zone // 2
+                        low = lo if j == 0 else math.nextafter(cuts[i][j - 1], math.inf)
+                        high = hi if j == len(cuts[i]) else math.nextafter(cuts[i][j], -math.inf)
+                        ranks[key] = (c, low, high, below, n)
+            below += n
+
+
+def _read_ranges(df: DataFrame, ranks: dict[Rank, Range]) -> dict[Rank, float]:
     """Sort the distinct values of all remaining ranges, in one scan, and read the wanted ranks."""
-    keys = list(ranges)
-    spans = sorted({(c, *ranges[(c, r)][:3]) for c, r in keys})
-    hits = F.array_compact(F.array(*[
-        F.when(F.col(c).between(lo, hi), F.struct(F.lit(i).alias("span"), F.col(c).cast("double").alias("v")))
-        for i, (c, lo, hi, _) in enumerate(spans)]))
-    counted = df.select(F.inline(hits)).groupBy("span", "v").agg(F.count(F.lit(1)).alias("n"))
+    spans = sorted(set(ranks.values()))
+    any_hit = _inside(spans[0])
+    for r in spans[1:]:
+        any_hit = any_hit | _inside(r)
+    cells = F.array(*[F.struct(F.lit(i).alias("span"), F.when(_inside(r), F.col(r[0]).cast("double")).alias("v"))
+                      for i, r in enumerate(spans)])
+    hits = df.filter(any_hit).select(F.inline(cells)).filter(F.col("v").isNotNull())
+    counted = hits.groupBy("span", "v").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("span").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     run = counted.withColumn("_to", F.sum("n").over(w))
-    wants = []
-    for i, (c, r) in enumerate(keys):
-        span = spans.index((c, *ranges[(c, r)][:3]))
-        reached = (F.col("span") == span) & (F.col("_to") > r - ranges[(c, r)][2])
-        wants.append(F.min(F.when(reached, F.col("v"))).alias(str(i)))
+    keys = list(ranks)
+    wants = [F.min(F.when((F.col("span") == spans.index(ranks[k])) & (F.col("_to") > k[1] - ranks[k][3]), F.col("v"))).alias(str(i))
+             for i, k in enumerate(keys)]
     row = run.agg(*wants).first()
     return {k: row[str(i)] for i, k in enumerate(keys)}

@@ -72,7 +72,7 @@ def profile_quantiles_events(spark, sf):
 def profile_quantiles_narrowed(spark, sf):
     """The multi-pass way for columns too long for one task, here with small limits."""
     df = table(spark, sf, "lineitem")
-    found = profile.exact_quantiles(df, MEASURES, profile.QUANTILES, direct_rows=1000, window_values=200)
+    found = profile.exact_quantiles(df, MEASURES, profile.QUANTILES, direct_rows=1000, window_rows=200)
     rows = [(c, *q, q[3] - q[1]) for c, q in found.items()]
     got = spark.createDataFrame(rows, "column_name string, q5 double, q25 double, q50 double, q75 double, q95 double, iqr double")
     return _rounded_table(got, ["column_name"])

@@ -45,9 +45,10 @@ def rolling_stream(stream: DataFrame, series: str, order: str, value: str, featu
         rolled = roll(values.rolling(n)).iloc[len(tail):].to_numpy()
         if len(rows):
             state.update((list(values.iloc[len(values) - min(n - 1, len(values)):]), int(rows[order].iloc[-1])))
-        yield pd.DataFrame({series: key[0], order: rows[order], value: rows[value], out: rolled, "late": False})
-        if len(late):
-            yield pd.DataFrame({series: key[0], order: late[order], value: late[value], out: np.nan, "late": True})
+        every = pd.concat([rows, late], ignore_index=True)
+        yield pd.DataFrame({series: key[0], order: every[order], value: every[value],
+                            out: np.concatenate([rolled, np.full(len(late), np.nan)]),
+                            "late": np.arange(len(every)) >= len(rows)})
 
     rows = stream.select(series, F.col(order).cast("bigint").alias(order), F.col(value).cast("double").alias(value))
     made = rows.groupBy(series).applyInPandasWithState(
