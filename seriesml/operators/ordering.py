@@ -22,6 +22,8 @@ from seriesml.session import materialise
 ROWS_PER_TASK = 5_000_000
 ROWS_PER_TASK_CONF = "spark.seriesml.rowsPerTask"
 INLINE_HOT_SERIES = 1000
+# Rows up to which a lookup table is broadcast: a key and a few numbers each.
+BROADCAST_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -34,6 +36,7 @@ class SeriesLayout:
     splits: tuple[float, ...] = ()
     hot_ids: tuple | None = None
     hot_table: DataFrame | None = None
+    hot_rows: int = 0
 
     @property
     def sliced(self) -> bool:
@@ -77,10 +80,10 @@ def series_layout(
         ids = tuple(r[0] for r in hot.collect())
         layout = SeriesLayout(series, order, limit, hot_ids=ids)
     else:
-        layout = SeriesLayout(series, order, limit, hot_table=hot)
+        layout = SeriesLayout(series, order, limit, hot_table=hot, hot_rows=sizes["n"])
     hot_rows = _mark_hot(df, layout).filter("_hot")
     return SeriesLayout(series, order, limit, _splits(hot_rows, order[0], sizes["rows"], limit),
-                        layout.hot_ids, layout.hot_table)
+                        layout.hot_ids, layout.hot_table, layout.hot_rows)
 
 
 def _splits(df: DataFrame, name: str, rows: int, limit: int) -> tuple[float, ...]:
@@ -101,6 +104,14 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", rows: int | None = None) -> DataFrame:
+    """Join a table that is often small. Its rows are counted up to a limit first (or given): within the limit it is
+    broadcast and the left side is not shuffled, which also settles a hot key; beyond it, this is a normal join."""
+    if rows is None:
+        rows = right.limit(BROADCAST_ROWS + 1).count()
+    return join_on(left, F.broadcast(right) if rows <= BROADCAST_ROWS else right, keys, how)
+
+
 def _mark_hot(df: DataFrame, layout: SeriesLayout) -> DataFrame:
     if not layout.series:
         return df.withColumn("_hot", F.lit(True))
@@ -111,7 +122,7 @@ def _mark_hot(df: DataFrame, layout: SeriesLayout) -> DataFrame:
         if len(known) < len(layout.hot_ids):
             flag = flag | key.isNull()
         return df.withColumn("_hot", flag)
-    marked = join_on(df, layout.hot_table.withColumn("_hot", F.lit(True)), layout.series)
+    marked = lookup(df, layout.hot_table.withColumn("_hot", F.lit(True)), layout.series, rows=layout.hot_rows)
     return marked.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
 
 
@@ -185,7 +196,7 @@ def series_stats(df: DataFrame, layout: SeriesLayout, aggs: dict[str, Column]) -
         row = df.agg(*named).first()
         kinds = df.limit(0).agg(*named).schema
         return df.select("*", *[F.lit(row[n]).cast(kinds[n].dataType).alias(n) for n in aggs])
-    return join_on(df, df.groupBy(*layout.series).agg(*named), layout.series)
+    return lookup(df, df.groupBy(*layout.series).agg(*named), layout.series)
 
 
 def block_of(layout: SeriesLayout, index: str = "_i") -> Column:

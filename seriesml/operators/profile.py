@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from seriesml.functions.columns import correlation, is_numeric, numeric_columns
 from seriesml.operators.learners import with_vector
-from seriesml.operators.ordering import cumulative_share, join_on
+from seriesml.operators.ordering import cumulative_share, join_on, lookup
 from seriesml.operators.quantiles import DIRECT_ROWS, exact_quantiles
 
 # Fixed values of the profile configuration.
@@ -58,13 +58,14 @@ def missing(c: str) -> Column:
 
 def overview(df: DataFrame) -> DataFrame:
     """Variables, rows, missing cells and duplicate rows (all copies beyond the first)."""
-    cells = sum((F.count_if(missing(c)) for c in df.columns), F.lit(0).cast("long"))
-    whole = df.agg(F.count(F.lit(1)).alias("n_rows"), cells.alias("n_missing_cells"))
     groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    copies = groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicate_rows"))
-    both = whole.withColumn("_one", F.lit(1)).join(copies.withColumn("_one", F.lit(1)), "_one")
-    return both.select(F.lit(len(df.columns)).cast("long").alias("n_variables"), "n_rows", "n_missing_cells",
-                       "n_duplicate_rows")
+    gaps = sum((missing(c).cast("long") for c in df.columns), F.lit(0).cast("long"))
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return groups.agg(F.lit(len(df.columns)).cast("long").alias("n_variables"), total(F.col("_n")).alias("n_rows"),
+                      total(F.col("_n") * gaps).alias("n_missing_cells"),
+                      total(F.col("_n") - 1).alias("n_duplicate_rows"))
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approximate: bool = False) -> DataFrame:
@@ -250,7 +251,7 @@ def average_ranks(df: DataFrame, col: str, out: str, rows_per_task: int | None =
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
     ranks = cumulative_share(counts, col, "_n", rows_per_task)
     ranks = ranks.select(col, (F.col("_before") + (F.col("_n") + 1) / 2.0).alias(out))
-    return df.join(ranks, col, "left")
+    return lookup(df, ranks, [col])
 
 
 def spearman(df: DataFrame, cols: Sequence[str], rows_per_task: int | None = None) -> DataFrame:

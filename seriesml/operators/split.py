@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesml.operators.ordering import SeriesLayout, dense_index, join_on, series_layout
+from seriesml.operators.ordering import SeriesLayout, dense_index, lookup, series_layout
 from seriesml.session import materialise
 
 
@@ -43,7 +43,7 @@ def split_series(df: DataFrame, series: str, share: float, shuffle_seed: int | N
     elif not _is_orderable_number(names, series):
         return _split_series_text(df, names, series, share)
     tagged = split_rows(names, series_layout(names, (), order), share).select(series, "split")
-    return join_on(df, tagged, [series], "inner")
+    return lookup(df, tagged, [series], "inner")
 
 
 def _is_orderable_number(df: DataFrame, name: str) -> bool:
@@ -58,7 +58,7 @@ def _split_series_text(df: DataFrame, names: DataFrame, series: str, share: floa
     table = materialise(ranged, "series-names")
     layout = series_layout(table, (), ["_part", "_at"])
     tagged = split_rows(table, layout, share).select(series, "split")
-    return join_on(df, tagged, [series], "inner")
+    return lookup(df, tagged, [series], "inner")
 
 
 def sample_rows(df: DataFrame, ids: Sequence[str], n: int, seed: int) -> DataFrame:

@@ -407,7 +407,7 @@ def clean_removable(spark, sf):
         *_LI, F.lit(1.0).alias("const"), (2 * F.col("l_quantity")).alias("quantity_dup"),
         F.when(F.col("l_linenumber") != 1, F.lit(0.0)).otherwise(F.col("l_tax")).alias("mostly_zero"))
     names = clean.removable_columns(df, "l_extendedprice", 0.5, 0.9)
-    return df.limit(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("column_name"))
+    return spark.createDataFrame([(n,) for n in names], "column_name string")
 
 
 @query("clean_drop_columns", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
@@ -459,7 +459,7 @@ SELECT column_name FROM c WHERE abs(c) >= 0.5""")
 def feat_target_corr_filter(spark, sf):
     df = ev(spark, sf)
     kept = features.target_correlation_filter(df, "value", ["k", "value_dup", "value_z"], 0.5)
-    return df.limit(1).select(F.explode(F.array(*[F.lit(n) for n in kept])).alias("column_name"))
+    return spark.createDataFrame([(n,) for n in kept], "column_name string")
 
 
 @query("encode_label", "SELECT event_id, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS INTEGER) AS label FROM events")
