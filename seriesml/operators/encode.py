@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesml.functions.columns import above_half, argmax
+from seriesml.operators.ordering import lookup, sorted_positions
 
 # Above this many classes the mapping is joined as a table instead of written into the plan.
 INLINE_CLASSES = 2000
@@ -16,33 +17,43 @@ INLINE_CLASSES = 2000
 
 @dataclass(frozen=True)
 class LabelEncoding:
-    """Sorted classes; the code of a class is its position."""
+    """Sorted classes; the code of a class is its position. Very many classes are kept as a table (class, `_code`)."""
 
     column: str
-    classes: tuple
+    classes: tuple = ()
+    table: DataFrame | None = None
 
     @property
     def binary(self) -> bool:
-        return len(self.classes) <= 2
+        return self.table is None and len(self.classes) <= 2
 
 
-def fit_labels(df: DataFrame, col: str, max_classes: int = INLINE_CLASSES) -> LabelEncoding:
-    """Classes over all series, NULL left out. A target with more classes than `max_classes` is an error."""
-    found = [r[0] for r in df.select(col).filter(F.col(col).isNotNull()).distinct().limit(max_classes + 1).collect()]
-    if len(found) > max_classes:
-        raise ValueError(f"{col} has more than {max_classes} classes; it is not a class label")
+def fit_labels(df: DataFrame, col: str, inline_classes: int = INLINE_CLASSES) -> LabelEncoding:
+    """Classes over all series, NULL left out."""
+    classes = df.select(col).filter(F.col(col).isNotNull()).distinct()
+    found = [r[0] for r in classes.limit(inline_classes + 1).collect()]
+    if len(found) > inline_classes:
+        placed = sorted_positions(classes, col, "_code")
+        return LabelEncoding(col, table=placed.withColumn("_code", F.col("_code").cast("int")))
     return LabelEncoding(col, tuple(sorted(found)))
 
 
 def encode_label(df: DataFrame, encoding: LabelEncoding, out: str | None = None) -> DataFrame:
     """Replace labels by codes 0..n-1; a class unseen at fit time becomes NULL."""
-    classes = F.array(*[F.lit(c) for c in encoding.classes])
-    at = F.array_position(classes, F.col(encoding.column))
-    return df.withColumn(out or encoding.column, F.when(at > 0, at - 1).cast("int"))
+    col, out = encoding.column, out or encoding.column
+    if encoding.table is not None:
+        coded = lookup(df, encoding.table, [col])
+        if out == col:
+            return coded.select(*[F.col("_code").alias(c) if c == col else F.col(c) for c in df.columns])
+        return coded.withColumnRenamed("_code", out)
+    at = F.array_position(F.array(*[F.lit(c) for c in encoding.classes]), F.col(col))
+    return df.withColumn(out, F.when(at > 0, at - 1).cast("int"))
 
 
 def one_hot(df: DataFrame, encoding: LabelEncoding, prefix: str = "target") -> DataFrame:
     """Columns `target_0..` in class order instead of the label. Needs more than two classes."""
+    if encoding.table is not None:
+        raise ValueError("too many classes for one column each")
     if encoding.binary:
         raise ValueError("one-hot encoding needs more than two classes; use a plain label")
     flags = [F.coalesce((F.col(encoding.column) == F.lit(c)).cast("int"), F.lit(0)).alias(f"{prefix}_{i}")

@@ -15,7 +15,7 @@ from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -264,15 +264,34 @@ def linear_coefficients(model: PipelineModel) -> tuple[list[float], float]:
     return [float(c) for c in stage.coefficients.toArray()], float(stage.intercept)
 
 
-def bootstrap_draws(train: DataFrame, df: DataFrame, ids: Sequence[str], method: str, task: str, draws: int,
-                    params: Mapping | None = None, seed: int = 0, parallelism: int = 3) -> DataFrame:
-    """(ids, draw, y_pred): predictions of models fitted on `draws` resamples of the training table."""
+def _bootstrap(train: DataFrame, method: str, task: str, draws: int, params: Mapping | None, seed: int, parallelism: int) -> list:
+    """Models fitted on `draws` resamples of one cached table."""
     data = train.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            fitted = list(pool.map(
+            return list(pool.map(
                 lambda i: fit(data.sample(True, 1.0, seed=seed + i), method, task, params, seed + i), range(draws)))
     finally:
         data.unpersist()
+
+
+def bootstrap_draws(train: DataFrame, df: DataFrame, ids: Sequence[str], method: str, task: str, draws: int,
+                    params: Mapping | None = None, seed: int = 0, parallelism: int = 3) -> DataFrame:
+    """(ids, draw, y_pred): predictions of the resampled models."""
+    fitted = _bootstrap(train, method, task, draws, params, seed, parallelism)
     got = predict_many(df, {str(i): m for i, m in enumerate(fitted)}, ids)
     return got.select(*ids, F.col("method").cast("int").alias("draw"), "y_pred")
+
+
+def bootstrap_probabilities(train: DataFrame, df: DataFrame, ids: Sequence[str], method: str, draws: int,
+                            params: Mapping | None = None, seed: int = 0, parallelism: int = 3) -> DataFrame:
+    """(ids, draw, class, prob): class probabilities of the resampled models, for learners that give them."""
+    fitted = _bootstrap(train, method, CLASSIFICATION, draws, params, seed, parallelism)
+    out = df
+    for i, model in enumerate(fitted):
+        made = model.transform(out)
+        if "probability" not in made.columns:
+            raise ValueError(f"learning method {method} gives no class probabilities")
+        out = made.select(*out.columns, vector_to_array("probability").alias(f"_prob_{i}"))
+    cells = [F.struct(F.lit(i).alias("draw"), F.col(f"_prob_{i}").alias("_p")) for i in range(draws)]
+    return out.select(*ids, F.inline(F.array(*cells))).select(*ids, "draw", F.posexplode("_p").alias("class", "prob"))

@@ -268,3 +268,18 @@ def cumulative_share(counts: DataFrame, value: str, weight: str, rows_per_task:
     return (join_on(cut, totals, ["_slice"])
             .withColumn("_before", F.coalesce(F.sum(weight).over(inner), F.lit(0)) + F.col("_base"))
             .drop("_slice", "_base"))
+
+
+def sorted_positions(values: DataFrame, col: str, out: str = "_i", total: str | None = None) -> DataFrame:
+    """Dense positions of distinct values in sorted order, also of text.
+
+    Text has no numeric position to cut by, so it is range-partitioned and sorted, and written with its place, which
+    then stays fixed.
+    """
+    if isinstance(values.schema[col].dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return dense_index(values, series_layout(values, (), (col,)), out, total)
+    ranged = values.repartitionByRange(col).sortWithinPartitions(col).select(
+        "*", F.spark_partition_id().alias("_part"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"))
+    table = materialise(ranged, "sorted")
+    return dense_index(table, series_layout(table, (), ("_part", "_at")), out, total).drop("_part", "_at")

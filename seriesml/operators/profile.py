@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesml.functions.columns import correlation, is_numeric, numeric_columns
+from seriesml.functions.statistics import chi_squared_tail
 from seriesml.operators.learners import with_vector
 from seriesml.operators.ordering import cumulative_share, join_on, lookup
 from seriesml.operators.quantiles import DIRECT_ROWS, exact_quantiles
@@ -87,7 +88,10 @@ def distinct_flags(df: DataFrame, cols: Sequence[str] | None = None, approximate
 
 
 def column_types(df: DataFrame, low_categorical: int = LOW_CATEGORICAL, approximate: bool = False) -> DataFrame:
-    """numeric / boolean / categorical / datetime; a numeric column with few distinct values is categorical."""
+    """numeric / boolean / categorical / datetime.
+
+    A numeric column with few distinct values is categorical, a text column holding one of the true/false pairs boolean.
+    """
     def declared(kind: T.DataType) -> str:
         if isinstance(kind, T.BooleanType):
             return "boolean"
@@ -99,8 +103,10 @@ def column_types(df: DataFrame, low_categorical: int = LOW_CATEGORICAL, approxim
     kinds = F.create_map(*[F.lit(x) for f in df.schema for x in (f.name, declared(f.dataType))])
     got = distinct_counts(df, df.columns, approximate).withColumn("_kind", kinds[F.col("column_name")])
     few = (F.col("_kind") == "numeric") & (F.col("n_distinct") < low_categorical)
-    return got.select("column_name", F.when(few, "categorical").otherwise(F.col("_kind")).alias("inferred_type"),
-                      "n_distinct")
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    flags = [r["column_name"] for r in boolean_columns(df, texts).filter("is_boolean").collect()] if texts else []
+    kind = F.when(F.col("column_name").isin(flags), "boolean").when(few, "categorical").otherwise(F.col("_kind"))
+    return got.select("column_name", kind.alias("inferred_type"), "n_distinct")
 
 
 def categorical_variables(df: DataFrame) -> list[str]:
@@ -365,9 +371,21 @@ def uniformity(df: DataFrame, col: str) -> DataFrame:
                       (F.col("s") * F.col("k") / F.col("n") - F.col("n")).alias("chi_squared"))
 
 
+def uniform_columns(df: DataFrame, cols: Sequence[str], threshold: float = CHI_SQUARED_THRESHOLD) -> DataFrame:
+    """Chi-squared statistic and p-value of each column, and whether its values are as good as equally frequent."""
+    rows = []
+    for c in cols:
+        got = uniformity(df, c).first()
+        k, x = got["n_distinct"], got["chi_squared"]
+        p = chi_squared_tail(x, k - 1) if k > 1 else None
+        rows.append((c, k, x, p, p is not None and p > threshold))
+    return df.sparkSession.createDataFrame(
+        rows, "column_name string, n_distinct bigint, chi_squared double, p_value double, is_uniform boolean")
+
+
 def alerts(df: DataFrame, correlation_threshold: float = CORRELATION_THRESHOLD,
            skewness_threshold: float = SKEWNESS_THRESHOLD) -> DataFrame:
-    """Alert rows (variable, kind, text): constant, zeros, correlated and skewed columns."""
+    """Alert rows (variable, kind, text): constant, zeros, correlated, skewed and uniform columns."""
     cols = numeric_columns(df)
     flags = column_flags(df, df.columns)
     name = F.col("column_name")
@@ -392,4 +410,10 @@ def alerts(df: DataFrame, correlation_threshold: float = CORRELATION_THRESHOLD,
         out = out.unionByName(skewed.select(
             name.alias("variable"), F.lit("skewed").alias("kind"),
             F.concat(F.lit("["), name, F.lit("] is highly skewed")).alias("alert")))
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    if texts:
+        uniform = uniform_columns(df, texts).filter("is_uniform")
+        out = out.unionByName(uniform.select(
+            name.alias("variable"), F.lit("uniform").alias("kind"),
+            F.concat(F.lit("["), name, F.lit("] is uniformly distributed")).alias("alert")))
     return out

@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesml.operators.ordering import SeriesLayout, dense_index, lookup, series_layout
-from seriesml.session import materialise
+from seriesml.operators.ordering import SeriesLayout, dense_index, lookup, series_layout, sorted_positions
 
 
 def seeded_key(cols: Sequence[str], seed: int) -> Column:
@@ -36,28 +35,12 @@ def split_rows_shuffled(df: DataFrame, series: Sequence[str], ids: Sequence[str]
 def split_series(df: DataFrame, series: str, share: float, shuffle_seed: int | None = None) -> DataFrame:
     """The first `int(k * share)` of the k series, in sorted or in seeded random order, are training series."""
     names = df.select(series).distinct()
-    order = [series]
-    if shuffle_seed is not None:
-        names = names.withColumn("_key", seeded_key([series], shuffle_seed))
-        order = ["_key", series]
-    elif not _is_orderable_number(names, series):
-        return _split_series_text(df, names, series, share)
-    tagged = split_rows(names, series_layout(names, (), order), share).select(series, "split")
-    return lookup(df, tagged, [series], "inner")
-
-
-def _is_orderable_number(df: DataFrame, name: str) -> bool:
-    return df.schema[name].simpleString().split(":")[1] in ("tinyint", "smallint", "int", "bigint", "float", "double")
-
-
-def _split_series_text(df: DataFrame, names: DataFrame, series: str, share: float) -> DataFrame:
-    """Text names: positions from a range-partitioned sort of the names, written once so that they stay fixed."""
-    ranged = names.repartitionByRange(series).sortWithinPartitions(series).select(
-        series, F.spark_partition_id().alias("_part"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"))
-    table = materialise(ranged, "series-names")
-    layout = series_layout(table, (), ["_part", "_at"])
-    tagged = split_rows(table, layout, share).select(series, "split")
+    if shuffle_seed is None:
+        placed = sorted_positions(names, series, "_i", "_n")
+    else:
+        keyed = names.withColumn("_key", seeded_key([series], shuffle_seed))
+        placed = dense_index(keyed, series_layout(keyed, (), ("_key", series)), "_i", "_n")
+    tagged = placed.select(series, _tag(F.col("_i"), F.col("_n"), share).alias("split"))
     return lookup(df, tagged, [series], "inner")
 
 

@@ -136,6 +136,8 @@ def _prepare(df: DataFrame, config: Config, series: Sequence[str], order: Sequen
     table = clean.drop_missing(clean.drop_columns(table, removed))
     encoding = encode.fit_labels(table, cl.target) if cl.classification else None
     if encoding is not None:
+        if cl.onehot_encode_target and encoding.binary:
+            raise ValueError("one-hot encoding needs more than two classes")
         # One code column trains every learner; `one_hot` gives the separate columns when a table of them is wanted.
         table = encode.encode_label(table, encoding)
     table = features.select_variables(table, config.featurize.variables_to_include, [cl.target], keys)
@@ -288,3 +290,27 @@ def explain(fitted: Fitted, spark) -> DataFrame:
             part = importance.global_importance(values).withColumn("model", F.lit(f"feature_importance_{kind}_{method}"))
             out = part if out is None else out.unionByName(part)
     return importance.normalise(out) if out is not None else None
+
+
+def uncertainty(fitted: Fitted) -> DataFrame:
+    """(ids, y_true, y_pred, y_unc, …) of the test samples from models fitted on resamples of the training samples.
+
+    Regression gives the deviation of the draws and the 95 % band, classification the entropy of the draws. The number
+    of draws is a setting.
+    """
+    cfg = fitted.config
+    if cfg.train.ensemble or cfg.train.learning_method not in learners.LEARNERS:
+        raise ValueError("uncertainty needs a single learner that can be refitted")
+    ids = [*fitted.series, "sample"]
+    method, draws = cfg.train.learning_method, cfg.evaluate.uncertainty_estimation_sampling_size
+    vectors = learners.with_vector(fitted.samples.withColumn("label", F.col("y")[0]), "x")
+    train, test = vectors.filter(F.col("split") == "train"), vectors.filter(F.col("split") == "test")
+    truth = test.select(*ids, F.col("label").alias("y_true"))
+    params = _params(cfg, method)
+    if cfg.clean.classification:
+        got = learners.bootstrap_probabilities(train, test.drop("label"), ids, method, draws, params, cfg.train.seed)
+        mean = got.groupBy(*ids, "class").agg(F.avg("prob").alias("_p"))
+        best = mean.groupBy(*ids).agg(F.max_by("class", F.struct("_p", -F.col("class"))).alias("y_pred"))
+        return truth.join(best, ids).join(evaluate.sample_entropy(got, ids, "class", "prob"), ids)
+    got = learners.bootstrap_draws(train, test.drop("label"), ids, method, REGRESSION, draws, params, cfg.train.seed)
+    return truth.join(evaluate.prediction_band(evaluate.draw_summary(got, ids, "y_pred"), "y_pred", "y_unc"), ids)

@@ -67,6 +67,19 @@ def train_multi_output(spark, sf):
     return evaluate.regression_metrics_multi(model.predict(data), "y", "y_pred")
 
 
+@query("train_multi_output_ols", """WITH d AS (SELECT CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) / 100 AS x,
+  o_totalprice / 1000 AS a, o_custkey / 1000 AS b FROM orders),
+m AS (SELECT var_pop(a) * (1 - regr_r2(a, x)) AS ma, regr_r2(a, x) AS ra, var_pop(b) * (1 - regr_r2(b, x)) AS mb, regr_r2(b, x) AS rb FROM d)
+SELECT CAST(2 AS BIGINT) AS n_outputs, round((ma + mb) / 2, 4) AS mse, round((sqrt(ma) + sqrt(mb)) / 2, 6) AS rmse, round((ra + rb) / 2, 6) AS r2 FROM m""")
+def train_multi_output_ols(spark, sf):
+    days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date")).cast("double")
+    df = table(spark, sf, "orders").select((days / 100).alias("x"), F.array(F.col("o_totalprice") / 1000, F.col("o_custkey") / 1000).alias("y"))
+    data = learners.with_vector(df, "x")
+    model = learners.fit_multi_output(data, "linearregression", "y", 2)
+    got = evaluate.regression_metrics_multi(model.predict(data), "y", "y_pred")
+    return got.select("n_outputs", rounded("mse", 4).alias("mse"), rounded("rmse").alias("rmse"), rounded("r2").alias("r2"))
+
+
 def _slope_table(spark, sf, method, params=None):
     data = _order_features(spark, sf)
     coef, intercept = learners.linear_coefficients(learners.fit(data, method, REGRESSION, params))

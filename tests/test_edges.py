@@ -113,8 +113,13 @@ def test_labels(spark):
     assert [tuple(r) for r in encode.one_hot(unseen, fitted).collect()] == [(0, 1, 0), (0, 0, 0), (0, 0, 0)]
     with pytest.raises(ValueError):
         encode.one_hot(df, encode.fit_labels(df.filter("c < 'z'"), "c"))
-    with pytest.raises(ValueError):
-        encode.fit_labels(df, "c", max_classes=2)
+    many = encode.fit_labels(df, "c", inline_classes=2)
+    assert many.table is not None
+    assert {tuple(r) for r in encode.encode_label(unseen, many, "k").collect()} == {("y", 1), ("q", None), (None, None)}
+    assert encode.encode_label(unseen, many).columns == ["c"]
+    numbers = spark.createDataFrame([(30,), (7,), (7,), (12,)], "c int")
+    coded = encode.encode_label(numbers, encode.fit_labels(numbers, "c", 1), "k").collect()
+    assert {tuple(r) for r in coded} == {(7, 0), (12, 1), (30, 2)} and len(coded) == 4
 
 
 def test_input_contract(spark):
@@ -210,3 +215,18 @@ def test_config_checks():
 def test_flat_names_follow_time():
     assert sequence.flat_names(["a", "b"], 2) == ["a_0", "b_0", "a_1", "b_1"]
     assert sequence.flat_names(["a"], 1) == ["a"]
+
+
+def test_chi_squared_tail():
+    from seriesml.functions.statistics import chi_squared_tail
+    # Tabled values.
+    for x, dof, p in ((3.841459, 1, 0.05), (9.487729, 4, 0.05), (0.710723, 4, 0.95), (18.307038, 10, 0.05), (23.209251, 10, 0.01)):
+        assert abs(chi_squared_tail(x, dof) - p) < 1e-6
+    assert chi_squared_tail(0.0, 3) == 1.0 and abs(chi_squared_tail(2 * math.log(2), 2) - 0.5) < 1e-12
+
+
+def test_uniform_and_boolean_text(spark):
+    df = spark.range(400).select(F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c"), F.lit("d")), (F.col("id") % 4 + 1).cast("int")).alias("even"),
+                                 F.when(F.col("id") % 10 == 0, "Yes").otherwise("no").alias("flag"))
+    assert [(r["variable"], r["kind"]) for r in profile.alerts(df).collect()] == [("even", "uniform")]
+    assert {r["column_name"]: r["inferred_type"] for r in profile.column_types(df).collect()} == {"even": "categorical", "flag": "boolean"}

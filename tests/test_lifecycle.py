@@ -77,3 +77,21 @@ def test_ensemble_explained_and_combined(spark, recorded):
     assert len(models) >= 2
     score = importance.agreement_score(importance.agreement_matrix(imp, models, "pearson")).first()
     assert score["agreement_std"] is not None
+
+
+def test_uncertainty(recorded):
+    cfg = config(train={"learning_method": "linearregression"}, evaluate={"uncertainty_estimation_sampling_size": 4})
+    fitted = lifecycle.fit(recorded.drop("kind"), cfg, ["series_id"], ["t"])
+    got = lifecycle.uncertainty(fitted).collect()
+    assert len(got) == 450 and all(r["lower"] <= r["y_pred"] <= r["upper"] for r in got)
+    cfg = config(clean={"target": "kind", "classification": True}, train={"learning_method": "dt"},
+                 evaluate={"uncertainty_estimation_sampling_size": 3})
+    fitted = lifecycle.fit(recorded.drop("y"), cfg, ["series_id"], ["t"])
+    got = lifecycle.uncertainty(fitted).collect()
+    assert len(got) == 450 and sum(r["y_true"] == r["y_pred"] for r in got) > 400 and all(r["y_unc"] >= -1e-9 for r in got)
+
+
+def test_one_hot_of_two_classes_is_refused(recorded):
+    cfg = config(clean={"target": "kind", "classification": True, "onehot_encode_target": True})
+    with pytest.raises(ValueError, match="one-hot"):
+        lifecycle.fit(recorded.drop("y"), cfg, ["series_id"], ["t"])
