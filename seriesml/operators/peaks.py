@@ -20,7 +20,7 @@ from seriesml.operators.ordering import (
 from seriesml.session import materialise
 
 PEAK_DISTANCE = 5
-SMALL_CLUSTER = 64
+SMALL_CLUSTER = 512
 OPEN_BLOCK = 200_000
 
 

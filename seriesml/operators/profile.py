@@ -32,6 +32,8 @@ BOOLEAN_PAIRS = (("t", "f"), ("yes", "no"), ("y", "n"), ("true", "false"))
 # Columns per aggregate, so that generated code stays small for wide tables.
 COLUMNS_PER_PASS = 50
 PAIRS_PER_PASS = 40
+# Up to this many columns distinct values are counted column by column inside one plan.
+COLUMNS_APART = 32
 # Above this many columns the correlations come from one matrix.
 MATRIX_COLUMNS = 9
 
@@ -75,7 +77,15 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], approximate: bool = Fals
     Exact counts send each (column, value) pair once per map task; `approximate` keeps a fixed-size sketch instead.
     """
     count = F.approx_count_distinct if approximate else F.count_distinct
-    return _per_column(df, list(cols), {"n_distinct": count, "n": F.count})
+    stats = {"n_distinct": count, "n": F.count}
+    if approximate or len(cols) > COLUMNS_APART:
+        return _per_column(df, list(cols), stats)
+    # Few columns: one aggregate per column, each reading its own column, without copies of the rows per column.
+    out = None
+    for c in cols:
+        part = _per_column(df.select(c), [c], stats)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def distinct_flags(df: DataFrame, cols: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:

@@ -1,6 +1,6 @@
 """Exact quantiles with linear interpolation, whatever the number of rows.
 
-Up to `direct_rows` rows the built-in exact percentile is used. Beyond, a pass of approximate percentiles brackets the
+Up to `direct_rows` rows a column is sorted in one task. Beyond, a pass of approximate percentiles brackets the
 wanted ranks, a counting pass tells which bracket holds each rank, and this repeats until the brackets hold few rows;
 only those are sorted. All columns and quantiles share each pass.
 """
@@ -35,12 +35,17 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], shares: Sequence[float],
     small = [c for c in cols if sizes[c] <= direct_rows]
     out: dict[str, list[float | None]] = {}
     if small:
-        wanted = F.array(*[F.lit(float(s)) for s in shares])
-
         def direct(c: str) -> list[float | None]:
-            got = df.agg(F.percentile(F.col(c).cast("double"), wanted).alias("q")).first()["q"]
-            return list(got) if got is not None else [None] * len(shares)
-        # A small column is one task, so columns run side by side.
+            n = sizes[c]
+            if not n:
+                return [None] * len(shares)
+            ranks = sorted({r for s in shares for r in _ranks(s, n)})
+            place = F.row_number().over(Window.orderBy("v")) - 1
+            rows = (df.select(F.col(c).cast("double").alias("v")).filter(F.col("v").isNotNull())
+                    .withColumn("r", place).filter(F.col("r").isin(ranks)).collect())
+            values = {(c, r["r"]): r["v"] for r in rows}
+            return [_interpolate(values, c, s, n) for s in shares]
+        # A small column is sorted in one task, so columns run side by side.
         with ThreadPoolExecutor(min(len(small), PARALLEL_COLUMNS)) as pool:
             out.update(zip(small, pool.map(direct, small)))
     large = [c for c in cols if c not in out]
