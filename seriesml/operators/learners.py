@@ -74,7 +74,7 @@ def _linear(facts: TrainingFacts, alpha: float, l1: float, params: Mapping) -> E
         return LinearRegression(regParam=0.0, standardization=False, solver="normal" if facts.features <= 4096 else "l-bfgs")
     lasso, ridge = alpha * l1, alpha * (1 - l1)
     if lasso == 0:
-        # Squared loss here is a mean, in the reference definition a sum over rows.
+        # MLlib takes the mean squared loss; `alpha` belongs to the sum over rows.
         return LinearRegression(regParam=ridge * s / facts.rows, elasticNetParam=0.0, standardization=False,
                                 solver="normal" if facts.features <= 4096 else "l-bfgs")
     total = lasso + s * ridge
