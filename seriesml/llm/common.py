@@ -25,3 +25,17 @@ def joined(left: DataFrame, right: DataFrame, keys: list[str], how: str, rows: i
     if (right.count() if rows is None else rows) <= BROADCAST_ROWS:
         right = F.broadcast(right)
     return left.join(right, keys, how)
+
+
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that `df` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
+    """`docs` as it is with the key of each row in a column of a free name, and that name."""
+    name = free_name(docs, "row_key")
+    return docs.withColumn(name, F.xxhash64(F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))), name
