@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seriesml.llm import decontaminate, line_dedup, quality_rules
+from seriesml.llm import decontaminate, line_dedup, quality_rules, secret_scan
 from seriesml.llm.registry import query, table
 
 
@@ -70,3 +70,15 @@ def op9_decontamination(spark, sf):
     """Hit words and items of every document against the whole benchmark."""
     rows = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return rows.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op8_secret_scans")
+def op8_secret_scans(spark, sf):
+    """Spans of secrets in every document."""
+    rows = secret_scan.secret_spans(table(spark, sf, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "markov")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return rows.select("doc_id", *[count(k).alias(f"n_{k}") for k in secret_scan.KINDS],
+                       F.sha2(secret_scan.joined_spans(base).cast("binary"), 256).alias("base_sha256"), secret_scan.joined_spans(F.col("spans")).alias("spans"))

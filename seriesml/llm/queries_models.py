@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from seriesml.llm import near_dedup
+from pyspark.sql import functions as F
+
+from seriesml.llm import near_dedup, toxicity
 from seriesml.llm.registry import query, table
 
 
@@ -10,3 +12,12 @@ from seriesml.llm.registry import query, table
 def op4_minhash_near_dedup(spark, sf):
     """The class of near copies of every document."""
     return near_dedup.near_duplicates(table(spark, sf, "documents")).select("doc_id", "class_id", "n_class")
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark, sf):
+    """Toxicity of every document; the held-out fold's labels are never read."""
+    docs = table(spark, sf, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, sf, "labels"))
+    scored = docs.select("doc_id", (toxicity.fold() == 0).alias("held_out"), toxicity.toxicity_score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
