@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from seriesml.llm.common import documents, row_key
 from seriesml.session import materialise
 
-_SYMBOLS, _UPPER, _LETTERS = re.compile(r"[#*$%&|<>{}\\^~]"), re.compile(r"[A-Z]"), re.compile(r"[^\W\d_]+")
+_SYMBOLS, _UPPER, _MARKS = re.compile(r"[#*$%&|<>{}\\^~]+"), re.compile(r"[A-Z]"), re.compile(r"[^\w\s]")
 
 
 def _vote(value: float, good: float, bad: float) -> int:
@@ -30,17 +30,20 @@ def _measures(text: str) -> tuple[list[str], dict[str, float]]:
     n = max(len(words), 1)
     lines = [x for x in text.split("\n") if x.strip()]
     again = sum(map(operator.eq, words, words[1:]))
+    runs = _SYMBOLS.findall(text)
     return words, {
-        "symbols": len(_SYMBOLS.findall(text)) / n, "capitals": len(_UPPER.findall(text)) / max(len(text), 1), "shouting": text.count("!") / n,
+        "symbols": sum(map(len, runs)) / max(len(text), 1), "runs": len(runs) / n, "marks": len(_MARKS.findall(text)) / max(len(text), 1), "capitals": len(_UPPER.findall(text)) / max(len(text), 1), "shouting": text.count("!") / n,
         "again": again / n, "few_words": 1 - len(set(words)) / min(n, 400), "lines": 1 - len(set(lines)) / max(len(lines), 1),
         "odd_length": abs(len(text) / n - 6.5), "unpunctuated": 1 - min(1.0, 25 * text.count(".") / n), "n": float(len(words))}
 
 
 #: name: (measure, at most: good, at least: bad). Labellers overlap and may abstain; none of them is trusted as it is.
 LABELLERS = {
-    "symbols": ("symbols", 0.05, 0.3), "capitals": ("capitals", 0.12, 0.35), "shouting": ("shouting", 0.05, 0.3), "again": ("again", 0.05, 0.3),
-    "few_words": ("few_words", 0.75, 0.93), "lines": ("lines", 0.1, 0.4), "word_length": ("odd_length", 2.0, 4.0), "sentences": ("unpunctuated", 0.3, 0.9),
+    "symbols": ("symbols", 0.01, 0.05), "runs": ("runs", 0.05, 0.3), "marks": ("marks", 0.06, 0.1), "capitals": ("capitals", 0.12, 0.35), "shouting": ("shouting", 0.05, 0.3), "again": ("again", 0.05, 0.3),
+    "few_words": ("few_words", 0.75, 0.8), "lines": ("lines", 0.1, 0.4), "word_length": ("odd_length", 2.0, 4.0), "sentences": ("unpunctuated", 0.3, 0.9),
 }
+#: Shares of characters say nothing bad about texts of fewer than ENOUGH words.
+SHARES, ENOUGH = ("marks", "capitals", "word_length"), 40
 
 
 def votes(text: str) -> list[int]:
@@ -48,12 +51,16 @@ def votes(text: str) -> list[int]:
     words, m = _measures(text)
     if not words:
         return [-1] * len(LABELLERS)
-    return [_vote(m[k], good, bad) for k, good, bad in LABELLERS.values()]
+    found = [_vote(m[k], good, bad) for k, good, bad in LABELLERS.values()]
+    return [0 if v < 0 and name in SHARES and len(words) < ENOUGH else v for v, name in zip(found, LABELLERS)]
 
 
 @dataclass(frozen=True)
 class WeakLabels:
-    """Share of good documents, and P(vote | class) of each labeller for the votes -1, 0, 1; axis 1 is the class, 1 for good."""
+    """Share of good documents, and P(vote | class, the labeller votes) for the votes -1, 0, 1; axis 1 is the class, 1 for good.
+
+    Abstaining says nothing: its entry is 1.
+    """
 
     prior: float
     tables: np.ndarray
@@ -67,22 +74,24 @@ class WeakLabels:
 
 
 def fit_labels(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, smooth: float = 1.0) -> WeakLabels:
-    """Expectation-maximisation over vote patterns with counts, from the majority of the votes.
+    """Expectation-maximisation over vote patterns with counts, from the number of bad votes.
 
     Labellers are independent given the class. `smooth` votes of each kind are added, so a table is never 0. Classes keep
-    their names since the start says that more good votes make a good document.
+    their names since the start says that each bad vote makes a document worse; bad documents of different kinds, on which
+    most labellers find nothing, then begin in one class.
     """
     n = patterns.shape[1] if patterns.ndim == 2 else 0
     if not len(patterns):
-        return WeakLabels(0.5, np.full((n, 2, 3), 1 / 3))
-    post = np.clip(0.5 + 0.45 * np.tanh(patterns.sum(axis=1)), 0.05, 0.95)
-    model = WeakLabels(0.5, np.full((n, 2, 3), 1 / 3))
+        return WeakLabels(0.5, np.full((n, 2, 3), 1.0))
+    post = 0.95 * 0.3 ** (patterns < 0).sum(axis=1)
+    model = WeakLabels(0.5, np.full((n, 2, 3), 1.0))
     for _ in range(rounds):
         tables = np.full((n, 2, 3), float(smooth))
         for j in range(n):
             for c, weight in enumerate((counts * (1 - post), counts * post)):
                 tables[j, c] += np.bincount(patterns[:, j] + 1, weights=weight, minlength=3)
-        tables /= tables.sum(axis=2, keepdims=True)
+        tables /= tables[:, :, [0, 2]].sum(axis=2, keepdims=True)
+        tables[:, :, 1] = 1.0
         model = WeakLabels(float(np.clip((counts * post).sum() / counts.sum(), 1e-4, 1 - 1e-4)), tables)
         new = model.posterior(patterns)
         if np.abs(new - post).max() < 1e-7:
@@ -114,7 +123,7 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
         _BUCKETS.clear()
     pairs = np.array(list(map(_BUCKETS.__getitem__, words)), dtype=np.int64).reshape(-1, 2)
     found, counts = np.unique(pairs.ravel(), return_counts=True)
-    steps = [f"{k} {int(10 * min(m[k], 3.0))}" for k in ("symbols", "capitals", "shouting", "again", "few_words", "lines", "odd_length")]
+    steps = [f"{k} {int(10 * min(m[k], 3.0))}" for k in ("symbols", "runs", "marks", "capitals", "shouting", "again", "few_words", "lines", "odd_length")]
     steps.append(f"length {min(int(np.log2(m['n'] + 1)), 16)}")
     own = np.array([xxhash.xxh64_intdigest(s) >> (64 - SCORE_BITS) for s in steps], dtype=np.int64)
     return np.concatenate([found, own]), np.concatenate([np.sqrt(counts / max(len(words), 1)), np.full(len(own), 0.5)])
