@@ -139,10 +139,10 @@ def _verified(size: int, similarity: float):
 
 
 def _side_by_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of rows in a row with the same band and hash; the first and the last row of a task as edges without b."""
+    """Pairs of rows in a row with the same band and hash; the first (edge 1) and the last row (2) of a task without b."""
     def made(rows, a, b, edge):
         return pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), rows.column(2), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
-                                           pa.array(edge)], names=["band", "hash", "turn", "a", "b", "edge"])
+                                           pa.array(edge, pa.int64())], names=["band", "hash", "turn", "a", "b", "edge"])
     last = None
     for batch in batches:
         if not batch.num_rows:
@@ -150,7 +150,7 @@ def _side_by_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         key = batch.column(3).to_numpy()
         if last is None:
             first = batch.slice(0, 1)
-            yield made(first, [key[0]], [None], [True])
+            yield made(first, [key[0]], [None], [1])
         else:
             batch = pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
             key = batch.column(3).to_numpy()
@@ -158,9 +158,9 @@ def _side_by_side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         band, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         at = np.flatnonzero((band[1:] == band[:-1]) & (hashes[1:] == hashes[:-1]) & (key[1:] != key[:-1])) + 1
         rows = batch.take(pa.array(at))
-        yield made(rows, key[at], key[at - 1], np.zeros(len(at), dtype=bool))
+        yield made(rows, key[at], key[at - 1], np.zeros(len(at), dtype=np.int64))
     if last is not None:
-        yield made(last, last.column(3).to_numpy(), [None], [True])
+        yield made(last, last.column(3).to_numpy(), [None], [2])
 
 
 def neighbours(members: DataFrame) -> DataFrame:
@@ -171,10 +171,10 @@ def neighbours(members: DataFrame) -> DataFrame:
     """
     order = ["band", "hash", "turn", "key"]
     ordered = members.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
-    made = materialise(ordered.mapInArrow(_side_by_side, "band int, hash long, turn long, a long, b long, edge boolean"), "neighbours")
-    cuts = Window.partitionBy("band", "hash").orderBy("turn", "a")
-    met = made.filter("edge").withColumn("b", F.lag("a").over(cuts))
-    pairs = made.filter("NOT edge").unionByName(met).filter("b IS NOT NULL AND a <> b")
+    made = materialise(ordered.mapInArrow(_side_by_side, "band int, hash long, turn long, a long, b long, edge long"), "neighbours")
+    cuts = Window.partitionBy("band", "hash").orderBy("turn", "a", "edge")
+    met = made.filter("edge > 0").withColumns({"b": F.lag("a").over(cuts), "before": F.lag("edge").over(cuts)})
+    pairs = made.filter("edge = 0").unionByName(met.filter("edge = 1 AND before = 2").drop("before")).filter("a <> b")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 

@@ -16,6 +16,8 @@ RULES = {
     "lines": "10 * n_dup_lines > 3 * n_lines",
     "word_length": "word_chars < 2 * n_words OR word_chars > 15 * n_words",
 }
+#: Documents that the prior weighs as when hosts differ no more than by chance.
+ALIKE = 1e6
 
 
 def _repeat_words() -> tuple[F.Column, F.Column]:
@@ -63,20 +65,21 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
 def host_rates(measured: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     """host, n_docs and for each rule the failures and the shrunk rate `<rule>_rate`.
 
-    The beta prior of a rule has the mean and the variance of the hosts' own rates, each host counting once (by moments;
-    where the variance is 0 or that of a coin, the prior weighs as one document, half at the mean and half at one half).
-    Sums are combined on the map side; two numbers for each rule reach the driver. No rows give no hosts.
+    The beta prior of a rule has the mean of the hosts' own rates and their variance beyond that of chance, m (1 - m) times
+    the mean of 1 / n_docs, each host counting once. Where hosts differ no more than by chance, it weighs as ALIKE documents.
+    Sums are combined on the map side; a few numbers for each rule reach the driver. No rows give no hosts.
     """
     names = list(rules)
     per = materialise(measured.groupBy("host").agg(F.count("*").alias("n_docs"), *[
         F.sum(F.when(F.expr(rules[r]), 1).otherwise(0)).alias(r) for r in names]), "hosts")
     got = per.agg(*[F.avg(F.col(r) / F.col("n_docs")).alias(f"m_{r}") for r in names],
-                  *[F.var_pop(F.col(r) / F.col("n_docs")).alias(f"v_{r}") for r in names]).first()
+                  *[F.var_pop(F.col(r) / F.col("n_docs")).alias(f"v_{r}") for r in names], F.avg(1 / F.col("n_docs")).alias("inverse")).first()
     rates = []
     for r in names:
-        m, v = got[f"m_{r}"] or 0.0, got[f"v_{r}"] or 0.0
-        weight = m * (1 - m) / v - 1 if 0 < v < m * (1 - m) else 0.0
-        a, b = (m * weight, (1 - m) * weight) if weight > 0 else (m / 2 + 0.25, 0.75 - m / 2)
+        m = got[f"m_{r}"] or 0.0
+        between = (got[f"v_{r}"] or 0.0) - m * (1 - m) * (got["inverse"] or 0.0)
+        weight = max(m * (1 - m) / between - 1, 0.0) if between > 0 else ALIKE
+        a, b = m * weight, (1 - m) * weight
         rates.append(((F.col(r) + F.lit(a)) / (F.col("n_docs") + F.lit(a + b))).alias(f"{r}_rate"))
     return per.select("host", "n_docs", *names, *rates)
 

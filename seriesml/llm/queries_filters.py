@@ -21,9 +21,9 @@ f AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base, 1
   (word_chars < 2 * n_words OR word_chars > 15 * n_words) AS word_length FROM m),
 u AS (UNPIVOT (SELECT host, count(*) AS n_docs, CAST(sum(base::INT) AS DOUBLE) AS base, CAST(sum(symbols::INT) AS DOUBLE) AS symbols,
   CAST(sum(lines::INT) AS DOUBLE) AS lines, CAST(sum(word_length::INT) AS DOUBLE) AS word_length FROM f GROUP BY host) ON base, symbols, lines, word_length INTO NAME rule VALUE n),
-p AS (SELECT rule, avg(n / n_docs) AS m, var_pop(n / n_docs) AS v FROM u GROUP BY rule),
-q AS (SELECT rule, m, CASE WHEN v > 0 AND v < m * (1 - m) THEN m * (1 - m) / v - 1 ELSE 0 END AS k FROM p),
-ab AS (SELECT rule, CASE WHEN k > 0 THEN m * k ELSE m / 2 + 0.25 END AS a, CASE WHEN k > 0 THEN (1 - m) * k ELSE 0.75 - m / 2 END AS b FROM q),
+p AS (SELECT rule, avg(n / n_docs) AS m, var_pop(n / n_docs) AS v, avg(1.0 / n_docs) AS inv FROM u GROUP BY rule),
+q AS (SELECT rule, m, CASE WHEN v - m * (1 - m) * inv > 0 THEN greatest(m * (1 - m) / (v - m * (1 - m) * inv) - 1, 0) ELSE 1e6 END AS k FROM p),
+ab AS (SELECT rule, m * k AS a, (1 - m) * k AS b FROM q),
 h AS (SELECT host, max((n + a) / (n_docs + a + b)) <= 0.5 AS fine FROM u JOIN ab USING (rule) GROUP BY host)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base AS base_failed, NOT base AND fine AS kept FROM f JOIN h USING (host)""")
 def op5_quality_rules(spark, sf):

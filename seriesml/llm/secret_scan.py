@@ -24,6 +24,7 @@ TOKEN = r"[A-Za-z0-9+/_=-]+"
 _TOKEN_CHARS = 16
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 _N = len(ALPHABET) + 1
+_PRIOR = 20
 
 
 def _found(kind: str, pattern: str, group: int, hint: str) -> F.Column:
@@ -67,17 +68,20 @@ def bigram_model(samples: DataFrame) -> list[float]:
     """log P(next | char) of random strings minus that of ordinary ones, a number for each pair of characters.
 
     `samples` has said and random (boolean). Counts of pairs are combined on the map side, at most two for each pair reach
-    the driver; one is added to each. Without samples all are 0.
+    the driver. Rare pairs lean on the frequency of the second character alone, as if it had been seen _PRIOR times, and one
+    is added to each frequency. Without samples all are 0.
     """
     pairs = samples.filter(F.length("said") > 1).select("random", "said", F.explode(F.sequence(F.lit(1), F.length("said") - 1)).alias("i"))
     coded = pairs.select("random", F.expr(f"instr('{ALPHABET}', substr(said, i, 1)) * {_N} + instr('{ALPHABET}', substr(said, i + 1, 1))").alias("pair"))
-    counts = {True: [1] * (_N * _N), False: [1] * (_N * _N)}
+    counts = {True: [0] * (_N * _N), False: [0] * (_N * _N)}
     for r in coded.groupBy("random", "pair").count().collect():
         counts[r["random"]][r["pair"]] += r["count"]
     logs = {}
     for kind, c in counts.items():
+        nexts = [1 + sum(c[j::_N]) for j in range(_N)]  # of each character as a second one
+        total = sum(nexts)
         sums = [sum(c[i * _N:(i + 1) * _N]) for i in range(_N)]
-        logs[kind] = [math.log(c[j] / sums[j // _N]) for j in range(_N * _N)]
+        logs[kind] = [math.log((c[j] + _PRIOR * nexts[j % _N] / total) / (sums[j // _N] + _PRIOR)) for j in range(_N * _N)]
     return [round(a - b, 4) for a, b in zip(logs[True], logs[False])]
 
 
