@@ -10,6 +10,12 @@ from typing import Any
 METHODS = ("dnn", "dt", "rf", "xgboost", "xgb", "lgbm", "lda", "qda", "svm", "linearregression", "ridgeregression", "lasso",
            "elasticnet", "sgd", "kneighbors", "kn", "gb", "gradientboosting")
 EXPLANATIONS = ("shap", "lime", "all")
+# Fields of parameter files that belong to networks not built here, fields without effect, other spellings.
+NETWORK_FIELDS = {"train": ("activation_function", "early_stopping", "ff_dim", "head_size", "kernel_size", "maxpooling", "maxpooling_size",
+                            "n_flattened_layers", "n_flattened_nodes", "n_heads", "n_transformer_blocks", "patience", "unit_type")}
+IGNORED = {"train": (*NETWORK_FIELDS["train"], "dropout"), "clean": ("combine_files",), "evaluate": ("show_inputs",),
+           "explain": ("generate_explanations",)}
+RENAMED = {"evaluate": {"dropout_uncertainty_estimation": "uncertainty_estimation"}}
 
 
 def _within(name: str, value: float, low: float, high: float | None = None) -> None:
@@ -128,9 +134,10 @@ class Evaluate:
 @dataclass(frozen=True)
 class Explain:
     generate_explanations: bool = False
-    number_of_background_samples: int = 10
-    number_of_summary_samples: int = 20
+    number_of_background_samples: int | None = None
+    number_of_summary_samples: int | None = None
     explanation_method: str = "shap"
+    shapley_mode: str = "sampled"
     seed: int = 0
 
     def __post_init__(self):
@@ -157,16 +164,28 @@ class Config:
     evaluate: Evaluate = field(default_factory=Evaluate)
     explain: Explain = field(default_factory=Explain)
     combine_explanations: CombineExplanations = field(default_factory=CombineExplanations)
+    unused: tuple[str, ...] = ()
 
     @classmethod
     def from_mapping(cls, sections: Mapping[str, Mapping[str, Any]]) -> Config:
-        """From nested mappings, such as a parsed YAML file. Unknown sections and fields are errors."""
-        known = {f.name: f.default_factory for f in fields(cls)}
+        """From nested mappings, such as a parsed YAML file. Unknown sections and fields are errors.
+
+        `unused` names the fields that were given but have no effect: those of networks that are not built, and those that
+        steer files, which are read and written outside of a run.
+        """
+        known = {f.name: f.default_factory for f in fields(cls) if f.name != "unused"}
         unknown = set(sections) - set(known)
         if unknown:
             raise ValueError(f"unknown sections: {', '.join(sorted(unknown))}")
-        return cls(**{name: _section(known[name], values)
-                      for name, values in sections.items()})
+        unused = tuple(f"{name}.{field_}" for name, values in sections.items() for field_ in (values or {})
+                       if field_ in IGNORED.get(name, ()))
+        return cls(**{name: _section(known[name], _known(name, values)) for name, values in sections.items()}, unused=unused)
+
+
+def _known(name: str, values: Mapping[str, Any] | None) -> dict[str, Any]:
+    """Without the fields of networks, other spellings replaced."""
+    renamed = RENAMED.get(name, {})
+    return {renamed.get(k, k): v for k, v in (values or {}).items() if k not in NETWORK_FIELDS.get(name, ())}
 
 
 def _section(kind, values: Mapping[str, Any] | None):

@@ -65,7 +65,7 @@ def removable_columns(df: DataFrame, target: str | None, zeros_threshold: float
     matrix = profile.correlation_lookup(df, cols, method)
     removed: list[str] = []
     for name in df.columns:
-        if flags[name]["n_distinct"] <= 1 or (flags[name]["p_zeros"] or 0.0) > zeros_threshold:
+        if flags[name]["is_constant"] or (flags[name]["p_zeros"] or 0.0) > zeros_threshold:
             removed.append(name)
     for name in cols:
         if name == target or name in removed:

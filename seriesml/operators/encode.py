@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +26,10 @@ class LabelEncoding:
     def binary(self) -> bool:
         return self.table is None and len(self.classes) <= 2
 
+    @property
+    def size(self) -> int:
+        return len(self.classes) if self.table is None else self.table.count()
+
 
 def fit_labels(df: DataFrame, col: str, inline_classes: int = INLINE_CLASSES) -> LabelEncoding:
     """Classes over all series, NULL left out."""
@@ -51,20 +54,22 @@ def encode_label(df: DataFrame, encoding: LabelEncoding, out: str | None = None)
 
 
 def one_hot(df: DataFrame, encoding: LabelEncoding, prefix: str = "target") -> DataFrame:
-    """Columns `target_0..` in class order instead of the label. Needs more than two classes."""
-    if encoding.table is not None:
-        raise ValueError("too many classes for one column each")
+    """Columns `target_0..` in class order instead of the label. Needs more than two classes, and takes any number."""
     if encoding.binary:
         raise ValueError("one-hot encoding needs more than two classes; use a plain label")
-    flags = [F.coalesce((F.col(encoding.column) == F.lit(c)).cast("int"), F.lit(0)).alias(f"{prefix}_{i}")
-             for i, c in enumerate(encoding.classes)]
-    return df.select(*[c for c in df.columns if c != encoding.column], *flags)
+    coded, rest = encode_label(df, encoding), [c for c in df.columns if c != encoding.column]
+    flags = [F.coalesce((F.col(encoding.column) == i).cast("int"), F.lit(0)).alias(f"{prefix}_{i}") for i in range(encoding.size)]
+    return coded.select(*rest, *flags)
+
+
+def one_hot_array(df: DataFrame, encoding: LabelEncoding, out: str = "target") -> DataFrame:
+    """The same flags as one array column, for classes too many to be columns."""
+    coded, rest = encode_label(df, encoding), [c for c in df.columns if c != encoding.column]
+    code = F.col(encoding.column)
+    return coded.select(*rest, F.transform(F.sequence(F.lit(0), F.lit(encoding.size - 1)), lambda i: F.coalesce((i == code).cast("int"), F.lit(0))).alias(out))
 
 
 def decode(scores: Column | str, classes: int) -> Column:
     """Class of a score array (first largest) or, for a single binary score, of `score > 0.5`."""
     return argmax(scores) if classes > 2 else above_half(scores)
 
-
-def target_names(encoding: LabelEncoding | None, target: str, onehot: bool, prefix: str = "target") -> Sequence[str]:
-    return [f"{prefix}_{i}" for i in range(len(encoding.classes))] if onehot and encoding else [target]

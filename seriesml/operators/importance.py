@@ -55,9 +55,11 @@ def importance_matrix(importances: DataFrame, features: Sequence[str]) -> DataFr
 
 
 def drop_incomplete_models(importances: DataFrame) -> DataFrame:
-    """Leave out models that miss an importance."""
-    gaps = importances.filter(F.col("importance").isNull()).select("model").distinct()
-    return importances.join(gaps, "model", "left_anti")
+    """Leave out models that miss an importance: NULL, NaN, or no row for a feature that another model has."""
+    there = F.col("importance").isNotNull() & ~F.isnan("importance")
+    features = importances.select("feature").distinct().count()
+    full = importances.groupBy("model").agg(F.count_distinct(F.when(there, F.col("feature"))).alias("_n")).filter(F.col("_n") == features)
+    return importances.join(full.select("model"), "model", "left_semi")
 
 
 def keep_adequate(importances: DataFrame, adequate: DataFrame) -> DataFrame:

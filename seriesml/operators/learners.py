@@ -32,8 +32,8 @@ BOOSTING = {"gb": {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1},
 RIDGE_ALPHA = LASSO_ALPHA = ELASTIC_ALPHA = 1.0
 ELASTIC_L1 = 0.5
 SGD_ALPHA = 1e-4
-# A tree with unlimited depth would grow with the data; `max_depth` overrides.
-TREE_DEPTH = 10
+# The deepest tree of MLlib: trees grow fully unless `max_depth` says otherwise.
+TREE_DEPTH = 30
 
 
 @dataclass(frozen=True)
@@ -95,7 +95,7 @@ def _tree(task, facts, params, seed):
 def _forest(task, facts, params, seed):
     cls = RandomForestClassifier if task == CLASSIFICATION else RandomForestRegressor
     return cls(numTrees=params.get("n_estimators", FOREST_TREES), maxDepth=params.get("max_depth", TREE_DEPTH), seed=seed,
-               minInstancesPerNode=params.get("min_samples_leaf", 1),
+               minInstancesPerNode=params.get("min_samples_leaf", 1), bootstrap=params.get("bootstrap", True),
                featureSubsetStrategy="sqrt" if task == CLASSIFICATION else "all")
 
 
@@ -264,13 +264,24 @@ def linear_coefficients(model: PipelineModel) -> tuple[list[float], float]:
     return [float(c) for c in stage.coefficients.toArray()], float(stage.intercept)
 
 
-def _bootstrap(train: DataFrame, method: str, task: str, draws: int, params: Mapping | None, seed: int, parallelism: int) -> list:
+# P(at most n) of a Poisson distribution of mean 1, from n = 0 on.
+POISSON_ONE = (0.36787944117, 0.73575888234, 0.91969860293, 0.98101184312, 0.99634015317, 0.99940581518, 0.99991675885, 0.99998975080)
+
+
+def resample(train: DataFrame, ids: Sequence[str], draw: int, seed: int = 0) -> DataFrame:
+    """Each row as often as a Poisson number of mean 1 says, drawn from the row's ids alone: the same on any cluster."""
+    text = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ids], F.lit(str(draw)), F.lit(str(seed)))
+    u = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+    times = sum(((u >= p).cast("int") for p in POISSON_ONE), F.lit(0))
+    return train.withColumn("_times", times).filter("_times > 0").withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
+
+
+def _bootstrap(train: DataFrame, ids: Sequence[str], method: str, task: str, draws: int, params: Mapping | None, seed: int, parallelism: int) -> list:
     """Models fitted on `draws` resamples of one cached table."""
-    data = train.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    data = train.select(*ids, "features", "label").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            return list(pool.map(
-                lambda i: fit(data.sample(True, 1.0, seed=seed + i), method, task, params, seed + i), range(draws)))
+            return list(pool.map(lambda i: fit(resample(data, ids, i, seed), method, task, params, seed + i), range(draws)))
     finally:
         data.unpersist()
 
@@ -278,7 +289,7 @@ def _bootstrap(train: DataFrame, method: str, task: str, draws: int, params: Map
 def bootstrap_draws(train: DataFrame, df: DataFrame, ids: Sequence[str], method: str, task: str, draws: int,
                     params: Mapping | None = None, seed: int = 0, parallelism: int = 3) -> DataFrame:
     """(ids, draw, y_pred): predictions of the resampled models."""
-    fitted = _bootstrap(train, method, task, draws, params, seed, parallelism)
+    fitted = _bootstrap(train, ids, method, task, draws, params, seed, parallelism)
     got = predict_many(df, {str(i): m for i, m in enumerate(fitted)}, ids)
     return got.select(*ids, F.col("method").cast("int").alias("draw"), "y_pred")
 
@@ -286,7 +297,7 @@ def bootstrap_draws(train: DataFrame, df: DataFrame, ids: Sequence[str], method:
 def bootstrap_probabilities(train: DataFrame, df: DataFrame, ids: Sequence[str], method: str, draws: int,
                             params: Mapping | None = None, seed: int = 0, parallelism: int = 3) -> DataFrame:
     """(ids, draw, class, prob): class probabilities of the resampled models, for learners that give them."""
-    fitted = _bootstrap(train, method, CLASSIFICATION, draws, params, seed, parallelism)
+    fitted = _bootstrap(train, ids, method, CLASSIFICATION, draws, params, seed, parallelism)
     out = df
     for i, model in enumerate(fitted):
         made = model.transform(out)

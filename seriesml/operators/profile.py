@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from seriesml.functions.columns import correlation, is_numeric, numeric_columns
 from seriesml.functions.statistics import chi_squared_tail
 from seriesml.operators.learners import with_vector
-from seriesml.operators.ordering import cumulative_share, join_on, lookup
+from seriesml.operators.ordering import cumulative_share, lookup
 from seriesml.operators.quantiles import DIRECT_ROWS, exact_quantiles
 
 # Fixed values of the profile configuration.
@@ -24,7 +24,6 @@ FREQUENCY_ROWS = 10
 EXTREME_ROWS = 5
 DUPLICATE_ROWS = 10
 SAMPLE_ROWS = 10
-CATEGORY_PAIR_LIMIT = 100
 CHI_SQUARED_THRESHOLD = 0.999
 SKEWNESS_THRESHOLD = 20.0
 CORRELATION_THRESHOLD = 0.9
@@ -194,13 +193,15 @@ def missing_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
 
 
 def column_flags(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Distinct count and zero share of each column."""
-    cols = list(cols)
-    numeric = [c for c in cols if is_numeric(df.schema[c].dataType)]
-    flags = distinct_counts(df, cols)
-    if not numeric:
-        return flags.withColumn("p_zeros", F.lit(None).cast("double"))
-    return join_on(flags, zero_counts(df, numeric), ["column_name"])
+    """Whether a column has one value at most, and the share of zeros of numeric ones: one pass, nothing is shuffled.
+
+    A column is constant when its least and its largest value are the same, so no distinct values are counted.
+    """
+    numeric = {c for c in cols if is_numeric(df.schema[c].dataType)}
+
+    def zeros(c):
+        return F.try_divide(F.count_if(F.col(c) == 0), F.count(F.lit(1))) if c in numeric else F.max(F.lit(None).cast("double"))
+    return _per_column(df, list(cols), {"is_constant": lambda c: F.min(c).eqNullSafe(F.max(c)), "p_zeros": zeros})
 
 
 def _pair_table(df: DataFrame, pairs: Sequence[tuple[str, str]], score: callable, name: str) -> DataFrame:
@@ -290,8 +291,8 @@ def correlation_lookup(df: DataFrame, cols: Sequence[str], method: str = "pearso
     return out
 
 
-def cramers_v(df: DataFrame, a: str, b: str, limit: int = CATEGORY_PAIR_LIMIT) -> DataFrame:
-    """Association of two categorical columns, plain and bias-corrected; NULL when a column has too many values.
+def cramers_v(df: DataFrame, a: str, b: str, limit: int | None = None) -> DataFrame:
+    """Association of two categorical columns, plain and bias-corrected; NULL where a column has more than `limit` values.
 
     Rows are reduced to the contingency table first; its margins are sums over that small table.
     """
@@ -306,7 +307,7 @@ def cramers_v(df: DataFrame, a: str, b: str, limit: int = CATEGORY_PAIR_LIMIT) -
     phi2 = F.col("s") - 1
     phi2_fixed = F.greatest(F.lit(0.0), phi2 - F.try_divide((k - 1) * (r - 1), n - 1))
     r_fixed, k_fixed = (c - F.try_divide((c - 1) * (c - 1), n - 1) for c in (r, k))
-    known = (r <= limit) & (k <= limit)
+    known = F.lit(True) if limit is None else (r <= limit) & (k <= limit)
     return total.select(
         F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.when(known, phi2 * n).alias("chi_squared"),
         F.when(known, F.sqrt(F.try_divide(phi2, F.least(r - 1, k - 1)))).alias("cramers_v"),
@@ -382,11 +383,18 @@ def uniformity(df: DataFrame, col: str) -> DataFrame:
 
 
 def uniform_columns(df: DataFrame, cols: Sequence[str], threshold: float = CHI_SQUARED_THRESHOLD) -> DataFrame:
-    """Chi-squared statistic and p-value of each column, and whether its values are as good as equally frequent."""
+    """Chi-squared statistic and p-value of each column, and whether its values are as good as equally frequent.
+
+    All columns share one aggregate over (column, value); one row a column reaches the driver.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols])
+    counts = df.select(F.inline(cells)).filter("value IS NOT NULL").groupBy("column_name", "value").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    n, s = F.sum("n"), F.sum(F.col("n") * F.col("n"))
+    found = {r["column_name"]: (r["k"], r["x"]) for r in counts.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("k"), (s * F.count(F.lit(1)) / n - n).alias("x")).collect()}
     rows = []
     for c in cols:
-        got = uniformity(df, c).first()
-        k, x = got["n_distinct"], got["chi_squared"]
+        k, x = found.get(c, (0, None))
         p = chi_squared_tail(x, k - 1) if k > 1 else None
         rows.append((c, k, x, p, p is not None and p > threshold))
     return df.sparkSession.createDataFrame(
@@ -399,7 +407,7 @@ def alerts(df: DataFrame, correlation_threshold: float = CORRELATION_THRESHOLD,
     cols = numeric_columns(df)
     flags = column_flags(df, df.columns)
     name = F.col("column_name")
-    constant = flags.filter(F.col("n_distinct") <= 1).select(
+    constant = flags.filter("is_constant").select(
         name.alias("variable"), F.lit("constant").alias("kind"),
         F.concat(F.lit("["), name, F.lit("] has constant value")).alias("alert"))
     zeros = flags.filter(F.col("p_zeros") > 0).select(

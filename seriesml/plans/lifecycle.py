@@ -18,6 +18,7 @@ from seriesml.operators import (
     attribution, clean, discriminant, encode, evaluate, features, importance, learners, neighbours, scale, sequence, split, tuning)
 from seriesml.operators.learners import CLASSIFICATION, REGRESSION
 from seriesml.operators.ordering import SeriesLayout, series_layout
+from seriesml.operators.split import seeded_key
 from seriesml.session import materialise
 from seriesml.sources.sinks import FeatureCatalogue
 
@@ -60,7 +61,8 @@ class NeighbourPredictor:
     weights: str = "uniform"
 
     def predict(self, samples: DataFrame, out: str) -> DataFrame:
-        keyed = samples.withColumn("_sid", F.concat_ws("\u0001", *self.keys, "sample"))
+        # Rows multiplied by an explanation share their ids: each asked row gets a number, written once so that it stays.
+        keyed = materialise(samples.withColumn("_sid", F.monotonically_increasing_id()), "asked")
         found = neighbours.neighbours(self.model, keyed, "_sid", "x", self.k)
         score = neighbours.classify if self.classification else neighbours.regress
         return keyed.join(score(found, "_sid", self.weights, out), "_sid").drop("_sid")
@@ -179,6 +181,8 @@ def make_samples(df: DataFrame, config: Config, series: Sequence[str], order: Se
                 else SeriesLayout((*series, "split"), tuple(order), layout.rows_per_task))
     samples = sequence.flatten_samples(sequence.sequences(
         ready, by_split, inputs, [target], sq.window_size, steps, sq.overlap, sq.future_predict))
+    if sq.shuffle_samples:  # the order matters to learners that go through the rows in batches
+        samples = samples.orderBy(seeded_key([*series, "sample"], config.train.seed))
     samples = materialise(samples, "samples")
     return samples, steps, encoding, catalogue, raw_inputs, input_scaler, target_scaler
 
@@ -203,7 +207,7 @@ def _fit_predictor(train: DataFrame, method: str, task: str, steps: int, config:
     if method in ("kn", "kneighbors"):
         if steps > 1:
             raise ValueError("nearest neighbours predict one step")
-        keyed = labelled.withColumn("_sid", F.concat_ws("\u0001", *keys, "sample"))
+        keyed = labelled.withColumn("_sid", F.to_json(F.struct(*keys, "sample"), {"ignoreNullFields": "false"}))
         k, weights = params.get("n_neighbors", neighbours.K), params.get("weights", "uniform")
         if config.train.hyperparameter_tuning:
             best = tuning.search_neighbours(keyed, "_sid", "x", "label", task, seed=seed).first()
@@ -260,7 +264,8 @@ def scores(fitted: Fitted) -> DataFrame:
 def explain(fitted: Fitted, spark) -> DataFrame:
     """(model, feature, importance) of every adequate model by the configured explanation methods.
 
-    A seeded sample of test rows is explained; its size is a setting, as every row is scored many times.
+    All test rows are explained against at most fifty weighted centres, unless the configuration sets a number of rows
+    (a seeded sample) or of centres.
     """
     cfg = fitted.config
     names = sequence.flat_names(fitted.catalogue.inputs, cfg.sequentialize.window_size)
@@ -270,13 +275,13 @@ def explain(fitted: Fitted, spark) -> DataFrame:
         return df.select(*ids, *[F.col("x")[i].alias(n) for i, n in enumerate(names)])
 
     train = flat(fitted.samples.filter(F.col("split") == "train"))
-    test = flat(split.sample_rows(fitted.samples.filter(F.col("split") == "test"), ids,
-                                  cfg.explain.number_of_summary_samples, cfg.explain.seed))
+    tested, rows = fitted.samples.filter(F.col("split") == "test"), cfg.explain.number_of_summary_samples
+    test = flat(tested if rows is None else split.sample_rows(tested, ids, rows, cfg.explain.seed))
     metric = "accuracy" if cfg.clean.classification else "r2"
     keep = {r["model"] for r in evaluate.adequate_models(
         scores(fitted), metric, cfg.evaluate.threshold_for_ensemble_models).collect()}
     kinds = ("shap", "lime") if cfg.explain.explanation_method == "all" else (cfg.explain.explanation_method,)
-    background = attribution.kmeans_background(train, names, cfg.explain.number_of_background_samples, cfg.explain.seed)
+    background = attribution.kmeans_background(train, names, cfg.explain.number_of_background_samples or attribution.BACKGROUND_CENTRES, cfg.explain.seed)
     out = None
     for method, predictor in fitted.predictors.items():
         if f"model_{method}" not in keep:
@@ -285,13 +290,25 @@ def explain(fitted: Fitted, spark) -> DataFrame:
         def score(rows: DataFrame, p=predictor) -> DataFrame:
             return p.predict(rows.withColumn("x", F.array(*names)), "y_pred").drop("x")
         for kind in kinds:
-            values = (attribution.shapley_values(test, ids, names, background, score, seed=cfg.explain.seed) if kind == "shap"
+            values = (attribution.shapley_values(test, ids, names, background, score, seed=cfg.explain.seed, mode=cfg.explain.shapley_mode) if kind == "shap"
                       else attribution.local_surrogate(test, ids, names, train, score, seed=cfg.explain.seed))
             part = importance.global_importance(values).withColumn("model", F.lit(f"feature_importance_{kind}_{method}"))
             out = part if out is None else out.unionByName(part)
     return importance.normalise(out) if out is not None else None
 
 
+def combined(fitted: Fitted, importances: DataFrame) -> DataFrame:
+    """One importance for each feature over the explained models, as the configuration combines and weights them."""
+    how = fitted.config.combine_explanations
+    return importance.combine_importances(importances, scores(fitted), how.combination_method, how.weighting_method)
+
+
+def agreement(fitted: Fitted, importances: DataFrame) -> DataFrame:
+    """Mean agreement of the explained models by the configured correlation."""
+    models = importance.complete_models(importances)
+    return importance.agreement_score(importance.agreement_matrix(importances, models, fitted.config.combine_explanations.agreement_method))
+
+
 def uncertainty(fitted: Fitted) -> DataFrame:
     """(ids, y_true, y_pred, y_unc, …) of the test samples from models fitted on resamples of the training samples.
 

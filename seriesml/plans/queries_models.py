@@ -40,22 +40,22 @@ def train_dt(spark, sf):
 
 @query("train_rf")
 def train_rf(spark, sf):
-    return _fitted(spark, sf, "rf", {"n_estimators": 30, "max_depth": 6})
+    return _fitted(spark, sf, "rf", {"max_depth": 6})
 
 
 @query("train_gbt")
 def train_gbt(spark, sf):
-    return _fitted(spark, sf, "gb", {"n_estimators": 20}, REGRESSION)
+    return _fitted(spark, sf, "gb", None, REGRESSION)
 
 
 @query("train_linear_svc")
 def train_linear_svc(spark, sf):
-    return _fitted(spark, sf, "svm", {"max_iter": 20})
+    return _fitted(spark, sf, "svm")
 
 
 @query("train_mlp")
 def train_mlp(spark, sf):
-    return _fitted(spark, sf, "dnn", {"n_neurons": [16], "n_epochs": 40})
+    return _fitted(spark, sf, "dnn")
 
 
 @query("train_multi_output")
@@ -101,12 +101,29 @@ def train_ols(spark, sf):
     return _slope_table(spark, sf, "linearregression")
 
 
-@query("train_lasso")
+def _signs(l1, l2):
+    """Two-feature elastic net: of all sign patterns that agree with their own solution the one with the smallest loss."""
+    return f"""WITH d AS (SELECT o_custkey / 1000 AS a, o_orderkey / 1000 AS b, o_totalprice / 1000 AS y FROM orders),
+c AS (SELECT count(*) AS n, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS yb,
+             avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM d),
+p AS (SELECT * FROM c, (VALUES (-1), (0), (1)) s(sa), (VALUES (-1), (0), (1)) t(sb)),
+q AS (SELECT *, CASE WHEN sa = 0 THEN 0 WHEN sb = 0 THEN (ay - {l1} * sa) / (aa + {l2})
+    ELSE ((ay - {l1} * sa) * (bb + {l2}) - (yb - {l1} * sb) * ab) / ((aa + {l2}) * (bb + {l2}) - ab * ab) END AS wa,
+  CASE WHEN sb = 0 THEN 0 WHEN sa = 0 THEN (yb - {l1} * sb) / (bb + {l2})
+    ELSE ((yb - {l1} * sb) * (aa + {l2}) - (ay - {l1} * sa) * ab) / ((aa + {l2}) * (bb + {l2}) - ab * ab) END AS wb FROM p),
+r AS (SELECT *, (aa * wa * wa + 2 * ab * wa * wb + bb * wb * wb) / 2 - ay * wa - yb * wb + {l1} * (abs(wa) + abs(wb)) + {l2} / 2.0 * (wa * wa + wb * wb) AS loss
+  FROM q WHERE sign(wa) = sa AND sign(wb) = sb),
+s AS (SELECT * FROM r ORDER BY loss LIMIT 1)
+SELECT n, CAST(0 AS INTEGER) AS term, round(wa, 6) + 0.0 AS value FROM s UNION ALL SELECT n, 1, round(wb, 6) + 0.0 FROM s
+UNION ALL SELECT n, 2, round(my - wa * ma - wb * mb, 6) FROM s"""
+
+
+@query("train_lasso", _signs(1.0, 0.0))
 def train_lasso(spark, sf):
     return _slope_table(spark, sf, "lasso")
 
 
-@query("train_elasticnet")
+@query("train_elasticnet", _signs(0.5, 0.5))
 def train_elasticnet(spark, sf):
     return _slope_table(spark, sf, "elasticnet")
 
@@ -138,6 +155,119 @@ s AS (SELECT sign(covar_pop(x, y)) * greatest(abs(covar_pop(x, y)) - {{l1}}, 0)
 SELECT round(b, 5) + 0.0 AS slope, round(my - b * mx, 5) AS intercept FROM s"""
 
 
+@query("train_sgd_simple", f"""WITH d AS (SELECT {_DAYS} / 100 AS x, o_totalprice / 1000 AS y FROM orders),
+s AS (SELECT covar_pop(x, y) / (var_pop(x) + 1e-4) AS b, avg(x) AS mx, avg(y) AS my FROM d)
+SELECT round(b, 5) AS slope, round(my - b * mx, 5) AS intercept FROM s""")
+def train_sgd_simple(spark, sf):
+    return _simple(spark, sf, "sgd")
+
+
+@query("train_multi_output_ridge", f"""WITH d AS (SELECT {_DAYS} / 100 AS x, o_totalprice / 1000 AS a, o_custkey / 1000 AS b FROM orders),
+s AS (SELECT avg(x) AS mx, avg(a) AS ma, avg(b) AS mb, covar_pop(x, a) * count(*) / (var_pop(x) * count(*) + 1.0) AS wa,
+             covar_pop(x, b) * count(*) / (var_pop(x) * count(*) + 1.0) AS wb FROM d)
+SELECT o_orderkey, round(ma + wa * ({_DAYS} / 100 - mx), 4) AS a, round(mb + wb * ({_DAYS} / 100 - mx), 4) AS b FROM orders, s""")
+def train_multi_output_ridge(spark, sf):
+    days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date")).cast("double")
+    df = table(spark, sf, "orders").select("o_orderkey", (days / 100).alias("x"), F.array(F.col("o_totalprice") / 1000, F.col("o_custkey") / 1000).alias("y"))
+    data = learners.with_vector(df, "x")
+    got = learners.fit_multi_output(data, "ridgeregression", "y", 2).predict(data, "p")
+    return got.select("o_orderkey", rounded(F.col("p")[0], 4).alias("a"), rounded(F.col("p")[1], 4).alias("b"))
+
+
+# One split of the month (12 values, all thresholds of which fit into the bins) for the price.
+_MONTH = "CAST(month(CAST(o_orderdate AS DATE)) AS DOUBLE)"
+
+
+def _split_sql(rows, value, name):
+    """The threshold of x with the largest sum of squares between the two sides, and the means of both."""
+    return f"""{name}t AS (SELECT t.x AS cut, sum(CASE WHEN r.x <= t.x THEN 1 ELSE 0 END) AS n1, sum(CASE WHEN r.x <= t.x THEN {value} ELSE 0 END) AS s1,
+  count(*) AS n, sum({value}) AS s FROM (SELECT DISTINCT x FROM {rows}) t CROSS JOIN {rows} r GROUP BY t.x),
+{name} AS (SELECT cut, s1 / n1 AS low, (s - s1) / (n - n1) AS high FROM {name}t WHERE n1 < n ORDER BY s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) DESC LIMIT 1)"""
+
+
+_STUMP = f"WITH d AS (SELECT o_orderkey, {_MONTH} AS x, o_totalprice / 1000 AS y FROM orders), " + _split_sql("d", "y", "u")
+
+
+def _months(spark, sf):
+    df = table(spark, sf, "orders").select("o_orderkey", F.month(F.col("o_orderdate").cast("date")).cast("double").alias("x"), (F.col("o_totalprice") / 1000).alias("label"))
+    return learners.with_vector(df, ["x"])
+
+
+def _stump(spark, sf, method, params):
+    data = _months(spark, sf)
+    got = learners.predict(data, learners.fit(data, method, REGRESSION, params, seed=3))
+    return got.select("o_orderkey", rounded("y_pred", 4).alias("y_pred"))
+
+
+_ONE_SPLIT = _STUMP + " SELECT o_orderkey, round(CASE WHEN x <= cut THEN low ELSE high END, 4) AS y_pred FROM d, u"
+
+
+@query("train_dt_split", _ONE_SPLIT)
+def train_dt_split(spark, sf):
+    return _stump(spark, sf, "dt", {"max_depth": 1})
+
+
+@query("train_rf_split", _ONE_SPLIT)
+def train_rf_split(spark, sf):
+    """Without resampling and with all features, every tree of a forest is the tree."""
+    return _stump(spark, sf, "rf", {"max_depth": 1, "bootstrap": False})
+
+
+@query("train_gbt_rounds", _STUMP + """, e AS (SELECT *, CASE WHEN x <= cut THEN low ELSE high END AS p FROM d, u), f AS (SELECT o_orderkey, x, p, 2 * (y - p) AS z FROM e), """
+       + _split_sql("f", "z", "w") + """
+SELECT o_orderkey, round(p + 0.1 * CASE WHEN x <= w.cut THEN w.low ELSE w.high END, 4) AS y_pred FROM f, w""")
+def train_gbt_rounds(spark, sf):
+    """The second round fits what the first left over."""
+    return _stump(spark, sf, "gb", {"n_estimators": 2, "max_depth": 1})
+
+
+# A label that one wide gap separates: every learner has to get each row right.
+_APART = """SELECT CAST(o_orderkey % 2 AS DOUBLE) AS label, count(*) AS n, CAST(1 AS DOUBLE) AS accuracy FROM orders GROUP BY 1"""
+
+
+def _apart(spark, sf):
+    label = (F.col("o_orderkey") % 2).cast("double")
+    df = table(spark, sf, "orders").select("o_orderkey", label.alias("label"), (label * 10 - 5 + F.pmod("o_custkey", F.lit(7)) / 10).alias("a"),
+                                           (F.pmod("o_custkey", F.lit(5)) / 10).alias("b"))
+    return learners.with_vector(df, ["a", "b"])
+
+
+def _right(scored, *by):
+    return scored.groupBy(*by, "label").agg(F.count(F.lit(1)).alias("n"), rounded(F.avg((F.col("y_pred") == F.col("label")).cast("double"))).alias("accuracy"))
+
+
+@query("train_svc_apart", _APART)
+def train_svc_apart(spark, sf):
+    data = _apart(spark, sf)
+    return _right(learners.predict(data, learners.fit(data, "svm", CLASSIFICATION, seed=1)))
+
+
+@query("train_mlp_apart", _APART)
+def train_mlp_apart(spark, sf):
+    data = _apart(spark, sf)
+    return _right(learners.predict(data, learners.fit(data, "dnn", CLASSIFICATION, seed=1)))
+
+
+@query("train_lda_apart", _APART)
+def train_lda_apart(spark, sf):
+    data = _apart(spark, sf).withColumn("x", F.array("a", "b"))
+    return _right(discriminant.fit_lda(data, "x", "label").predict(data, "x"))
+
+
+@query("train_ensemble_apart", "SELECT * FROM (" + _APART + """), (VALUES ('dt'), ('rf'), ('gb'), ('xgb'), ('sgd'), ('lgbm')) m(method)""")
+def train_ensemble_apart(spark, sf):
+    data = _apart(spark, sf)
+    models = learners.fit_ensemble(data, CLASSIFICATION, seed=3)
+    return _right(learners.predict_many(data, models, ["o_orderkey", "label"]), "method")
+
+
+@query("tree_importances_apart", "SELECT 'a' AS feature, CAST(1 AS DOUBLE) AS importance UNION ALL SELECT 'b', 0")
+def tree_importances_apart(spark, sf):
+    """Only one feature tells the label, so it has all the importance."""
+    model = learners.fit(_apart(spark, sf), "dt", CLASSIFICATION, seed=1)
+    return learners.tree_importances(model, ["a", "b"], spark)
+
+
 @query("train_lasso_simple", _SOFT.format(l1=0.05, l2=0.0))
 def train_lasso_simple(spark, sf):
     return _simple(spark, sf, "lasso", {"alpha": 0.05})
@@ -253,17 +383,33 @@ def tune_neighbours(spark, sf):
 
 @query("tree_importances")
 def tree_importances(spark, sf):
-    model = learners.fit(_vectors(spark, sf), "rf", CLASSIFICATION, {"n_estimators": 20, "max_depth": 5}, seed=1)
+    model = learners.fit(_vectors(spark, sf), "rf", CLASSIFICATION, {"max_depth": 5}, seed=1)
     return learners.tree_importances(model, [f"e{i}" for i in range(DIMS)], spark)
 
 
 @query("bootstrap_draws")
 def bootstrap_draws(spark, sf):
     data = _order_features(spark, sf)
-    draws = learners.bootstrap_draws(data, data, ["o_orderkey"], "linearregression", REGRESSION, 5, seed=11)
+    draws = learners.bootstrap_draws(data, data, ["o_orderkey"], "linearregression", REGRESSION, 100, seed=11)
     return evaluate.draw_summary(draws, ["o_orderkey"], "y_pred")
 
 
+@query("bootstrap_ols", f"""WITH d AS (SELECT o_orderkey, {_DAYS} / 100 AS x, o_totalprice / 1000 AS y FROM orders),
+u AS (SELECT d.*, draw, CAST(('0x' || md5(o_orderkey || ':' || draw || ':11')[1:8]) AS BIGINT) / 4294967296.0 AS u FROM d, range(0, 100) r(draw)),
+w AS (SELECT *, {' + '.join(f'CAST(u >= {p} AS INTEGER)' for p in learners.POISSON_ONE)} AS w FROM u),
+m AS (SELECT draw, sum(w) AS n, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my, sum(w * x * x) AS xx, sum(w * x * y) AS xy FROM w GROUP BY draw),
+c AS (SELECT draw, (xy / n - mx * my) / (xx / n - mx * mx) AS b, mx, my FROM m)
+SELECT o_orderkey, round(avg(my + b * (x - mx)), 4) AS mean, round(stddev_pop(my + b * (x - mx)), 4) AS std FROM d, c GROUP BY o_orderkey""")
+def bootstrap_ols(spark, sf):
+    """A hundred resamples by hashes of the row ids."""
+    data = _one_feature(spark, sf)[0]
+    df = table(spark, sf, "orders")
+    days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date")).cast("double")
+    data = learners.with_vector(df.select("o_orderkey", (days / 100).alias("x"), (F.col("o_totalprice") / 1000).alias("label")), "x")
+    draws = learners.bootstrap_draws(data, data, ["o_orderkey"], "linearregression", REGRESSION, 100, seed=11)
+    return draws.groupBy("o_orderkey").agg(rounded(F.avg("y_pred"), 4).alias("mean"), rounded(F.stddev_pop("y_pred"), 4).alias("std"))
+
+
 # ---------------------------------------------------------------- attributions
 
 WEIGHTS = {"value": 0.5, "k": -2.0}
@@ -275,7 +421,7 @@ def _linear_score(df):
 
 @query("xai_background")
 def xai_background(spark, sf):
-    df = table(spark, sf, "embeddings").select(*[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(8)])
+    df = table(spark, sf, "embeddings").select(*[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(DIMS)])
     background = attribution.kmeans_background(df, df.columns, seed=2)
     return spark.createDataFrame([(*p, w) for p, w in zip(background.points, background.weights)], [*df.columns, "n_rows"])
 
@@ -291,6 +437,29 @@ def xai_shapley_linear(spark, sf):
     return got.withColumn("value", rounded("value", 4))
 
 
+@query("xai_background_groups", """SELECT round(avg((o_orderkey % 2) * 10 - 5 + (o_custkey % 7) / 10), 6) AS a, round(avg((o_custkey % 5) / 10), 6) AS b, CAST(count(*) AS DOUBLE) AS n_rows
+FROM orders GROUP BY o_orderkey % 2""")
+def xai_background_groups(spark, sf):
+    """Two groups far apart: the centres are their means and the weights their sizes."""
+    background = attribution.kmeans_background(_apart(spark, sf), ["a", "b"], 2, seed=2)
+    rows = spark.createDataFrame([(*p, w) for p, w in zip(background.points, background.weights)], "a double, b double, n_rows double")
+    return rows.select(rounded("a").alias("a"), rounded("b").alias("b"), "n_rows")
+
+
+@query("xai_shapley_split", """WITH d AS (SELECT o_orderkey, o_orderkey % 2 AS label FROM orders), m AS (SELECT avg(label) AS m FROM d)
+SELECT o_orderkey, 'a' AS feature, round(label - m, 6) + 0.0 AS value FROM d, m UNION ALL SELECT o_orderkey, 'b', CAST(0 AS DOUBLE) FROM d""")
+def xai_shapley_split(spark, sf):
+    """A tree that needs one feature: it moves the prediction from the mean of the background by itself."""
+    data = _apart(spark, sf)
+    model = learners.fit(data, "dt", REGRESSION, seed=1)
+
+    def score(rows):
+        return learners.predict(learners.with_vector(rows, ["a", "b"]), model).drop("features")
+    background = attribution.kmeans_background(data, ["a", "b"], 2, seed=2)
+    got = attribution.shapley_values(data, ["o_orderkey"], ["a", "b"], background, score)
+    return got.withColumn("value", rounded("value"))
+
+
 @query("xai_shapley_tree")
 def xai_shapley_tree(spark, sf):
     names = [f"e{i}" for i in range(6)]
@@ -308,5 +477,5 @@ def xai_shapley_tree(spark, sf):
 @query("xai_lime")
 def xai_lime(spark, sf):
     df = ev(spark, sf).groupBy("user_id").agg(F.avg("value").alias("value"), F.avg("k").alias("k"))
-    got = attribution.local_surrogate(df, ["user_id"], ["value", "k"], df, _linear_score, perturbations=500)
+    got = attribution.local_surrogate(df, ["user_id"], ["value", "k"], df, _linear_score)
     return got.withColumn("value", rounded("value"))

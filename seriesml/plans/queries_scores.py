@@ -243,22 +243,30 @@ def xai_matrix(spark, sf):
     return _r(importance.importance_matrix(_importances(spark, sf), FEATURES), FEATURES)
 
 
-_GAP = """g AS (SELECT model, feature, CASE WHEN model LIKE '%view' AND feature = 'f3' THEN NULL ELSE v END AS v FROM imp)"""
+# One model misses a value, one has NaN, and one lacks the row of a feature.
+_GAP = """g AS (SELECT model, feature, CASE WHEN model LIKE '%view' AND feature = 'f3' THEN NULL ELSE v END AS v FROM imp
+  UNION ALL SELECT 'nan_model', feature, CASE WHEN feature = 'f1' THEN CAST('nan' AS DOUBLE) ELSE 0.5 END FROM (SELECT DISTINCT feature FROM imp)
+  UNION ALL SELECT 'short_model', feature, 0.5 FROM (SELECT DISTINCT feature FROM imp) WHERE feature <> 'f2'),
+bad AS (SELECT model FROM g GROUP BY model HAVING count(DISTINCT CASE WHEN NOT isnan(v) THEN feature END) < (SELECT count(DISTINCT feature) FROM g))"""
 
 
 def _with_gap(spark, sf):
     hole = F.col("model").endswith("view") & (F.col("feature") == "f3")
-    return _importances(spark, sf).withColumn("importance", F.when(~hole, F.col("importance")))
+    rows = _importances(spark, sf).withColumn("importance", F.when(~hole, F.col("importance"))).select("model", "feature", "importance")
+    features = rows.select("feature").distinct()
+    nan = features.select(F.lit("nan_model").alias("model"), "feature", F.when(F.col("feature") == "f1", F.lit(float("nan"))).otherwise(0.5).alias("importance"))
+    short = features.filter("feature <> 'f2'").select(F.lit("short_model").alias("model"), "feature", F.lit(0.5).alias("importance"))
+    return rows.unionByName(nan).unionByName(short)
 
 
 @query("combine_drop_invalid", "WITH {ev}, " + _IMP + ", " + _GAP + """
-SELECT model, feature, round(v, 6) AS importance FROM g WHERE model NOT IN (SELECT model FROM g WHERE v IS NULL)""")
+SELECT model, feature, round(v, 6) AS importance FROM g WHERE model NOT IN (SELECT model FROM bad)""")
 def combine_drop_invalid(spark, sf):
     return _r(importance.drop_incomplete_models(_with_gap(spark, sf)), ("importance",))
 
 
 @query("combine_mean", "WITH {ev}, " + _IMP + ", " + _GAP + """
-SELECT feature, round(avg(v), 6) AS importance FROM g WHERE model NOT IN (SELECT model FROM g WHERE v IS NULL) GROUP BY feature""")
+SELECT feature, round(avg(v), 6) AS importance FROM g WHERE model NOT IN (SELECT model FROM bad) GROUP BY feature""")
 def combine_mean(spark, sf):
     return _r(importance.combine_importances(_with_gap(spark, sf)), ("importance",))
 

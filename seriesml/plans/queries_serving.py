@@ -102,7 +102,7 @@ def registry_overview(spark, sf):
 def _events_stream(spark, sf):
     schema = table(spark, sf, "events").schema
     stream = runs.read_files(spark, sf, schema, "events.parquet")
-    return stream.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return stream.withColumns({"k": F.get_json_object("props", "$.k").cast("int"), "at": F.unix_micros(F.col("ts").cast("timestamp"))})
 
 
 @query("stream_score", """WITH {ev}, m AS (SELECT regr_slope(value, k) AS a, regr_intercept(value, k) AS b FROM ev)
@@ -122,5 +122,14 @@ def stream_rolling(spark, sf):
 
 @query("stream_sequences", _steps_sql(8, 4))
 def stream_sequences(spark, sf):
-    samples = stateful.sample_stream(_events_stream(spark, sf), "user_id", "event_id", ["value", "k"], 8, 4)
-    return _exploded(runs.run_available(samples, "samples"), ["value", "k"])
+    samples = stateful.sample_stream(_events_stream(spark, sf), "user_id", ["at", "event_id"], ["value", "k"], 8, 4)
+    return _exploded(runs.run_available(samples, "samples").filter(~F.col("late")), ["value", "k"])
+
+
+@query("stream_late_rows", """SELECT user_id, count(*) - count(DISTINCT CAST(ts AS DATE)) AS n_late FROM events GROUP BY user_id
+HAVING count(*) > count(DISTINCT CAST(ts AS DATE))""")
+def stream_late_rows(spark, sf):
+    """With the day as the only order, every row of a user but the first of a day is late, and comes out as such."""
+    days = _events_stream(spark, sf).withColumn("day", F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date")))
+    samples = runs.run_available(stateful.sample_stream(days, "user_id", "day", ["value"], 8, 4), "late")
+    return samples.filter("late").groupBy("user_id").agg(F.count("*").alias("n_late"))

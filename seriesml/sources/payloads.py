@@ -21,13 +21,13 @@ def decode_requests(df: DataFrame, payload: str, inputs: list[str]) -> DataFrame
                         *[F.try_element_at("_cells", F.lit(c)).cast("double").alias(c) for c in inputs])
 
 
-def encode_responses(df: DataFrame, modeluid: str, index: str, pred: str, target: str, part_rows: int = 100_000) -> DataFrame:
-    """JSON answers `[[i, y], …]` per model.
+def encode_responses(df: DataFrame, modeluid: str, index: str, pred: str, target: str, part_rows: int | None = None) -> DataFrame:
+    """JSON answers `[[i, y], …]` per model, as one text each.
 
-    An answer longer than `part_rows` rows is split into parts of that length, in order, since one JSON text has to
-    fit one task.
+    With `part_rows` the answers are split into parts of that many rows, in order; one text has to fit one task, so the
+    caller of very long answers sets it.
     """
-    part = F.floor(F.col(index) / part_rows)
+    part = F.lit(0).cast("long") if part_rows is None else F.floor(F.col(index) / part_rows)
     grouped = df.groupBy(modeluid, part.alias("part")).agg(
         F.array_sort(F.collect_list(F.array(F.col(index).cast("double"), F.col(pred).cast("double")))).alias("data"))
     body = F.to_json(F.struct(

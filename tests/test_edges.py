@@ -117,6 +117,9 @@ def test_labels(spark):
     assert many.table is not None
     assert {tuple(r) for r in encode.encode_label(unseen, many, "k").collect()} == {("y", 1), ("q", None), (None, None)}
     assert encode.encode_label(unseen, many).columns == ["c"]
+    for made in (fitted, many):  # the same on both sides of the limit
+        assert sorted(tuple(r) for r in encode.one_hot(unseen, made).collect()) == [(0, 0, 0), (0, 0, 0), (0, 1, 0)]
+        assert sorted(r[0] for r in encode.one_hot_array(unseen, made).collect()) == [[0, 0, 0], [0, 0, 0], [0, 1, 0]]
     numbers = spark.createDataFrame([(30,), (7,), (7,), (12,)], "c int")
     coded = encode.encode_label(numbers, encode.fit_labels(numbers, "c", 1), "k").collect()
     assert {tuple(r) for r in coded} == {(7, 0), (12, 1), (30, 2)} and len(coded) == 4

@@ -95,3 +95,25 @@ def test_one_hot_of_two_classes_is_refused(recorded):
     cfg = config(clean={"target": "kind", "classification": True, "onehot_encode_target": True})
     with pytest.raises(ValueError, match="one-hot"):
         lifecycle.fit(recorded.drop("y"), cfg, ["series_id"], ["t"])
+
+
+def test_the_shipped_parameter_file_is_accepted():
+    given = {"evaluate": {"dropout_uncertainty_estimation": True, "show_inputs": True, "threshold_for_ensemble_models": -1000},
+             "train": {"activation_function": "relu", "n_heads": 4, "unit_type": "LSTM", "patience": 50, "dropout": 0.1, "learning_method": "xgboost",
+                       "n_neurons": [16, 16]}, "clean": {"combine_files": False}, "explain": {"generate_explanations": True}}
+    made = Config.from_mapping(given)
+    assert made.evaluate.uncertainty_estimation and made.train.n_neurons == [16, 16]
+    assert set(made.unused) == {"train.activation_function", "train.n_heads", "train.unit_type", "train.patience", "train.dropout",
+                                "evaluate.show_inputs", "clean.combine_files", "explain.generate_explanations"}
+    with pytest.raises(ValueError, match="unknown"):
+        Config.from_mapping({"train": {"heads": 4}})
+
+
+def test_neighbours_of_repeated_and_nameless_rows(spark):
+    rows = [(None, i, "train", [float(i)], [float(i)]) for i in range(20)]
+    train = spark.createDataFrame(rows, "g string, sample long, split string, x array<double>, y array<double>")
+    cfg = config(train={"learning_method": "kn", "params": {"n_neighbors": 1}})
+    predictor = lifecycle._fit_predictor(train, "kn", "regression", 1, cfg, ["g"])
+    asked = spark.createDataFrame([("a", 0, [17.2]), ("a", 0, [2.1]), (None, 0, [5.0]), (None, 0, [9.0])], "g string, sample long, x array<double>")
+    got = {(r["x"][0], r["p"]) for r in predictor.predict(asked, "p").collect()}
+    assert got == {(17.2, 17.0), (2.1, 2.0), (5.0, 5.0), (9.0, 9.0)}

@@ -110,14 +110,12 @@ def _tree(planted):
 
 
 @pytest.mark.parametrize("exact", [True, False])
-def test_shapley_values_add_up(spark, planted, exact, monkeypatch):
-    if not exact:
-        monkeypatch.setattr(attribution, "EXACT_FEATURES", 2)
+def test_shapley_values_add_up(spark, planted, exact):
     score = _tree(planted)
     background = attribution.kmeans_background(planted, ["a", "b", "c"], 6, seed=1)
     assert len(background.points) == 6 and sum(background.weights) == 600
     rows = planted.filter("id < 20").select("id", "a", "b", "c")
-    values = attribution.shapley_values(rows, ["id"], ["a", "b", "c"], background, score, permutations=5)
+    values = attribution.shapley_values(rows, ["id"], ["a", "b", "c"], background, score, permutations=5, mode="exact" if exact else "sampled")
     total = {r["id"]: r["s"] for r in values.groupBy("id").agg(F.sum("value").alias("s")).collect()}
     base = attribution.background_mean(background, score, spark)
     for r in score(rows).collect():
@@ -129,14 +127,14 @@ def test_shapley_of_a_linear_score(spark, planted):
     background = attribution.sampled_background(planted.filter("id < 9").select("a", "b", "c"), ["a", "b", "c"])
     mean = np.mean(background.points, axis=0)
     rows = planted.filter("id in (3, 77)").select("id", "a", "b", "c")
-    for features in (3, 2):
-        pytest.MonkeyPatch().setattr(attribution, "EXACT_FEATURES", features)
+    for mode in ("exact", "sampled"):
         got = {(r["id"], r["feature"]): r["value"] for r in attribution.shapley_values(
-            rows, ["id"], ["a", "b", "c"], background, lambda d: d.withColumn("y_pred", dot(w))).collect()}
+            rows, ["id"], ["a", "b", "c"], background, lambda d: d.withColumn("y_pred", dot(w)), mode=mode).collect()}
         for r in rows.collect():
             for j, c in enumerate("abc"):
                 assert abs(got[(r["id"], c)] - w[c] * (r[c] - mean[j])) < 1e-9
-    pytest.MonkeyPatch().setattr(attribution, "EXACT_FEATURES", 10)
+    with pytest.raises(ValueError, match="sampled"):
+        attribution.shapley_values(rows, ["id"], [f"f{i}" for i in range(21)], background, None)
 
 
 def test_local_surrogate_solves_the_weighted_ridge(spark, planted, monkeypatch):

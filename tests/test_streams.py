@@ -40,7 +40,19 @@ def test_samples_over_micro_batches(spark, parts):
     df = parts[1]
     got = runs.run_available(stateful.sample_stream(stream(spark, parts), "s", "t", ["v", "u"], 9, 4), "q")
     want = sequence.input_sequences(df, series_layout(df, ["s"], ["t"]), ["v", "u"], 9, 4)
-    assert got.orderBy("s", "sample").collect() == want.orderBy("s", "sample").collect()
+    assert not got.filter("late").count()
+    assert got.drop("late").orderBy("s", "sample").collect() == want.orderBy("s", "sample").collect()
+
+
+def test_late_rows_of_samples_come_out(spark, tmp_path):
+    import time
+    for rows in ([(0, 0), (1, 0), (1, 1), (4, 0)], [(1, 1), (3, 9), (5, 0)]):
+        spark.createDataFrame([("a", i, j, float(10 * i + j)) for i, j in rows], "s string, t bigint, u bigint, v double").coalesce(1).write.mode("append").parquet(str(tmp_path))
+        time.sleep(0.05)
+    made = runs.read_files(spark, str(tmp_path), spark.read.parquet(str(tmp_path)).schema, files_per_trigger=1)
+    got = runs.run_available(stateful.sample_stream(made, "s", ["t", "u"], ["v"], 2), "late").collect()
+    assert sorted((r["sample"], r["x"]) for r in got if not r["late"]) == [(0, [[0.0], [10.0]]), (1, [[11.0], [40.0]])]
+    assert sorted((r["sample"], r["x"]) for r in got if r["late"]) == [(None, [[11.0]]), (None, [[39.0]])]
 
 
 def test_late_rows_are_marked(spark, tmp_path):
