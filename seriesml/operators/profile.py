@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from seriesml.functions.statistics import chi_squared_tail
 from seriesml.operators.learners import with_vector
 from seriesml.operators.ordering import cumulative_share, lookup
 from seriesml.operators.quantiles import DIRECT_ROWS, exact_quantiles
+from seriesml.session import materialise
 
 # Fixed values of the profile configuration.
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
@@ -224,7 +227,7 @@ def pearson(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """
     cols = list(cols or numeric_columns(df))
     facts = df.agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{c}_{i}") for c in cols
-                                                   for i, f in enumerate((F.count, F.min, F.max))]).first()
+                                                   for i, f in enumerate((F.count, F.min, F.max, F.avg))]).first()
     varied = {c for c in cols if facts[f"{c}_0"] and facts[f"{c}_1"] < facts[f"{c}_2"]}
     complete = [c for c in cols if c in varied and facts[f"{c}_0"] == facts["n"]]
     pairs = list(combinations(cols, 2))
@@ -237,7 +240,12 @@ def pearson(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     elif full:
         parts.append(_pair_table(df, full, F.corr, "correlation"))
     if gaps:
-        parts.append(_pair_table(df, gaps, correlation, "correlation"))
+        some = [c for c in cols if any(c in p for p in gaps)]
+        made = (_pair_table(df, gaps, correlation, "correlation") if len(gaps) <= PAIRS_PER_PASS
+                else _masked_pairs(df, some, [float(facts[f"{c}_3"]) for c in some]))
+        known = {frozenset(p) for p in full}
+        wanted = F.array(*[F.lit(f"{i} {j}") for i, j in combinations(range(len(some)), 2) if frozenset((some[i], some[j])) not in known])
+        parts.append(made if len(gaps) <= PAIRS_PER_PASS else made.filter(F.array_contains(wanted, F.concat_ws(" ", "i", "j"))).drop("i", "j"))
     if flat:
         parts.append(df.sparkSession.createDataFrame([(a, b, None) for a, b in flat], "column_a string, column_b string, correlation double"))
     out = parts[0]
@@ -246,6 +254,33 @@ def pearson(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return out
 
 
+def _masked_pairs(df: DataFrame, cols: Sequence[str], shifts: Sequence[float]) -> DataFrame:
+    """(i, j, column_a, column_b, correlation) over the complete rows of each pair, from one pass over the table.
+
+    Each task sums products of the shifted values and of the masks; the sums of a pair are added up by Spark.
+    """
+    size, away = len(cols), np.asarray(shifts)
+    rows, at = np.triu_indices(size, 1)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, size, size))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - away
+            there = ~np.isnan(x)
+            z, m = np.where(there, x, 0.0), there.astype(float)
+            total += np.stack([m.T @ m, z.T @ m, m.T @ z, (z * z).T @ m, m.T @ (z * z), z.T @ z])
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(at, pa.int32()), *[pa.array(t[rows, at]) for t in total]],
+                                         names=["i", "j", "n", "si", "sj", "sii", "sjj", "sij"])
+    parts = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInArrow(
+        sums, "i int, j int, n double, si double, sj double, sii double, sjj double, sij double")
+    added = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sii", "sjj", "sij")])
+    n, vi, vj = F.col("n"), F.col("n") * F.col("sii") - F.col("si") ** 2, F.col("n") * F.col("sjj") - F.col("sj") ** 2
+    varies = (vi > 1e-12 * n * F.col("sii")) & (vj > 1e-12 * n * F.col("sjj"))
+    names = F.array(*[F.lit(c) for c in cols])
+    return added.select("i", "j", names[F.col("i")].alias("column_a"), names[F.col("j")].alias("column_b"),
+                        F.when(varies, (n * F.col("sij") - F.col("si") * F.col("sj")) / F.sqrt(vi * vj)).alias("correlation"))
+
+
 def _matrix_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """All pairs of complete columns from one matrix of cross products."""
     vectors = with_vector(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), list(cols), "_v")
@@ -265,17 +300,24 @@ def average_ranks(df: DataFrame, col: str, out: str, rows_per_task: int | None =
 
     Ranks are computed on the distinct values with their counts and joined back, so no task sorts the whole column.
     """
+    return lookup(df, _rank_table(df, col, out, rows_per_task), [col])
+
+
+def _rank_table(df: DataFrame, col: str, out: str, rows_per_task: int | None) -> DataFrame:
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
     ranks = cumulative_share(counts, col, "_n", rows_per_task)
-    ranks = ranks.select(col, (F.col("_before") + (F.col("_n") + 1) / 2.0).alias(out))
-    return lookup(df, ranks, [col])
+    return materialise(ranks.select(col, (F.col("_before") + (F.col("_n") + 1) / 2.0).alias(out)), "ranks")
 
 
 def spearman(df: DataFrame, cols: Sequence[str], rows_per_task: int | None = None) -> DataFrame:
-    """Pearson correlation of average ranks."""
-    ranked = df.select(*cols).na.drop()
+    """Pearson correlation of average ranks.
+
+    The ranks of each column come from the table as it is and are written, so a column costs the same however many there are.
+    """
+    base = df.select(*cols).na.drop()
+    ranked = base
     for c in cols:
-        ranked = average_ranks(ranked, c, f"_rank_{c}", rows_per_task)
+        ranked = lookup(ranked, _rank_table(base, c, f"_rank_{c}", rows_per_task), [c])
     return _pair_table(ranked, list(combinations(cols, 2)),
                        lambda a, b: correlation(f"_rank_{a}", f"_rank_{b}"), "correlation")
 

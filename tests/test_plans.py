@@ -75,3 +75,22 @@ def test_many_columns_correlate_through_one_matrix(spark):
     assert len(got) == 15 * 14 // 2
     assert all(abs(got[f"c{i}", f"c{j}"] - want.iloc[i, j]) < 1e-9 for i in range(14) for j in range(i + 1, 14))
     assert got["c0", "one"] is None
+
+
+def test_many_columns_with_gaps_take_one_more_pass(spark):
+    gap = [F.when((F.col("id") + i) % (i + 3) != 0, F.sin(F.col("id") * (i + 1)) * (i + 1)).alias(f"c{i}") for i in range(12)]
+    df = spark.range(400).select(*gap, F.cos("id").alias("full"), F.tan("id").alias("also"))
+    made = profile.pearson(df)
+    got = {(r["column_a"], r["column_b"]): r["correlation"] for r in made.collect()}
+    want = df.toPandas().corr()
+    assert len(got) == 14 * 13 // 2
+    assert all(abs(v - want.loc[a, b]) < 1e-9 for (a, b), v in got.items())
+    assert plan(profile.pearson(df)).count("Range (") <= 2
+
+
+def test_uniform_columns_share_one_aggregate(spark, data):
+    df = table(spark, data, "orders")
+    got = {r["column_name"]: r for r in profile.uniform_columns(df, ["o_orderstatus", "o_orderpriority"]).collect()}
+    for c in ("o_orderstatus", "o_orderpriority"):
+        alone = profile.uniformity(df, c).first()
+        assert got[c]["n_distinct"] == alone["n_distinct"] and abs(got[c]["chi_squared"] - alone["chi_squared"]) < 1e-6
