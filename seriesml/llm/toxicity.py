@@ -14,10 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesml.llm.common import documents
+from seriesml.session import materialise
 
 _TERM = re.compile(r"\w+")
 #: Terms are hashed into 2 ** TERM_BITS buckets; only the buckets that tell the labels apart have weights.
 TERM_BITS = 40
+#: The most terms with weights, and the smallest likelihood ratio of a term between its presence and the label.
+MAX_TERMS, LEAST_RATIO = 512, 16.0
 
 
 def term_bucket(term: str) -> int:
@@ -67,7 +70,7 @@ def _telling(docs: list[np.ndarray], y: np.ndarray, max_terms: int, least: float
     return np.sort(buckets[good[np.argsort(-g[good], kind="stable")[:max_terms]]])
 
 
-def fit_machine(docs: list[np.ndarray], labels, rank: int = 8, max_terms: int = 512, least: float = 16.0, steps: int = 400,
+def fit_machine(docs: list[np.ndarray], labels, rank: int = 8, max_terms: int = MAX_TERMS, least: float = LEAST_RATIO, steps: int = 400,
                 rate: float = 0.05, shrink: float = 1e-4, seed: int = 7) -> FactorizationMachine:
     """Fit by Adam on all rows at once; `docs` are arrays of buckets. With one label only, nothing but the bias is left.
 
@@ -123,18 +126,40 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, id_
                  label_col: str = "toxic", **settings) -> FactorizationMachine:
     """Fit on at most `max_rows` labelled documents outside the held-out fold, taken in the order of a hash of the id.
 
-    The sample is the only part of the documents that reaches the driver, as hashed terms. Labels NULL or without a
+    Of the sample only the presence of the telling terms reaches the driver. Labels NULL or without a
     document are left out; an id labelled several times counts once, as toxic if any label says so.
     """
     one = labels.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("label"))
     one = one.filter("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = one.filter(fold() != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     rows = documents(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("text", "label")
-    got = rows.mapInArrow(_hashed, "buckets array<long>, label int").toPandas()
-    order = sorted(range(len(got)), key=lambda i: (int(got["label"][i]), np.sort(got["buckets"][i]).tobytes()))  # not by arrival
+    hashed = materialise(rows.mapInArrow(_hashed, "buckets array<long>, label int"), "terms")
+    found = telling_terms(hashed, **{k: settings[k] for k in ("max_terms", "least") if k in settings})
+    present = F.array_intersect("buckets", F.lit(found).cast("array<bigint>")) if found else F.array().cast("array<bigint>")
+    got = hashed.select(F.array_sort(present).alias("buckets"), "label").toPandas()
+    order = sorted(range(len(got)), key=lambda i: (int(got["label"][i]), list(got["buckets"][i])))  # not by arrival
     return fit_machine([np.asarray(got["buckets"][i], dtype=np.int64) for i in order], [int(got["label"][i]) for i in order], **settings)
 
 
+def telling_terms(hashed: DataFrame, max_terms: int = MAX_TERMS, least: float = LEAST_RATIO) -> list[int]:
+    """Buckets of three documents or more whose presence and label depend on each other, the `max_terms` most telling.
+
+    Documents are counted by bucket in Spark; only the chosen buckets reach the driver.
+    """
+    total, toxic = hashed.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    if not 0 < toxic < total:
+        return []
+    counts = hashed.select(F.explode("buckets").alias("bucket"), "label").groupBy("bucket").agg(F.count("*").alias("n"), F.sum("label").alias("pos"))
+    n, pos, share = F.col("n"), F.col("pos"), toxic / total
+
+    def part(seen, size, p):
+        return F.when(seen > 0, 2 * seen * F.log(seen / (size * p))).otherwise(0.0)
+    ratio = (part(pos, n, share) + part(n - pos, n, 1 - share) + part(toxic - pos, total - n, share)
+             + part(total - n - toxic + pos, total - n, 1 - share))
+    top = counts.filter(n >= 3).withColumn("ratio", ratio).filter(F.col("ratio") >= least).orderBy(F.desc("ratio"), "bucket").limit(max_terms)
+    return sorted(r["bucket"] for r in top.collect())
+
+
 class _Places(dict):
     """Term to its place among the weighted buckets, or -1."""
 
