@@ -48,7 +48,10 @@ SHARES, ENOUGH = ("marks", "capitals", "word_length"), 40
 
 def votes(text: str) -> list[int]:
     """One vote of each labeller. A text without words is bad for all that can tell."""
-    words, m = _measures(text)
+    return _votes(*_measures(text))
+
+
+def _votes(words: list[str], m: dict[str, float]) -> list[int]:
     if not words:
         return [-1] * len(LABELLERS)
     found = [_vote(m[k], good, bad) for k, good, bad in LABELLERS.values()]
@@ -118,7 +121,10 @@ _BUCKETS = _Buckets()
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Buckets and values: shapes and words by their share of the text, repetition and length by steps."""
-    words, m = _measures(text)
+    return _features(*_measures(text))
+
+
+def _features(words: list[str], m: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
     if len(_BUCKETS) > 300_000:
         _BUCKETS.clear()
     pairs = np.array(list(map(_BUCKETS.__getitem__, words)), dtype=np.int64).reshape(-1, 2)
@@ -186,11 +192,12 @@ def quality_scores(docs: DataFrame, max_rows: int = 5_000, threshold: float = 0.
         tables = {tuple(p): q for p, q in zip(patterns.tolist(), model.posterior(patterns))}
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            score = []
+            score, post = [], []
             for t in texts:
-                at, x = features(t)
+                words, m = _measures(t)
+                at, x = _features(words, m)
                 score.append(1 / (1 + np.exp(-np.clip(float(w[at] @ x) + float(w[-1]), -30, 30))))
-            post = [float(tables[tuple(votes(t))]) for t in texts]
+                post.append(float(tables[tuple(_votes(words, m))]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(post, pa.float64()), pa.array(score, pa.float64())], names=["doc_id", "posterior", "score"])
     made = df.select("doc_id", "text").mapInArrow(scored, f"doc_id {kind}, posterior double, score double")
     return made.withColumn("kept", F.col("score") >= threshold)
