@@ -7,12 +7,14 @@ import re
 
 import numpy as np
 from tokenizers import Tokenizer
-
-#: Words kept between batches in a Python worker, about 60 MB; then the memory starts anew.
-CACHED_WORDS = 250_000
-# What the word tokenizer's own pattern cuts printable ASCII into, after lower-casing (fixed values of its file).
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_PRINTABLE = re.compile(r"[!-~]+")
+from tokenizers.pre_tokenizers import ByteLevel
+
+#: Words kept between batches in a Python worker, about 100 MB; then the memory starts anew.
+CACHED_WORDS = 500_000
+# What the word tokenizer's own pattern cuts a lower-case word of these characters into (fixed values of its file): printable
+# ASCII and the composed letters of Latin-1, which no normalisation changes. Words with other characters are asked whole.
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+_PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
@@ -39,16 +41,21 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = _WORD_PATTERN in _patterns(self.tokenizer)
         self.model = self.tokenizer.model
-        self.pieces = _Memory(lambda p: _packed([t.id for t in self.model.tokenize(p)]))
+        self.bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.pieces = _Memory(self._piece)
         self.words = _Memory(self._word)
 
     def _asked(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece if piece.isascii() else self.bytes.pre_tokenize_str(piece)[0][0]
+        return _packed([t.id for t in self.model.tokenize(spelled)])
+
     def _word(self, word: str) -> bytes:
         if not word:
             return b""
-        if _PRINTABLE.fullmatch(word) and "<|" not in word:
+        if _PLAIN.fullmatch(word) and "<|" not in word:
             return b"".join(map(self.pieces.__getitem__, _PIECES.findall(word.lower())))
         return self._asked(word)
 
