@@ -16,6 +16,8 @@ from seriesml.session import materialise
 #: 25 bands of 5 registers: two documents of similarity 0.8 meet in none with a probability of 5e-5, of 0.9 with 2e-10.
 BANDS, ROWS = 25, 5
 SHINGLE, SIMILARITY = 5, 0.8
+#: Shingles that are signed at a time, beside those of one document.
+SIGNED_TOGETHER = 50_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype=np.uint64)
 
 
@@ -56,31 +58,32 @@ def shingles(text: str, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(mixed, return_counts=True)
 
 
-def signature(elements: np.ndarray, weights: np.ndarray, size: int = BANDS * ROWS) -> np.ndarray:
-    """ProbMinHash: for each register the element whose process reaches it first.
+def signatures(sets: list[tuple[np.ndarray, np.ndarray]], size: int = BANDS * ROWS) -> np.ndarray:
+    """ProbMinHash of weighted sets, a row each: for each register the element whose process reaches it first.
 
     Each element is a Poisson process with its weight as rate, its arrivals thrown at registers by a hash of the element
-    alone. Arrivals are drawn in rounds; an element ends as soon as its next arrival is later than every register's
-    earliest. Two signatures agree in a register with the probability Jaccard similarity of the weighted sets.
+    alone. Arrivals are drawn in rounds for all sets together; an element ends as soon as its next arrival is later than
+    the earliest of every register of its set. Two signatures agree in a register with the probability Jaccard similarity
+    of the weighted sets. Sets are not empty.
     """
-    times = np.full(size, np.inf)
-    owners = np.zeros(size, dtype=np.uint64)
+    elements, weights = (np.concatenate(x) for x in zip(*sets))
+    owner = np.repeat(np.arange(len(sets)), [len(e) for e, _ in sets])
+    times, owners = np.full(len(sets) * size, np.inf), np.zeros(len(sets) * size, dtype=np.uint64)
     at = np.zeros(len(elements))
-    live, draw = np.arange(len(elements)), 0
-    while len(live):
-        bits = _mixed(elements[live] + np.uint64((2 * draw + 1) * int(_MULTIPLIERS[0]) % 2 ** 64))
+    draw = 0
+    while len(elements):
+        bits = _mixed(elements + np.uint64((2 * draw + 1) * int(_MULTIPLIERS[0]) % 2 ** 64))
         unit = ((bits >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0 ** 53
-        at[live] -= np.log(unit) / weights[live]
-        register = (_mixed(bits + _MULTIPLIERS[1]) % np.uint64(size)).astype(np.int64)
-        order = np.lexsort((elements[live], at[live]))[::-1]  # the earliest is written last
-        now, reg, own = at[live][order], register[order], elements[live][order]
-        first_now, first_own = np.full(size, np.inf), np.zeros(size, dtype=np.uint64)
-        first_now[reg], first_own[reg] = now, own
-        better = (first_now < times) | ((first_now == times) & (first_own < owners))
-        times[better], owners[better] = first_now[better], first_own[better]
-        live = live[at[live] < times.max()]
+        at = at - np.log(unit) / weights
+        register = owner * size + (_mixed(bits + _MULTIPLIERS[1]) % np.uint64(size)).astype(np.int64)
+        np.minimum.at(times, register, at)
+        first = np.flatnonzero(at == times[register])
+        first = first[np.argsort(elements[first])[::-1]]  # of equal times the smaller element is written last
+        owners[register[first]] = elements[first]
+        live = at < times.reshape(len(sets), size).max(axis=1)[owner]
+        elements, weights, owner, at = elements[live], weights[live], owner[live], at[live]
         draw += 1
-    return owners
+    return owners.reshape(len(sets), size)
 
 
 def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -103,20 +106,30 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 def _signed(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, bands, orders = [], [], []
+            rows, bands, orders, sets = [], [], [], []
+
+            def sign():
+                registers = signatures(sets).reshape(-1, BANDS, ROWS)
+                mixed = np.full(registers.shape[:2], BANDS * ROWS, dtype=np.uint64)
+                for j in range(ROWS):
+                    mixed = _mixed(mixed * _MULTIPLIERS[0] + registers[:, :, j])
+                bands.append(mixed.ravel().view(np.int64))
+                # The next registers of each band, in 16 bits each: like documents of a band are neighbours in this order.
+                top = (_mixed(np.roll(registers, -1, axis=1)[:, :, :4]) >> np.uint64(48)) << np.array([48, 32, 16, 0], dtype=np.uint64)
+                orders.append(np.bitwise_or.reduce(top, axis=2).ravel().view(np.int64))
+                sets.clear()
+            held = 0
             for i, text in enumerate(batch.column(1).to_pylist()):
-                elements, counts = shingles(text, size)
-                if len(elements):
-                    registers = signature(elements, counts)
-                    mixed = np.full(BANDS, len(registers), dtype=np.uint64)
-                    for j in range(ROWS):
-                        mixed = _mixed(mixed * _MULTIPLIERS[0] + registers.reshape(BANDS, ROWS)[:, j])
+                made = shingles(text, size)
+                if len(made[0]):
                     rows.append(i)
-                    bands.append(mixed.view(np.int64))
-                    # The next registers of each band, in 16 bits each: like documents of a band are neighbours in this order.
-                    rolled = np.stack([np.roll(registers, -ROWS * (k + 1))[:4] for k in range(BANDS)])
-                    top = (_mixed(rolled) >> np.uint64(48)) << np.array([48, 32, 16, 0], dtype=np.uint64)
-                    orders.append(np.bitwise_or.reduce(top, axis=1).view(np.int64))
+                    sets.append(made)
+                    held += len(made[0])
+                    if held > SIGNED_TOGETHER:
+                        sign()
+                        held = 0
+            if sets:
+                sign()
             flat = [np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (bands, orders)]
             offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * BANDS)
             lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in flat]
