@@ -58,7 +58,7 @@ class Network:
 
 def contexts(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """(2 * REACH, n): the neighbours of each token in its own document; OUTSIDE beyond its ends. `ids` are whole documents in a row."""
-    padded = np.full(len(ids) + REACH * (len(sizes) + 1), OUTSIDE, dtype=np.int64)
+    padded = np.full(len(ids) + REACH * (len(sizes) + 1), OUTSIDE, dtype=np.int16)
     at = np.arange(len(ids)) + REACH * (1 + np.repeat(np.arange(len(sizes)), sizes))
     padded[at] = ids
     return np.stack([padded[at + k] for k in (*range(-REACH, 0), *range(1, REACH + 1))])
@@ -155,10 +155,11 @@ class _Ids(dict):
 
 
 def _numbered(texts: list[str], ids: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    split = [words_of(t) for t in texts]
-    sizes = np.array([len(s) for s in split], dtype=np.int64)
-    flat = np.fromiter((ids[w] for s in split for w in s), dtype=np.int64, count=int(sizes.sum()))
-    return flat, sizes
+    parts = []  # one text at a time, so that the words of a batch are never there together
+    for text in texts:
+        words = words_of(text)
+        parts.append(np.fromiter(map(ids.__getitem__, words), dtype=np.int32, count=len(words)))
+    return np.concatenate([np.zeros(0, dtype=np.int32), *parts]), np.array([len(p) for p in parts], dtype=np.int64)
 
 
 BLOCK = 1024
