@@ -16,6 +16,8 @@ from seriesml.session import materialise
 #: 25 bands of 5 registers: two documents of similarity 0.8 meet in none with a probability of 5e-5, of 0.9 with 2e-10.
 BANDS, ROWS = 25, 5
 SHINGLE, SIMILARITY = 5, 0.8
+#: Members of a band that are compared with all its other classes in one round, so that the pairs of a round grow with the members.
+PIVOTS = 256
 #: Shingles that are signed at a time, beside those of one document.
 SIGNED_TOGETHER = 50_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype=np.uint64)
@@ -211,14 +213,32 @@ def classes(links: DataFrame) -> DataFrame:
         roots = after
 
 
+def still_apart(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """key, band, hash, root of the members of bands that hold two classes or more."""
+    placed = members.select("key", "band", "hash").join(roots, "key")
+    several = placed.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    several = materialise(several.select("band", "hash"), "open")
+    return materialise(joined(placed, several, ["band", "hash"], "left_semi"), "apart")
+
+
+def busiest(apart: DataFrame, found: DataFrame, most: int) -> DataFrame:
+    """band, hash, pivot, pivot_root: the `most` members of each band with the most links in `found`, of equal ones the smaller keys."""
+    degrees = found.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("degree"))
+    order = Window.partitionBy("band", "hash").orderBy(F.desc("degree"), "key")
+    ranked = apart.join(degrees, "key", "left").withColumn("degree", F.coalesce("degree", F.lit(0))).withColumn("place", F.row_number().over(order))
+    return materialise(ranked.filter(F.col("place") <= most).select("band", "hash", F.col("key").alias("pivot"), F.col("root").alias("pivot_root")), "pivots")
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """key, doc_id, class_key, class_id (key and id of the first document of the class), n_class of every row of `docs`.
 
-    Texts with the same words in the same order are one from the start and are signed once. Documents that share a band
-    are compared with the first of the band and with the document before them in the order of the following registers, so a
-    band gives two candidates for each document and never all pairs; near copies of one text are neighbours in many of
-    the bands. Candidates count as links when the exact probability Jaccard similarity of their shingles, weighted by
+    Texts with the same words in the same order are one from the start and are signed once. Documents that share a band are
+    compared until no band holds two that are neither compared nor in one class: first with the first of the band, then
+    with the document before them in the order of the following registers (near copies of one text are neighbours in many
+    of the bands), then with the members seen to link most, PIVOTS of a band at a time, as long as the band has several
+    classes. Bands of one class are done, so groups of near copies never make all pairs; members of a band that are not
+    similar do. Candidates count as links when the exact probability Jaccard similarity of their shingles, weighted by
     their counts, reaches `similarity`; classes are what links connect. NULL and empty texts have no words and stand
     alone, each row by itself; NULL ids come first, so class_id is NULL where a NULL id is the first of a class.
     """
@@ -238,24 +258,50 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SI
     busy = materialise(busy, "busy")
     members = materialise(joined(banded, busy, ["band", "hash"], "inner").select("key", "band", "hash", "turn", "first"), "members")
     star = members.filter("key <> first").select(F.col("first").alias("a"), F.col("key").alias("b"))
-    chain = neighbours(members)
-    wanted = members.select("key").distinct()
-    texts = joined(df.withColumn("key", row_key()), materialise(wanted, "wanted"), ["key"], "left_semi").dropDuplicates(["key"])
+    wanted = materialise(members.select("key").distinct(), "wanted")
+    texts = joined(df.withColumn("key", row_key()), wanted, ["key"], "left_semi").dropDuplicates(["key"])
     texts = materialise(texts.select("key", "text"), "candidates")
 
     def links(pairs: DataFrame) -> DataFrame:
-        left = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-        both = left.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
+        """The pairs (a written table) that are similar; only texts in a pair are shuffled."""
+        def said_by(c):
+            ends = materialise(pairs.select(F.col(c).alias("key")).distinct(), "ends")
+            return joined(texts, ends, ["key"], "left_semi").select(F.col("key").alias(c), F.col("text").alias(f"text_{c}"))
+        both = pairs.join(said_by("b"), "b").join(said_by("a"), "a").select("a", "b", "text_a", "text_b")
         return materialise(both.mapInArrow(_verified(size, similarity), "a long, b long"), "links")
 
-    found = links(star.distinct())
-    roots = classes(found)
+    def merged(roots: DataFrame, found: DataFrame) -> DataFrame:
+        """The roots after further links between classes."""
+        of = lambda c: roots.select(F.col("key").alias(c), F.col("root").alias(f"root_{c}"))
+        between = found.join(of("a"), "a").join(of("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        above = classes(between.filter("a <> b")).select(F.col("key").alias("root"), F.col("root").alias("above"))
+        return materialise(joined(roots, above, ["root"], "left").select("key", F.coalesce("above", "root").alias("root")), "roots")
+
+    tried = materialise(star.distinct(), "pairs")
+    found = links(tried)
+    roots = materialise(joined(wanted, classes(found), ["key"], "left").select("key", F.coalesce("root", "key").alias("root")), "roots")
     of = lambda c: roots.select(F.col("key").alias(c), F.col("root").alias(f"root_{c}"))
-    apart = chain.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    apart = apart.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-    more = links(apart)
-    linked = found.unionByName(more).unionByName(copies.select(F.col("rep").alias("a"), F.col("key").alias("b")))
-    roots = classes(linked)
+    chain = neighbours(members).join(of("a"), "a").join(of("b"), "b").filter("root_a <> root_b").select("a", "b")
+    left, most = members.filter("key <> first"), 1  # the first of a band has met all its members
+    pairs = materialise(chain.join(tried, ["a", "b"], "left_anti"), "pairs")
+    while True:
+        if not pairs.isEmpty():
+            more = links(pairs)
+            tried, found = tried.unionByName(pairs), found.unionByName(more)
+            if not more.isEmpty():
+                roots = merged(roots, more)
+        left = still_apart(left, roots)
+        if left.isEmpty():
+            break
+        pivots = busiest(left, found, most)
+        met = joined(left, pivots, ["band", "hash"], "inner").filter("root <> pivot_root")
+        met = met.select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
+        pairs = materialise(met.join(tried, ["a", "b"], "left_anti"), "pairs")
+        # A pivot has met every member of its band that is not of its class.
+        left = joined(left, pivots.select("band", "hash", F.col("pivot").alias("key")), ["band", "hash", "key"], "left_anti")
+        most = min(8 * most, PIVOTS)
+    of_copies = copies.join(roots.withColumnRenamed("key", "rep"), "rep", "left").select("key", F.coalesce("root", "rep").alias("root"))
+    roots = roots.unionByName(of_copies)
     placed = rows.select("key", "doc_id").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     first = placed.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("first"), F.count("*").alias("n_class"))
     return placed.join(first, "root").select("key", "doc_id", F.col("first.key").alias("class_key"), F.col("first.doc_id").alias("class_id"), "n_class")

@@ -197,6 +197,34 @@ def test_near_classes_against_all_pairs(spark, make, rng):
     assert sorted(r["doc_id"] for r in left.collect()) == sorted(set(got.values()))
 
 
+def test_copies_linked_through_one_original_only(spark, make, rng):
+    words = [f"w{i}" for i in range(500)]
+    rows = [(0, " ".join(words))]
+    for i in range(1, 521):
+        copy = list(words)
+        for j in range(7):
+            copy[rng.randrange(70 * j, 70 * j + 60)] = f"own{i}x{j}"
+        rows.append((i, " ".join(copy)))
+    counts = [brute.shingle_counts(t) for _, t in rows[:12]]
+    assert min(brute.weighted_similarity(counts[0], c) for c in counts[1:]) > 0.8 > brute.weighted_similarity(counts[1], counts[2])
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(make(rows).repartition(5)).collect()}
+    assert set(got.values()) == {0}
+
+
+def test_a_band_of_classes_apart_is_compared_to_its_end(spark, make, rng, monkeypatch):
+    monkeypatch.setattr(near_dedup, "PIVOTS", 2)
+    words, rows = [f"w{i}" for i in range(300)], []
+    for i in range(14):  # every document is like the others to 0.7, and to 0.9 like the one after it or not at all
+        copy = list(words)
+        for j in range(6):
+            copy[50 * j + 7 * (i // 2 % 7)] = f"own{i // 2}x{j}"
+        if i % 2:
+            copy[299] = f"last{i}"
+        rows.append((i, " ".join(copy)))
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(make(rows).repartition(3)).collect()}
+    assert got == brute.near_classes(rows)
+
+
 def test_a_long_chain_is_one_class(spark):
     links = spark.range(300).selectExpr("id AS a", "id + 1 AS b")
     got = near_dedup.classes(links).collect()
