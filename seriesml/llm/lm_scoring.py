@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -125,7 +125,6 @@ def words_of(text: str) -> list[str]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of words; a task sends them on whenever it holds many."""
-    from collections import Counter
     counts: Counter = Counter()
 
     def sent():
@@ -139,14 +138,14 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield sent()
 
 
-def vocabulary(texts: DataFrame) -> tuple[dict[str, int], int]:
-    """The most frequent words of all texts, numbered from 1 by count and word, and the number of distinct words beyond them.
+def vocabulary(texts: DataFrame) -> tuple[dict[str, int], DataFrame]:
+    """The most frequent words of all texts, numbered from 1 by count and word, and the counts (word, n) of all words.
 
-    Only the words of the vocabulary reach the driver.
+    Only the words of the vocabulary reach the driver; the counts are a written table.
     """
     counts = materialise(texts.select("text").mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 1).collect()
-    return {r["word"]: i + 1 for i, r in enumerate(top)}, max(counts.count() - len(top), 1)
+    return {r["word"]: i + 1 for i, r in enumerate(top)}, counts
 
 
 class _Ids(dict):
@@ -199,26 +198,36 @@ def fit_network(texts: DataFrame, ids: dict[str, int], seed: int = 11) -> Networ
 def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, log_likelihood (sum of log P(token | both sides)), mean_log of every row.
 
-    Vocabulary and network come from all documents. A word outside the vocabulary has the probability of "other" shared
-    among all distinct words there. A text without words has 0 tokens, a sum of 0 and a NULL mean.
+    Vocabulary and network come from all documents. A word outside the vocabulary has the probability of "other" times its
+    own share of all tokens there; the counts stay a distributed table, joined to the words of each document. A text
+    without words has 0 tokens, a sum of 0 and a NULL mean.
     """
     df = documents(docs, id_col, text_col)
-    ids, others = vocabulary(df)
+    ids, counts = vocabulary(df)
     net = fit_network(df, ids)
     sc = docs.sparkSession.sparkContext
     sent = sc.broadcast((ids, net))
-    share = float(np.log(others))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, model = _Ids(sent.value[0]), sent.value[1]
         for batch in batches:
-            flat, sizes = _numbered(batch.column(1).to_pylist(), known)
-            logs = log_probabilities(model, flat, contexts(flat, sizes)) - share * (flat == OTHER)
+            texts = batch.column(1).to_pylist()
+            flat, sizes = _numbered(texts, known)
+            logs = log_probabilities(model, flat, contexts(flat, sizes))
             ends = np.cumsum(sizes)
             sums = np.concatenate([[0.0], np.cumsum(logs)])
             total = sums[ends] - sums[ends - sizes]
-            mean = pd.Series(total / np.maximum(sizes, 1)).where(pd.Series(sizes) > 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(total), pa.array(mean, from_pandas=True)],
-                                             names=["doc_id", "n_tokens", "log_likelihood", "mean_log"])
+            words = [Counter(w for w in words_of(text) if w not in known) for text in texts]
+            lists = [pa.array([list(c) for c in words], pa.list_(pa.string())), pa.array([list(c.values()) for c in words], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(total), *lists],
+                                             names=["doc_id", "n_tokens", "known", "words", "times"])
     kind = dict(df.dtypes)["doc_id"]
-    return df.mapInArrow(run, f"doc_id {kind}, n_tokens long, log_likelihood double, mean_log double")
+    scored = df.mapInArrow(run, f"doc_id {kind}, n_tokens long, known double, words array<string>, times array<long>")
+    scored = materialise(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    beyond = counts.join(F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in ids], "word string")), "word", "left_anti")
+    tokens = beyond.agg(F.sum("n")).first()[0] or 1
+    said = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("z")).select("row", F.col("z.words").alias("word"), F.col("z.times").alias("times"))
+    own = said.join(counts, "word").groupBy("row").agg(F.sum(F.col("times") * F.log(F.col("n") / F.lit(float(tokens)))).alias("own"))
+    total = F.col("known") + F.coalesce("own", F.lit(0.0))
+    both = scored.select("row", "doc_id", "n_tokens", "known").join(own, "row", "left").select("doc_id", "n_tokens", total.alias("log_likelihood"))
+    return both.withColumn("mean_log", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))

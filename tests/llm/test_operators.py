@@ -308,6 +308,16 @@ def test_pseudo_likelihood_against_loops_and_training():
     assert lm_scoring.log_probabilities(net, mixed, lm_scoring.contexts(mixed, np.array([len(mixed)]))).mean() < after - 1
 
 
+def test_words_outside_the_vocabulary_count_by_their_own_share(make):
+    common = " ".join(f"c{i}" for i in range(lm_scoring.VOCABULARY - 1))
+    rows = [(0, " ".join([common] * 6)), (1, "seldom"), (2, "seldom"), (3, "seldom"), (4, "seldom"), (5, "once"), (5, "once")]
+    rows += [(6, "single"), (7, "")]
+    got = {r["doc_id"]: r for r in lm_scoring.pseudo_likelihood(make(rows)).collect()}
+    assert abs(got[1]["log_likelihood"] - got[6]["log_likelihood"] - math.log(4)) < 1e-9
+    assert abs(got[5]["log_likelihood"] - got[6]["log_likelihood"] - math.log(2)) < 1e-9
+    assert (got[7]["n_tokens"], got[7]["log_likelihood"], got[7]["mean_log"]) == (0, 0.0, None)
+
+
 def test_gradients_are_those_of_the_likelihood():
     rng = np.random.default_rng(4)
     ids = rng.integers(0, lm_scoring.VOCABULARY, 50)
