@@ -36,11 +36,11 @@ def _winnowed(grams: str, width: int) -> F.Column:
 
 
 def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    """Distinct items with words; an item without id has no name to report and is left out."""
+    """Distinct items with words, each with a key; an item without id has no name to report, but its words count."""
     rows = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("item_id"),
                             F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    return (rows.filter(F.col("item_id").isNotNull()).select("item_id", words_of("text").alias("item_words"))
-            .filter(F.size("item_words") > 0).distinct())
+    items = rows.select("item_id", words_of("text").alias("item_words")).filter(F.size("item_words") > 0).distinct()
+    return items.withColumn("item", F.xxhash64("item_id", "item_words"))
 
 
 def _runs(equal: str, least: F.Column) -> F.Column:
@@ -63,7 +63,8 @@ def shared_spans(docs: DataFrame, benchmark: DataFrame, window: int = 13, gram:
     item when that has fewer words. Any `window` shared words hold `window - gram + 1` consecutive grams, whose smallest is
     a fingerprint on both sides, so none is missed. Items of fewer words are looked up by hashes of that many words
     instead. Documents are reduced to fingerprints in place; only those that meet an item's are looked at again.
-    NULL texts have no words; rows equal in id and text are one document; items without words or id match nothing.
+    NULL texts have no words; rows equal in id and text are one document; items without words match nothing, and spans of items without id have
+    a NULL item_id.
     """
     df = documents(docs, id_col, text_col).select(row_key().alias("key"), "doc_id", words_of("text").alias("words"))
     items = materialise(_items(benchmark, item_col, item_text).withColumn("n_item", F.size("item_words")), "items")
@@ -75,16 +76,16 @@ def shared_spans(docs: DataFrame, benchmark: DataFrame, window: int = 13, gram:
     base = materialise(prints.select("key", "doc_id", F.size("words").cast("long").alias("n_words"), "prints"), "prints")
 
     long_items = items.filter(F.col("n_item") >= window).withColumn("grams", _grams("item_words", gram))
-    known = long_items.select("item_id", F.lit(gram).alias("k"), F.explode(_winnowed("grams", width)).alias("print"))
-    placed = long_items.select("item_id", F.posexplode("grams").alias("at_item", "print"))
+    known = long_items.select("item", F.lit(gram).alias("k"), F.explode(_winnowed("grams", width)).alias("print"))
+    placed = long_items.select("item", F.posexplode("grams").alias("at_item", "print"))
     for n in short:
-        whole = items.filter(F.col("n_item") == n).select("item_id", F.lit(n).alias("k"), F.xxhash64(
+        whole = items.filter(F.col("n_item") == n).select("item", F.lit(n).alias("k"), F.xxhash64(
             *[F.get("item_words", F.lit(j)) for j in range(n)]).alias("print"))
         known = known.unionByName(whole)
-        placed = placed.unionByName(whole.select("item_id", F.lit(0).alias("at_item"), "print"))
+        placed = placed.unionByName(whole.select("item", F.lit(0).alias("at_item"), "print"))
     known = materialise(known, "item-prints")
     # A print of an item stands where any of its grams has that hash.
-    places = known.select("item_id", "k", "print").distinct().join(placed, ["item_id", "print"])
+    places = known.select("item", "k", "print").distinct().join(placed, ["item", "print"])
     places = materialise(places, "item-places")
 
     met = joined(base.select("key", F.explode("prints").alias("print")), known.select("print").distinct(), ["print"], "left_semi")
@@ -96,9 +97,9 @@ def shared_spans(docs: DataFrame, benchmark: DataFrame, window: int = 13, gram:
     for k in sizes:
         part = again.select("key", F.lit(k).alias("k"), F.posexplode(_grams("words", k)).alias("at_doc", "print"))
         grams = part if grams is None else grams.unionByName(part)
-    pairs = joined(grams, places, ["k", "print"], "inner").select("key", "item_id", (F.col("at_doc") - F.col("at_item")).alias("shift")).distinct()
+    pairs = joined(grams, places, ["k", "print"], "inner").select("key", "item", (F.col("at_doc") - F.col("at_item")).alias("shift")).distinct()
     texts = pairs.join(again, "key")
-    texts = joined(texts, items, ["item_id"], "inner")
+    texts = joined(texts, items, ["item"], "inner")
     from_doc, from_item = F.greatest("shift", F.lit(0)), F.greatest(-F.col("shift"), F.lit(0))
     n = F.least(F.size("words") - from_doc, F.col("n_item") - from_item)
     equal = F.array_join(F.zip_with(F.slice("words", from_doc + 1, n), F.slice("item_words", from_item + 1, n),
@@ -113,15 +114,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, one_i
     """key, doc_id, n_words, n_hit, n_items, items (sorted as strings), contaminated of every document.
 
     A word is hit when it lies in a shared span; a document is contaminated from one hit word in `one_in` on. Overlapping
-    spans count once. A document without words has no hits. An empty benchmark contaminates nothing.
+    spans count once. Items without id count as one item and have no name in `items`. A document without words has no hits. An empty benchmark contaminates nothing.
     """
     counts, spans = shared_spans(docs, benchmark, window, **columns)
     before = Window.partitionBy("key").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
     new = F.greatest(F.lit(0), F.col("b") - F.greatest("a", F.coalesce(F.max("b").over(before), F.lit(0))))
     hit = spans.select("key", "a", "b").distinct().withColumn("new", new).groupBy("key").agg(F.sum("new").alias("n_hit"))
-    named = spans.groupBy("key").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    named = spans.groupBy("key").agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.max(F.col("item_id").isNull().cast("int")).alias("unnamed"))
     both = counts.join(hit.join(named, "key"), "key", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     items = F.coalesce("items", F.array().cast("array<string>"))
-    return both.select("key", "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"),
+    return both.select("key", "doc_id", "n_words", n_hit.alias("n_hit"), (F.size(items) + F.coalesce("unnamed", F.lit(0))).cast("long").alias("n_items"), items.alias("items"),
                        ((n_hit > 0) & (one_in * n_hit >= F.col("n_words"))).alias("contaminated"))

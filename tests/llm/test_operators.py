@@ -136,6 +136,14 @@ def test_decontamination_against_all_windows(spark, make, rng):
     assert sum(r[2] > 0 for r in got) > 20
 
 
+def test_items_without_id_contaminate(spark, make, rng):
+    passages = [prose(rng, 30), prose(rng, 5), prose(rng, 30)]
+    rows = [(i, p) for i, p in enumerate(passages)] + [(3, prose(rng, 30))]
+    bench = spark.createDataFrame([(None, passages[0]), (None, passages[1]), (7, passages[2]), (None, passages[2])], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"] == r["n_words"], r["n_items"], r["items"], r["contaminated"]) for r in decontaminate.contamination(make(rows), bench).collect()}
+    assert got == {0: (True, 1, [], True), 1: (True, 1, [], True), 2: (True, 2, ["7"], True), 3: (False, 0, [], False)}
+
+
 def test_large_sides_are_shuffled_with_the_same_result(spark, make, rng, monkeypatch):
     rows = [(i, prose(rng, 40, 4)) for i in range(12)]
     rows += [(20 + i, rows[i][1]) for i in range(6)]
