@@ -16,6 +16,8 @@ from seriesml.session import materialise
 #: 25 bands of 5 registers: two documents of similarity 0.8 meet in none with a probability of 5e-5, of 0.9 with 2e-10.
 BANDS, ROWS = 25, 5
 SHINGLE, SIMILARITY = 5, 0.8
+#: The white space that str.split() knows.
+BLANKS = r"[\t-\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
 #: Members of a band that are compared with all its other classes in one round, so that the pairs of a round grow with the members.
 PIVOTS = 256
 #: Shingles that are signed at a time, beside those of one document.
@@ -243,9 +245,9 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SI
     alone, each row by itself; NULL ids come first, so class_id is NULL where a NULL id is the first of a class.
     """
     df = documents(docs, id_col, text_col)
-    said = F.array_join(F.array_remove(F.split(F.lower("text"), r"\s+"), ""), " ")
+    said = F.array_join(F.array_remove(F.split(F.lower("text"), BLANKS), ""), " ")
     rows = materialise(df.select(row_key().alias("key"), "doc_id", F.xxhash64(said).alias("w1"), F.xxhash64(said, F.lit(1)).alias("w2"),
-                                 (F.length(F.trim("text")) > 0).alias("full")), "rows")
+                                 (said != "").alias("full")), "rows")
     same = rows.filter("full").groupBy("w1", "w2").agg(F.min("key").alias("rep"))
     rep = materialise(same.select("w1", "w2", "rep"), "texts")
     several = rows.filter("full").join(rep, ["w1", "w2"]).select("key", "rep")

@@ -233,6 +233,12 @@ def test_a_band_of_classes_apart_is_compared_to_its_end(spark, make, rng, monkey
     assert got == brute.near_classes(rows)
 
 
+def test_texts_without_words_stand_alone(make):
+    rows = [(i, t) for i, t in enumerate(["", "\n", "\n\n", "\n", "\t ", "\t ", "\u3000", "\xa0", None])] + [(9, "\tone word"), (10, "one\u3000word\n")]
+    got = {r["doc_id"]: (r["class_id"], r["n_class"]) for r in near_dedup.near_duplicates(make(rows)).collect()}
+    assert got == {i: (i, 1) for i in range(9)} | {9: (9, 2), 10: (9, 2)}
+
+
 def test_a_long_chain_is_one_class(spark):
     links = spark.range(300).selectExpr("id AS a", "id + 1 AS b")
     got = near_dedup.classes(links).collect()
