@@ -25,7 +25,7 @@ def both():
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.one_of(st.characters(), st.sampled_from(list("abcXYZ019 .,'\n\t%éÉüßœḉ<|>")), ), max_size=40))
+@given(st.text(alphabet=st.one_of(st.characters(exclude_categories=['Cs']), st.sampled_from(list("abcXYZ019 .,'\n\t%éÉüßœḉ<|>")), ), max_size=40))
 def test_word_by_word_equals_the_library(both, text):
     mine, library = both
     assert np.frombuffer(mine.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids

@@ -33,7 +33,7 @@ def test_against_sql(spark, con, data, name):
 
 def test_names_are_registered():
     numbers = {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
 
 

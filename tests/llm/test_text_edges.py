@@ -77,7 +77,7 @@ def test_values_of_odd_rows(spark, make, odd_rows):
     assert lines[1] is None and lines[2] == "" and lines[10] == "the very same line of many words again" and lines[4] == "word"
     assert lines[5] == dict(odd_rows)[5] and lines[6] == ""
     hits = {r["doc_id"]: r for r in RUNS["op9"](spark, docs, None).collect()}
-    assert hits[4]["n_hit"] == 0 and hits[1]["n_words"] == 0 and not hits[1]["contaminated"]
+    assert hits[4]["n_hit"] == 1 and hits[1]["n_words"] == 0 and not hits[1]["contaminated"]
 
 
 def test_without_labels_nothing_is_toxic(spark, make):
