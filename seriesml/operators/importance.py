@@ -57,9 +57,11 @@ def importance_matrix(importances: DataFrame, features: Sequence[str]) -> DataFr
 def drop_incomplete_models(importances: DataFrame) -> DataFrame:
     """Leave out models that miss an importance: NULL, NaN, or no row for a feature that another model has."""
     there = F.col("importance").isNotNull() & ~F.isnan("importance")
-    features = importances.select("feature").distinct().count()
-    full = importances.groupBy("model").agg(F.count_distinct(F.when(there, F.col("feature"))).alias("_n")).filter(F.col("_n") == features)
-    return importances.join(full.select("model"), "model", "left_semi")
+    # A row for each model and feature, so one window over all of them is small by nature.
+    known = F.size(F.collect_set(F.when(there, F.col("feature"))).over(Window.partitionBy("model")))
+    every = F.size(F.collect_set("feature").over(Window.partitionBy()))
+    marked = importances.withColumns({"_known": known, "_every": every})
+    return marked.filter(F.col("_known") == F.col("_every")).drop("_known", "_every")
 
 
 def keep_adequate(importances: DataFrame, adequate: DataFrame) -> DataFrame:

@@ -1,38 +1,47 @@
-"""Exact k-nearest neighbours without comparing every pair.
+"""k-nearest neighbours without comparing every pair: exact by cells, or approximate by hash tables.
 
-Training rows are assigned to the nearest of a fixed number of pivots. For a query, the distances inside the cells
-bound its k-th neighbour from above, and the triangle inequality rules out whole cells. What is left is matched by
-(cell, slice) so that no task holds more than a bounded block, and each block returns k rows per query at most.
+Exact: training rows are assigned to the nearest of a number of pivots that grows with the table. A query first searches
+its own cell; the distance of the k-th row found there bounds what it still has to look for, and the triangle inequality
+rules out whole cells. Approximate: the signs of random projections are the keys of several hash tables; a query meets the
+rows of its own bucket in each table and of the buckets beyond its nearest planes.
+
+Either way a bucket is matched in blocks of a bounded number of rows and queries, so no task holds more than a block of each,
+and each block returns k rows per query at most.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seriesml.operators.ordering import lookup
 from seriesml.operators.split import seeded_key
 from seriesml.session import materialise
 
 K = 5
-MAX_PIVOTS = 256
+# Pivots reach every task of a search: their number is the square root of the rows up to here.
+MAX_PIVOTS = 2048
 BLOCK_ROWS = 20_000
+# Hash tables, buckets that a query visits in each, and the rows of a bucket when rows are spread evenly.
+HASH_TABLES, HASH_PROBES, BUCKET_ROWS = 10, 8, 500
 
 
 @dataclass(frozen=True)
 class NeighbourModel:
-    """Training rows (id, x, label, cell, slice) with the pivots and the distance bounds of each cell."""
+    """Training rows (id, x, label, cell) with the pivots and the radius and rows of each cell."""
 
     table: DataFrame
     id: str
     k: int
     pivots: np.ndarray
     radius: np.ndarray
-    nearest: np.ndarray
     rows: np.ndarray
     block: int
 
@@ -46,6 +55,18 @@ def _matrix(rows: pd.Series) -> np.ndarray:
     return np.stack(rows.to_numpy()).astype(float)
 
 
+def _nearest_pivot(centres: np.ndarray):
+    @F.pandas_udf("struct<cell:int,away:double>")
+    def assign(values: pd.Series) -> pd.DataFrame:
+        cell, away = np.zeros(len(values), dtype="int32"), np.zeros(len(values))
+        for a in range(0, len(values), 1024):
+            d = _distances(_matrix(values.iloc[a:a + 1024]), centres)
+            cell[a:a + 1024] = d.argmin(axis=1)
+            away[a:a + 1024] = d.min(axis=1)
+        return pd.DataFrame({"cell": cell, "away": away})
+    return assign
+
+
 def fit_neighbours(train: DataFrame, id: str, x: str, label: str, k: int = K, pivots: int | None = None,
                    block: int = BLOCK_ROWS, seed: int = 0) -> NeighbourModel:
     """Assign the training rows to pivots. `k` is the largest number of neighbours that will be asked for."""
@@ -53,52 +74,41 @@ def fit_neighbours(train: DataFrame, id: str, x: str, label: str, k: int = K, pi
     total = rows.count()
     count = pivots or max(1, min(MAX_PIVOTS, int(math.sqrt(total) / 2)))
     chosen = rows.orderBy(seeded_key(["_id"], seed), "_id").limit(count).select("_x").collect()
+    if not chosen:
+        raise ValueError("no training rows")
     centres = np.stack([np.asarray(r["_x"]) for r in chosen])
-
-    @F.pandas_udf("struct<cell:int,away:double>")
-    def assign(values: pd.Series) -> pd.DataFrame:
-        if not len(values):
-            return pd.DataFrame({"cell": pd.Series([], dtype="int32"), "away": pd.Series([], dtype=float)})
-        d = _distances(_matrix(values), centres)
-        cell = d.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "away": d[np.arange(len(d)), cell]})
-
-    placed = rows.withColumn("_a", assign("_x")).select("_id", "_x", "_label", F.col("_a.cell").alias("_cell"),
-                                                        F.col("_a.away").alias("_away"))
-    # Read by both statistics and by every search.
-    placed = materialise(placed, "cells")
-    facts = placed.groupBy("_cell").agg(F.max("_away").alias("r"), F.count(F.lit(1)).alias("n")).collect()
-    w = Window.partitionBy("_cell").orderBy("_away", "_id")
-    inner = placed.select("_cell", "_away", "_id").withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
-    radius, sizes, nearest = np.full(count, -1.0), np.zeros(count, dtype="int64"), np.full((count, k), np.inf)
-    for f in facts:
+    placed = rows.withColumn("_a", _nearest_pivot(centres)("_x")).select(
+        "_id", "_x", "_label", F.col("_a.cell").alias("_cell"), F.col("_a.away").alias("_away"))
+    placed = materialise(placed, "cells")  # read by the statistics and by every search
+    radius, sizes = np.full(len(centres), -1.0), np.zeros(len(centres), dtype="int64")
+    for f in placed.groupBy("_cell").agg(F.max("_away").alias("r"), F.count(F.lit(1)).alias("n")).collect():
         radius[f["_cell"]], sizes[f["_cell"]] = f["r"], f["n"]
-    for f in inner.collect():
-        nearest[f["_cell"], f["_rn"] - 1] = f["_away"]
-    slices = F.lit(np.maximum(1, -(-sizes // block)))
-    placed = placed.withColumn("_slice", F.pmod(F.xxhash64("_id"), F.element_at(slices, F.col("_cell") + 1)))
-    return NeighbourModel(placed, id, k, centres, radius, nearest, sizes, block)
+    return NeighbourModel(placed.drop("_away"), id, k, centres, radius, sizes, block)
 
 
-def _cells_to_visit(model: NeighbourModel):
-    centres, radius, nearest, k = model.pivots, model.radius, model.nearest, model.k
-    gaps = _distances(centres, centres)
+def _cells_to_visit(model: NeighbourModel, k: int):
+    """Cells other than the own one that may hold a row as near as the k-th found, or as near as k rows are for sure."""
+    centres, radius, sizes = model.pivots, model.radius, model.rows
     live = radius >= 0
 
     @F.pandas_udf("array<int>")
-    def visit(values: pd.Series) -> pd.Series:
+    def visit(values: pd.Series, cell: pd.Series, limit: pd.Series) -> pd.Series:
         out = []
         for start in range(0, len(values), 512):
-            d = _distances(_matrix(values.iloc[start:start + 512]), centres)
-            rows = np.arange(len(d))
-            own = d.argmin(axis=1)
-            bounds = (d[:, :, None] + nearest[None, :, :]).reshape(len(d), -1)
-            limit = np.partition(bounds, k - 1, axis=1)[:, k - 1] * (1 + 1e-9) + 1e-9
-            keep = live[None, :] & (d - radius[None, :] <= limit[:, None])
-            gap = gaps[own]
+            part = slice(start, start + 512)
+            d = _distances(_matrix(values.iloc[part]), centres)
+            own, rows = cell.iloc[part].to_numpy(), np.arange(len(d))
+            far = np.where(live, d + radius, np.inf)
+            order = np.argsort(far, axis=1)
+            enough = (np.cumsum(sizes[order], axis=1) >= k).argmax(axis=1)
+            sure = far[rows, order[rows, enough]] if sizes.sum() >= k else np.full(len(d), np.inf)
+            bound = np.fmin(limit.iloc[part].to_numpy(dtype=float), sure) * (1 + 1e-9) + 1e-9
+            keep = live[None, :] & (d - radius[None, :] <= bound[:, None])
+            gap = _distances(centres[own], centres)
             with np.errstate(divide="ignore", invalid="ignore"):
                 beyond = (d ** 2 - (d[rows, own] ** 2)[:, None]) / (2 * gap)
-            keep &= ~((gap > 0) & (beyond > limit[:, None]))
+            keep &= ~((gap > 0) & (beyond > bound[:, None]))
+            keep[rows, own] = False
             out += [np.flatnonzero(r).astype("int32") for r in keep]
         return pd.Series(out, dtype=object)
 
@@ -121,42 +131,147 @@ def _block_search(k: int):
             own = (part * part).sum(1)
             d2 = size[None, :] + own[:, None] - 2.0 * (part @ t.T)
             edge = np.partition(d2, k - 1, axis=1)[:, k - 1] if len(t) > k else np.full(len(part), np.inf)
-            i, j = np.nonzero(d2 <= (edge + 1e-9 * (own + size.max() + 1.0))[:, None])
-            exact = np.sqrt(((t[j] - part[i]) ** 2).sum(axis=1))
-            order = np.lexsort((j, exact, i))
-            i, j, exact = i[order], j[order], exact[order]
-            place = np.arange(len(i)) - np.searchsorted(i, i)
-            first = place < k
-            out.append(pd.DataFrame({"_qid": qid[start + i[first]], "_id": ids[j[first]], "_label": labels[j[first]],
-                                     "distance": exact[first]}))
+            # Many rows can be as near as the k-th one; of those at one exact distance only the first by id count.
+            for a in range(0, len(part), max(1, 2_000_000 // len(t))):
+                b = min(a + max(1, 2_000_000 // len(t)), len(part))
+                i, j = np.nonzero(d2[a:b] <= (edge[a:b] + 1e-9 * (own[a:b] + size.max() + 1.0))[:, None])
+                exact = np.sqrt(((t[j] - part[a + i]) ** 2).sum(axis=1))
+                order = np.lexsort((j, exact, i))
+                i, j, exact = i[order], j[order], exact[order]
+                first = np.arange(len(i)) - np.searchsorted(i, i) < k
+                out.append(pd.DataFrame({"_qid": qid[start + a + i[first]], "_id": ids[j[first]], "_label": labels[j[first]],
+                                         "distance": exact[first]}))
         return pd.concat(out, ignore_index=True)
     return search
 
 
+def _matched(table: DataFrame, visits: DataFrame, keys: Sequence[str], k: int, block: int) -> DataFrame:
+    """(_qid, _id, _label, distance): the k nearest rows of every block that a query visits.
+
+    A bucket (`keys`) of many rows is cut into slices that each of its queries visits, and its queries into parts; how many is
+    counted first, so a hot bucket is spread over as many tasks as it has blocks.
+    """
+    keys = list(keys)
+    loads = visits.groupBy(*keys).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block)).cast("long").alias("_parts"))
+    sizes = table.groupBy(*keys).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block)).cast("long").alias("_slices"))
+    plan = materialise(sizes.join(loads, keys), "buckets")
+    rows = plan.count()
+    each = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    left = lookup(table, plan, keys, "inner", rows).withColumn("_slice", F.pmod(F.xxhash64("_id"), F.col("_slices"))).withColumn(
+        "_part", F.explode(each(F.col("_parts")))).drop("_parts", "_slices")
+    right = lookup(visits, plan, keys, "inner", rows).withColumn("_part", F.pmod(F.xxhash64("_qid"), F.col("_parts"))).withColumn(
+        "_slice", F.explode(each(F.col("_slices")))).drop("_parts", "_slices")
+    kinds = dict(table.dtypes)
+    schema = f"_qid {dict(visits.dtypes)['_qid']}, _id {kinds['_id']}, _label {kinds['_label']}, distance double"
+    blocks = [*keys, "_slice", "_part"]
+    return left.groupBy(*blocks).cogroup(right.groupBy(*blocks)).applyInPandas(_block_search(k), schema)
+
+
+def _ranked(found: DataFrame, id: str, k: int) -> DataFrame:
+    w = Window.partitionBy("_qid").orderBy("distance", "_id")
+    return (found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            .select(F.col("_qid").alias(id), "rank", F.col("_id").alias("neighbour"), F.col("_label").alias("label"), "distance"))
+
+
 def neighbours(model: NeighbourModel, queries: DataFrame, id: str, x: str, k: int | None = None) -> DataFrame:
-    """(id, rank, neighbour, label, distance) of the `k` nearest training rows; equal distances in id order."""
+    """(id, rank, neighbour, label, distance) of the `k` nearest training rows; equal distances in id order.
+
+    The own cell is searched first; then only cells that reach within the k-th distance found.
+    """
     k = k or model.k
     if k > model.k:
         raise ValueError(f"fitted for at most {model.k} neighbours")
     asked = queries.select(F.col(id).alias("_qid"), F.col(x).cast("array<double>").alias("_x"))
-    planned = materialise(asked.withColumn("_cells", _cells_to_visit(model)("_x")), "visits")
-    visits = planned.select("_qid", "_x", F.explode("_cells").alias("_cell"))
-    # How many queries reach a cell decides into how many parts they are cut; training slices are copied to each part.
-    load = np.zeros(len(model.pivots), dtype="int64")
-    for r in visits.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect():
-        load[r["_cell"]] = r["n"]
-    parts = F.element_at(F.lit(np.maximum(1, -(-load // model.block))), F.col("_cell") + 1)
-    slices = F.element_at(F.lit(np.maximum(1, -(-model.rows // model.block))), F.col("_cell") + 1)
-    cut = visits.withColumn("_part", F.pmod(F.xxhash64("_qid"), parts)).withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0).cast("long"), slices - 1)))
-    copied = model.table.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-    kinds = dict(model.table.dtypes)
-    schema = f"_qid {dict(asked.dtypes)['_qid']}, _id {kinds['_id']}, _label {kinds['_label']}, distance double"
-    keys = ["_cell", "_slice", "_part"]
-    found = copied.groupBy(*keys).cogroup(cut.groupBy(*keys)).applyInPandas(_block_search(k), schema)
-    w = Window.partitionBy("_qid").orderBy("distance", "_id")
-    return (found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select(F.col("_qid").alias(id), "rank", F.col("_id").alias("neighbour"), F.col("_label").alias("label"), "distance"))
+    asked = materialise(asked.withColumn("_cell", _nearest_pivot(model.pivots)("_x")["cell"]), "asked")
+    first = materialise(_matched(model.table, asked, ["_cell"], k, model.block), "found")
+    # A query has at most k rows from each slice of its cell.
+    limit = first.groupBy("_qid").agg(F.array_sort(F.collect_list("distance")).alias("_d")).select(
+        "_qid", F.when(F.size("_d") >= k, F.element_at("_d", k)).alias("_limit"))
+    planned = asked.join(limit, "_qid", "left").withColumn("_cells", _cells_to_visit(model, k)("_x", "_cell", "_limit"))
+    visits = materialise(planned.select("_qid", "_x", F.explode("_cells").alias("_cell")), "visits")
+    return _ranked(first.unionByName(_matched(model.table, visits, ["_cell"], k, model.block)), id, k)
+
+
+@dataclass(frozen=True)
+class HashTables:
+    """Training rows (id, x, label, table, bucket), the planes (tables, bits, columns) and the point they pass through."""
+
+    table: DataFrame
+    planes: np.ndarray
+    centre: np.ndarray
+    block: int
+
+
+def _keys(values: np.ndarray, planes: np.ndarray, centre: np.ndarray, probes: int) -> np.ndarray:
+    """(rows, tables, probes): the buckets of each row, the own one first, then those beyond the planes that are nearest.
+
+    Sets of planes to cross are tried in the order of their summed squared distances.
+    """
+    tables, bits, _ = planes.shape
+    side = (values - centre) @ planes.reshape(tables * bits, -1).T
+    side = side.reshape(len(values), tables, bits)
+    own = ((side > 0) * (1 << np.arange(bits, dtype=np.int64))).sum(axis=2)
+    if probes == 1:
+        return own[:, :, None]
+    near = np.argsort(np.abs(side), axis=2)[:, :, :min(bits, 6)]
+    cost = np.take_along_axis(side, near, axis=2) ** 2
+    sets = [s for r in range(1, 4) for s in itertools.combinations(range(near.shape[2]), r)]
+    costs = np.stack([cost[:, :, list(s)].sum(axis=2) for s in sets], axis=2)
+    flips = np.stack([(np.int64(1) << near[:, :, list(s)]).sum(axis=2) for s in sets], axis=2)
+    best = np.argsort(costs, axis=2, kind="stable")[:, :, :probes - 1]
+    return np.concatenate([own[:, :, None], own[:, :, None] ^ np.take_along_axis(flips, best, axis=2)], axis=2)
+
+
+def _buckets(planes: np.ndarray, centre: np.ndarray, probes: int):
+    @F.pandas_udf("array<struct<table:int,bucket:long>>")
+    def buckets(values: pd.Series) -> pd.Series:
+        out = []
+        for a in range(0, len(values), 2048):
+            for row in _keys(_matrix(values.iloc[a:a + 2048]), planes, centre, probes):
+                out.append([{"table": t, "bucket": int(b)} for t, found in enumerate(row) for b in found])
+        return pd.Series(out, dtype=object)
+    return buckets
+
+
+def fit_hash_tables(train: DataFrame, id: str, x: str, label: str, tables: int = HASH_TABLES, bits: int | None = None,
+                    block: int = BLOCK_ROWS, seed: int = 0) -> HashTables:
+    """Write every training row once into each of `tables` tables, under the signs of `bits` random projections.
+
+    Planes pass through the mean; the bits grow with the logarithm of the rows, so buckets keep their size. Equal rows share
+    all buckets, which are cut into blocks when they are searched.
+    """
+    rows = train.select(F.col(id).alias("_id"), F.col(x).cast("array<double>").alias("_x"), F.col(label).alias("_label"))
+    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_x")).alias("width")).first()
+    if not facts["n"]:
+        raise ValueError("no training rows")
+    mean = rows.select(F.posexplode("_x").alias("at", "v")).groupBy("at").agg(F.avg("v").alias("v")).orderBy("at").collect()
+    centre = np.array([r["v"] for r in mean])
+    bits = bits or max(1, min(40, math.ceil(math.log2(max(1, facts["n"] / BUCKET_ROWS)))))
+    planes = np.random.default_rng(seed).normal(size=(tables, bits, facts["width"]))
+    placed = rows.withColumn("_b", F.explode(_buckets(planes, centre, 1)("_x")))
+    placed = placed.select("_id", "_x", "_label", F.col("_b.table").alias("_table"), F.col("_b.bucket").alias("_bucket"))
+    return HashTables(materialise(placed, "tables"), planes, centre, block)
+
+
+def approximate_neighbours(model: HashTables, queries: DataFrame, id: str, x: str, k: int = K, probes: int = HASH_PROBES) -> DataFrame:
+    """(id, rank, neighbour, label, distance) of the `k` nearest rows among those that share a visited bucket with a query.
+
+    Distances are exact; a neighbour that shares none of the visited buckets is missed, so a query may have fewer than `k`.
+    More probes or tables find more.
+    """
+    asked = queries.select(F.col(id).alias("_qid"), F.col(x).cast("array<double>").alias("_x"))
+    visits = asked.withColumn("_b", F.explode(_buckets(model.planes, model.centre, probes)("_x"))).select(
+        "_qid", "_x", F.col("_b.table").alias("_table"), F.col("_b.bucket").alias("_bucket"))
+    found = _matched(model.table, materialise(visits, "visits"), ["_table", "_bucket"], k, model.block)
+    return _ranked(found.dropDuplicates(["_qid", "_id"]), id, k)
+
+
+def recall(found: DataFrame, exact: DataFrame, id: str) -> DataFrame:
+    """n_wanted and recall: the share of exact neighbours that were found, where one as near as the last exact one counts."""
+    last = exact.groupBy(id).agg(F.max("distance").alias("_last"), F.count(F.lit(1)).alias("_n"))
+    got = found.join(last, id).filter(F.col("distance") <= F.col("_last")).groupBy(id).agg(F.count(F.lit(1)).alias("_got"))
+    both = last.join(got, id, "left").agg(F.sum("_n").alias("n_wanted"), F.sum(F.least("_n", F.coalesce("_got", F.lit(0)))).alias("_found"))
+    return both.select("n_wanted", (F.col("_found") / F.col("n_wanted")).alias("recall"))
 
 
 def leave_one_out(train: DataFrame, id: str, x: str, label: str, k: int = K, **options) -> DataFrame:
@@ -167,7 +282,7 @@ def leave_one_out(train: DataFrame, id: str, x: str, label: str, k: int = K, **o
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def _weight(weights: str):
+def _weight(weights: str) -> Column:
     """1, or 1 / distance; a query that hits training rows exactly counts only those."""
     if weights == "uniform":
         return F.lit(1.0)

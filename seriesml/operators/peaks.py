@@ -2,7 +2,7 @@
 
 A run of equal values counts as one sample, placed at its middle. Among peaks closer than `distance` the higher one
 wins, and of equal ones the later. Peaks influence each other only within a cluster of close candidates, so clusters
-are settled on their own: small ones by an array expression, large ones block by block until nothing is open.
+are settled on their own: small ones by an array expression, large ones in blocks whose borders are settled by one scan.
 """
 
 from __future__ import annotations
@@ -45,64 +45,124 @@ def _greedy(members: Column, distance: int) -> Column:
         .otherwise(F.array_append(kept, m["pos"])))
 
 
-def _settle(pos: np.ndarray, height: np.ndarray, state: np.ndarray, distance: int, lo: float, hi: float) -> np.ndarray:
-    """Decide candidates of the block [lo, hi] in order of height: 1 kept, 0 dropped, -1 open.
+def _kept(pos: np.ndarray, height: np.ndarray, distance: int, outside: Sequence[tuple[int, float]]) -> np.ndarray:
+    """Which candidates of a block stay, highest first, when `outside` are the kept ones next to the block.
 
-    Beyond the block an unseen neighbour may be higher, so candidates near its border stay open, and so do those
-    that depend on them. An infinite border is the end of the cluster.
+    A candidate goes when a kept one that is higher (of equal height, later) is closer than `distance`.
     """
-    state = state.copy()
+    n = len(pos)
+    kept = np.zeros(n, dtype=bool)
+    gone = np.zeros(n, dtype=bool)
+    for p, h in outside:
+        near = np.arange(np.searchsorted(pos, p - distance, side="right"), np.searchsorted(pos, p + distance, side="left"))
+        gone[near[(height[near] < h) | ((height[near] == h) & (pos[near] < p))]] = True
     left = np.searchsorted(pos, pos - distance, side="right")
     right = np.searchsorted(pos, pos + distance, side="left")
-    for j in np.lexsort((-pos, -height)):
-        if state[j] != -1:
-            continue
-        around = [m for m in range(left[j], right[j]) if m != j]
-        if any(state[m] == 1 for m in around):
-            state[j] = 0
-            continue
-        near_border = pos[j] - lo + 1 < distance or hi + 1 - pos[j] < distance
-        waits = any(state[m] == -1 and (height[m], pos[m]) > (height[j], pos[j]) for m in around)
-        if not near_border and not waits:
-            state[j] = 1
-    return state
+    for j in np.lexsort((-pos, -height)).tolist():
+        if not gone[j]:
+            gone[left[j]:right[j]] = True  # all others near are lower or gone already
+            kept[j] = True
+    return kept
 
 
-def _large_clusters(members: DataFrame, series: Sequence[str], distance: int, block: int) -> DataFrame:
-    """Kept positions of clusters of any size.
+def _border_map(pos: np.ndarray, height: np.ndarray, side: np.ndarray, distance: int, lo: int, hi: int) -> list[dict]:
+    """What a block shows its neighbours for everything they may show it.
 
-    Each pass settles blocks of bounded length in parallel; the next pass shifts the block borders by half, so
-    candidates left open at a border are inside. A cluster that is one long falling chain settles one block per pass.
+    `side` is -1, 0, 1 for candidates before, in and after the block. Of the candidates near a border at most one is kept,
+    so what a side shows is one position or nothing (NULL). Rows: before, after (shown to the block), first, last (shown by it).
     """
-    block = max(block, 4 * distance)
+    own = side == 0
+    p, h = pos[own], height[own]
+    choices = [[None, *zip(pos[side == s].tolist(), height[side == s].tolist())] for s in (-1, 1)]
+    out = []
+    for before in choices[0]:
+        for after in choices[1]:
+            kept = p[_kept(p, h, distance, [x for x in (before, after) if x is not None])]
+            shown = {"first": int(kept[0]) if len(kept) and kept[0] < lo + distance - 1 else None,
+                     "last": int(kept[-1]) if len(kept) and kept[-1] > hi - distance + 1 else None}
+            out.append({"before": before and int(before[0]), "after": after and int(after[0]), **shown})
+    return out
+
+
+def _scanned(maps: list[dict[tuple, tuple]]) -> list[tuple]:
+    """What each block of a cluster is shown (before, after), from the maps of its blocks in order.
+
+    Forward, the blocks up to one are a map from what the next one shows to what they show it; backward, the end of the
+    cluster shows nothing, and each map in turn says what its own blocks showed. Heights decide in one order, so there is
+    exactly one consistent choice at each border.
+    """
+    prefix: list[dict] = []  # for each block: from what the next one shows to what it shows the next one
+
+    def agrees(before, first) -> bool:
+        if not prefix_of:
+            return before is None
+        return first in prefix_of[-1] and prefix_of[-1][first] == before
+
+    for table in maps:
+        prefix_of = prefix[-1:]
+        prefix.append({after: last for (before, after), (first, last) in table.items() if agrees(before, first)})
+    out, after = [], None
+    for i in range(len(maps) - 1, -1, -1):
+        prefix_of = prefix[i - 1:i] if i else []
+        before = next(b for (b, a), (first, _) in maps[i].items() if a == after and agrees(b, first))
+        out.append((before, after))
+        after = maps[i][before, after][0]
+    return out[::-1]
 
-    @F.pandas_udf("array<int>")
-    def settle(pos: pd.Series, height: pd.Series, state: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.Series:
-        return pd.Series([
-            _settle(np.asarray(p), np.asarray(h, dtype=float), np.asarray(s), distance, a, b)
-            for p, h, s, a, b in zip(pos, height, state, lo, hi)])
 
+def _large_clusters(members: DataFrame, series: Sequence[str], distance: int, block: int) -> DataFrame:
+    """Kept positions of clusters of any size, in a fixed number of jobs.
+
+    Clusters are cut into blocks of positions. A block sees the candidates next to its borders as well and gives its map from
+    what may be kept there to what it then keeps next to them; these maps, one for each block, are scanned in order; then every
+    block is settled with what its neighbours really keep. A map has a row for each pair of candidates near its two borders, some
+    (distance / 2) squared.
+    """
+    block = max(block, 4 * distance)
     keys = [*series, "_cluster"]
-    ends = members.groupBy(*keys).agg(F.min("pos").alias("_lo"), F.max("pos").alias("_hi"))
-    table = join_on(members.select(*keys, "pos", F.col("height").cast("double").alias("height"),
-                                   F.lit(-1).alias("state")), ends, keys, "inner")
-    shift = 0
-    while True:
-        part = F.floor((F.col("pos") + shift) / block)
-        arrays = table.groupBy(*keys, "_lo", "_hi", part.alias("_part")).agg(
-            F.sort_array(F.collect_list(F.struct("pos", "height", "state"))).alias("m"))
-        m = F.col("m")
-        border = F.col("_part") * block - shift
-        lo = F.when(border > F.col("_lo"), border.cast("double")).otherwise(F.lit(float("-inf")))
-        hi = F.when(border + block <= F.col("_hi"), (border + block - 1).cast("double")).otherwise(F.lit(float("inf")))
-        settled = arrays.withColumn("state", settle(m["pos"], m["height"], m["state"], lo, hi))
-        rows = (settled.select(*keys, "_lo", "_hi", F.inline(F.arrays_zip(
-                    m["pos"].alias("pos"), m["height"].alias("height"), F.col("state").alias("state"))))
-                .filter(F.col("state") != 0))
-        table = materialise(rows, "peaks")
-        if table.filter(F.col("state") == -1).isEmpty():
-            return table.select(*series, "pos")
-        shift = block // 2 if shift == 0 else 0
+    pos, part = F.col("pos"), F.floor(F.col("pos") / block)
+    near = F.array_compact(F.array(
+        F.struct(part.alias("part"), F.lit(0).alias("side")),
+        F.when(pos - part * block < distance - 1, F.struct((part - 1).alias("part"), F.lit(1).alias("side"))),
+        F.when((part + 1) * block - 1 - pos < distance - 1, F.struct((part + 1).alias("part"), F.lit(-1).alias("side")))))
+    spread = members.select(*keys, "pos", F.col("height").cast("double").alias("height"), F.explode(near).alias("_n"))
+    cells = F.sort_array(F.collect_list(F.struct("pos", "height", F.col("_n.side").alias("side"))))
+    # A block without candidates of its own lies beyond the end of its cluster.
+    blocks = spread.groupBy(*keys, F.col("_n.part").alias("_part")).agg(cells.alias("m")).filter(F.exists("m", lambda m: m["side"] == 0))
+    blocks = materialise(blocks, "blocks")
+    rows = "array<struct<before:bigint,after:bigint,first:bigint,last:bigint>>"
+
+    @F.pandas_udf(rows)
+    def mapped(pos: pd.Series, height: pd.Series, side: pd.Series, part: pd.Series) -> pd.Series:
+        return pd.Series([_border_map(np.asarray(p), np.asarray(h), np.asarray(s), distance, n * block, (n + 1) * block - 1)
+                          for p, h, s, n in zip(pos, height, side, part)], dtype=object)
+
+    def scan(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_part")
+        maps = [{(r["before"], r["after"]): (r["first"], r["last"]) for r in table} for table in pdf["_map"]]
+        found = _scanned(maps)
+        made = pdf.drop(columns="_map")
+        for at, name in enumerate(("_before", "_after")):
+            made[name] = pd.array([x[at] for x in found], dtype="Int64")
+        return made
+
+    m = F.col("m")
+    maps = blocks.select(*keys, "_part", mapped(m["pos"], m["height"], m["side"], F.col("_part")).alias("_map"))
+    kinds = dict(maps.dtypes)
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in (*keys, "_part")], "_before bigint", "_after bigint"])
+    shown = maps.groupBy(*keys).applyInPandas(scan, schema)
+
+    @F.pandas_udf("array<bigint>")
+    def settle(pos: pd.Series, height: pd.Series, side: pd.Series, before: pd.Series, after: pd.Series) -> pd.Series:
+        out = []
+        for p, h, s, b, a in zip(pos, height, side, before, after):
+            p, h, own = np.asarray(p), np.asarray(h), np.asarray(s) == 0
+            outside = [(x, h[(p == x)][0]) for x in (b, a) if not pd.isna(x)]
+            out.append(p[own][_kept(p[own], h[own], distance, outside)])
+        return pd.Series(out, dtype=object)
+
+    both = join_on(blocks, shown, [*keys, "_part"], "inner")
+    return both.select(*series, F.explode(settle(m["pos"], m["height"], m["side"], "_before", "_after")).alias("pos"))
 
 
 def suppress_close(candidates: DataFrame, layout: SeriesLayout, distance: int = PEAK_DISTANCE,

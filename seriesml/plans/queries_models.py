@@ -8,6 +8,7 @@ from seriesml.functions.columns import dot, rounded
 from seriesml.operators import attribution, discriminant, evaluate, learners, neighbours, tuning
 from seriesml.operators.learners import CLASSIFICATION, REGRESSION
 from seriesml.plans.registry import ev, query, table
+from seriesml.session import materialise
 
 DIMS = 64
 
@@ -358,6 +359,17 @@ def knn_regress(spark, sf):
     return neighbours.regress(_near(spark, sf), "vec_id", "distance").withColumn("y_pred", rounded("y_pred"))
 
 
+@query("knn_approx", """SELECT count(*) AS n_queries, 5 * count(*) AS n_wanted, true AS found_nine_tenths FROM embeddings WHERE vec_id % 20 = 0""")
+def knn_approx(spark, sf):
+    """Neighbours by hash tables of every twentieth vector among all, measured against the exact ones."""
+    df = table(spark, sf, "embeddings")
+    asked = df.filter("vec_id % 20 = 0")
+    found = neighbours.approximate_neighbours(neighbours.fit_hash_tables(df, "vec_id", "embedding", "label"), asked, "vec_id", "embedding")
+    exact = neighbours.neighbours(neighbours.fit_neighbours(df, "vec_id", "embedding", "label"), asked, "vec_id", "embedding")
+    share = neighbours.recall(found, materialise(exact, "exact"), "vec_id")
+    return share.select((F.col("n_wanted") / 5).cast("long").alias("n_queries"), "n_wanted", (F.col("recall") >= 0.9).alias("found_nine_tenths"))
+
+
 @query("train_ensemble")
 def train_ensemble(spark, sf):
     data = _order_features(spark, sf)

@@ -15,7 +15,8 @@ from seriesml.plans.registry import ORACLES, ev, long, query, table
 from seriesml.sources.payloads import decode_requests, encode_responses
 from seriesml.sources.registry import SCHEMA, overview
 from seriesml.sources.sinks import FeatureCatalogue
-from seriesml.streaming import runs, stateful
+from seriesml.session import scratch_path
+from seriesml.streaming import runs, stateful, tables
 
 
 @query("json_payload_ingest", """WITH {ev} SELECT CAST(user_id AS VARCHAR) AS modeluid, CAST(event_id AS VARCHAR) AS date,
@@ -133,3 +134,26 @@ def stream_late_rows(spark, sf):
     days = _events_stream(spark, sf).withColumn("day", F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date")))
     samples = runs.run_available(stateful.sample_stream(days, "user_id", "day", ["value"], 8, 4), "late")
     return samples.filter("late").groupBy("user_id").agg(F.count("*").alias("n_late"))
+
+
+@query("stream_rolling_table", ORACLES["roll_mean"])
+def stream_rolling_table(spark, sf):
+    """Rolling means with the state kept as a table."""
+    got = tables.rolling_table(_events_stream(spark, sf), scratch_path(spark, "rolling"), "user_id", "event_id", "value", "mean", 10)
+    return got.filter(~F.col("late")).select("event_id", rounded("value_mean").alias("value_mean"))
+
+
+@query("stream_sample_table", _steps_sql(8, 4))
+def stream_sample_table(spark, sf):
+    """Windowed samples with the state kept as a table; a series may be silent for ten years."""
+    samples = tables.sample_table(_events_stream(spark, sf), scratch_path(spark, "samples"), "user_id", ["at", "event_id"], ["value", "k"], 8, 4,
+                                  tables.Expiry("ts", 10 * 366 * 86400.0))
+    return _exploded(samples.filter(~F.col("late")), ["value", "k"])
+
+
+@query("stream_score_table", ORACLES["stream_score"])
+def stream_score_table(spark, sf):
+    """Predictions into a table in which a repeated batch replaces itself."""
+    batch = learners.with_vector(ev(spark, sf).withColumn("label", F.col("value")), ["k"])
+    scored = runs.score_stream(_events_stream(spark, sf).select("event_id", "k"), learners.fit(batch, "linearregression", REGRESSION), ["k"])
+    return tables.replacing_table(scored, scratch_path(spark, "scores")).select("event_id", rounded("y_pred").alias("y_pred"))

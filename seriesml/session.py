@@ -55,3 +55,9 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table in the shared folder if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
