@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from seriesml.llm.common import documents, joined, keyed, row_key
+from seriesml.llm.common import documents, joined, keyed, row_key, slices
 from seriesml.session import materialise
 
 #: 25 bands of 5 registers: two documents of similarity 0.8 meet in none with a probability of 5e-5, of 0.9 with 2e-10.
@@ -109,7 +109,7 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 
 def _signed(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             rows, bands, orders, sets = [], [], [], []
 
             def sign():
@@ -138,6 +138,7 @@ def _signed(size: int):
             offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * BANDS)
             lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in flat]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *lists], names=["key", "bands", "orders"])
+        _HASHES.clear()  # the worker lives on
     return run
 
 
@@ -152,6 +153,7 @@ def _verified(size: int, similarity: float):
                     last, known = a[i], shingles(text_a[i], size)
                 keep.append(probability_jaccard(known, shingles(text_b[i], size)) >= similarity)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], names=["a", "b"])
+        _HASHES.clear()
     return run
 
 

@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from seriesml.llm.common import documents, joined
+from seriesml.llm.common import documents, joined, slices
 from seriesml.llm.tokens import encoder
 from seriesml.session import materialise
 
 #: Numbers within one length are counted in so many parts, or more when there are more than PART_ROWS pieces in each.
 PARTS, PART_ROWS = 256, 200_000
+#: Words whose ids a Python worker keeps, some 30 MB: the worker may still hold what earlier stages of a pipeline left.
+CACHED_WORDS = 100_000
 
 
 @dataclass(frozen=True)
@@ -87,8 +89,8 @@ def plan_packing(counts: dict[int, int], limits: Limits = Limits()) -> pd.DataFr
 
 def _cut(path: str, end_id: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(path), np.array([end_id], dtype="<u4").tobytes()
-        for batch in batches:
+        enc, end = encoder(path, CACHED_WORDS), np.array([end_id], dtype="<u4").tobytes()
+        for batch in slices(batches, 1):
             row, piece, start, part = [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 packed = enc.encode(text) + end

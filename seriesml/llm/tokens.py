@@ -37,7 +37,8 @@ class Encoder:
     by the pattern; any other file is asked text by text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_WORDS):
+        self.cached = cached
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = _WORD_PATTERN in _patterns(self.tokenizer)
         self.model = self.tokenizer.model
@@ -68,7 +69,7 @@ class Encoder:
     def trim(self) -> None:
         """To be called between batches: bounds the memory."""
         for memory in (self.words, self.pieces):
-            if len(memory) > CACHED_WORDS:
+            if len(memory) > self.cached:
                 memory.clear()
 
 
@@ -89,6 +90,6 @@ def _patterns(tokenizer) -> list[str]:
 
 
 @functools.lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cached: int = CACHED_WORDS) -> Encoder:
     """One encoder for each file and Python worker."""
-    return Encoder(path)
+    return Encoder(path, cached)
