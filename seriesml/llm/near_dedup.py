@@ -18,8 +18,13 @@ BANDS, ROWS = 25, 5
 SHINGLE, SIMILARITY = 5, 0.8
 #: The white space that str.split() knows.
 BLANKS = r"[\t-\r\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
-#: Members of a band that are compared with all its other classes in one round, so that the pairs of a round grow with the members.
-PIVOTS = 256
+#: A band that still holds several classes is cut into blocks of so many members, and every two blocks meet in a task.
+BLOCK = 500
+#: Registers in which two signatures agree before the texts are compared: of 125, two documents of similarity 0.8 agree in fewer
+#: with a probability of 1e-5.
+AGREE = 80
+#: Shingles of texts that a task keeps while two blocks meet.
+KEPT_SHINGLES = 2_000_000
 #: Shingles that are signed at a time, beside those of one document.
 SIGNED_TOGETHER = 50_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype=np.uint64)
@@ -110,10 +115,11 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 def _signed(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
-            rows, bands, orders, sets = [], [], [], []
+            rows, bands, orders, signed, sets = [], [], [], [], []
 
             def sign():
                 registers = signatures(sets).reshape(-1, BANDS, ROWS)
+                signed.extend(x.tobytes() for x in (_mixed(registers) >> np.uint64(48)).astype(np.uint16).reshape(-1, BANDS * ROWS))
                 mixed = np.full(registers.shape[:2], BANDS * ROWS, dtype=np.uint64)
                 for j in range(ROWS):
                     mixed = _mixed(mixed * _MULTIPLIERS[0] + registers[:, :, j])
@@ -137,7 +143,8 @@ def _signed(size: int):
             flat = [np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (bands, orders)]
             offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * BANDS)
             lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in flat]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *lists], names=["key", "bands", "orders"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *lists, pa.array(signed, pa.binary())],
+                                             names=["key", "bands", "orders", "signature"])
         _HASHES.clear()  # the worker lives on
     return run
 
@@ -225,12 +232,77 @@ def still_apart(members: DataFrame, roots: DataFrame) -> DataFrame:
     return materialise(joined(placed, several, ["band", "hash"], "left_semi"), "apart")
 
 
-def busiest(apart: DataFrame, found: DataFrame, most: int) -> DataFrame:
-    """band, hash, pivot, pivot_root: the `most` members of each band with the most links in `found`, of equal ones the smaller keys."""
-    degrees = found.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("degree"))
-    order = Window.partitionBy("band", "hash").orderBy(F.desc("degree"), "key")
-    ranked = apart.join(degrees, "key", "left").withColumn("degree", F.coalesce("degree", F.lit(0))).withColumn("place", F.row_number().over(order))
-    return materialise(ranked.filter(F.col("place") <= most).select("band", "hash", F.col("key").alias("pivot"), F.col("root").alias("pivot_root")), "pivots")
+def _meet(size: int, similarity: float):
+    """Links between members of different classes of two blocks of a band, or of one block: enough of them to join what belongs together.
+
+    Signatures (16 bits a register) are compared first; a pair that shares several bands is looked at in the first of them
+    only. Pairs are taken from the most alike on, and those that links found here have joined already are left out.
+    """
+    def run(group: tuple, table: pa.Table) -> pa.Table:
+        band, low, high = group[0].as_py(), group[2].as_py(), group[3].as_py()
+        table = table.sort_by("key")
+        key, block = table.column("key").to_numpy(), table.column("block").to_numpy()
+        root, texts = table.column("root").to_pylist(), table.column("text")
+        sign = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint16).reshape(len(key), BANDS, ROWS)
+        joined_to = {r: r for r in root}
+        numbers = np.unique(table.column("root").to_numpy(), return_inverse=True)[1]
+
+        def find(r):
+            while joined_to[r] != r:
+                joined_to[r] = r = joined_to[joined_to[r]]
+            return r
+        known, held, found = {}, 0, []
+
+        def said(i):
+            nonlocal held
+            if i not in known:
+                if held > KEPT_SHINGLES:
+                    known.clear()
+                    held = 0
+                known[i] = shingles(texts[i].as_py(), size)
+                held += len(known[i][0])
+            return known[i]
+        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        flat = sign.reshape(len(key), -1)
+        for a in range(0, len(left), 50):
+            part = left[a:a + 50]
+            agree = (flat[part][:, None, :] == flat[right][None, :, :]).sum(axis=2)
+            wanted = (agree >= AGREE) & (numbers[part][:, None] != numbers[right][None, :])
+            if low == high:
+                wanted &= part[:, None] < right[None, :]
+            i, j = np.nonzero(wanted)
+            if not len(i):
+                continue
+            shared = (sign[part[i]] == sign[right[j]]).all(axis=2)
+            mine = shared.argmax(axis=1) == band
+            i, j = i[mine], j[mine]
+            for n in np.argsort(-agree[i, j], kind="stable").tolist():
+                x, y = int(part[i[n]]), int(right[j[n]])
+                ra, rb = find(root[x]), find(root[y])
+                if ra != rb and probability_jaccard(said(x), said(y)) >= similarity:
+                    joined_to[max(ra, rb)] = min(ra, rb)
+                    found.append((int(key[x]), int(key[y])))
+        _HASHES.clear()
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+    return run
+
+
+def meetings(apart: DataFrame, signed: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Links (a, b) that join the classes of every open band. `apart` has key, band, hash, root of the members of open bands.
+
+    A band of many members is cut into blocks by a hash of the key; each member goes to the meetings of its block, so a task
+    holds two blocks of texts and a band of n members takes (n / BLOCK) squared of them. What comes out has fewer rows than
+    each meeting has members.
+    """
+    per = apart.groupBy("band", "hash").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    per = materialise(per, "blocks")
+    asked = apart.select("key").distinct()
+    told = signed.select("key", "signature").join(asked, "key", "left_semi").join(texts, "key")
+    placed = joined(apart, per, ["band", "hash"], "inner").withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
+    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
+        {"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    rows = spread.select("band", "hash", "low", "high", "block", "key", "root").join(told, "key")
+    return rows.groupBy("band", "hash", "low", "high").applyInArrow(_meet(size, similarity), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY, id_col: str = "doc_id",
@@ -238,12 +310,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SI
     """key, doc_id, class_key, class_id (key and id of the first document of the class), n_class of every row of `docs`.
 
     Texts with the same words in the same order are one from the start and are signed once. Documents that share a band are
-    compared until no band holds two that are neither compared nor in one class: first with the first of the band, then
-    with the document before them in the order of the following registers (near copies of one text are neighbours in many
-    of the bands), then with the members seen to link most, PIVOTS of a band at a time, as long as the band has several
-    classes. Bands of one class are done, so groups of near copies never make all pairs; members of a band that are not
-    similar do. Candidates count as links when the exact probability Jaccard similarity of their shingles, weighted by
-    their counts, reaches `similarity`; classes are what links connect. NULL and empty texts have no words and stand
+    compared in three rounds: with the first of the band; with the document before them in the order of the following
+    registers (near copies of one text are neighbours in many of the bands); and, in bands that still hold several classes,
+    with every member of another class whose signature is alike enough, in meetings of blocks that return only the links
+    that join classes. Bands of one class are done. Candidates count as links when the exact probability Jaccard
+    similarity of their shingles, weighted by their counts, reaches `similarity`; classes are what links connect. NULL and empty texts have no words and stand
     alone, each row by itself; NULL ids come first, so class_id is NULL where a NULL id is the first of a class.
     """
     df = documents(docs, id_col, text_col)
@@ -255,7 +326,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SI
     several = rows.filter("full").join(rep, ["w1", "w2"]).select("key", "rep")
     copies = materialise(several.filter("key <> rep").distinct(), "copies")
     chosen = joined(df.withColumn("key", row_key()), copies.select("key").distinct(), ["key"], "left_anti").select("key", "text")
-    signed = materialise(chosen.mapInArrow(_signed(size), "key long, bands array<long>, orders array<long>"), "bands")
+    signed = materialise(chosen.mapInArrow(_signed(size), "key long, bands array<long>, orders array<long>, signature binary"), "bands")
     banded = signed.select("key", F.posexplode(F.arrays_zip("bands", "orders")).alias("band", "z")).select(
         "key", "band", F.col("z.bands").alias("hash"), F.col("z.orders").alias("turn"))
     busy = banded.groupBy("band", "hash").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first < last").drop("last")
@@ -278,7 +349,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SI
         """The roots after further links between classes."""
         of = lambda c: roots.select(F.col("key").alias(c), F.col("root").alias(f"root_{c}"))
         between = found.join(of("a"), "a").join(of("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
-        above = classes(between.filter("a <> b")).select(F.col("key").alias("root"), F.col("root").alias("above"))
+        between = materialise(between.filter("a <> b"), "between")
+        if between.isEmpty():
+            return roots
+        above = classes(between).select(F.col("key").alias("root"), F.col("root").alias("above"))
         return materialise(joined(roots, above, ["root"], "left").select("key", F.coalesce("above", "root").alias("root")), "roots")
 
     tried = materialise(star.distinct(), "pairs")
@@ -286,24 +360,12 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SI
     roots = materialise(joined(wanted, classes(found), ["key"], "left").select("key", F.coalesce("root", "key").alias("root")), "roots")
     of = lambda c: roots.select(F.col("key").alias(c), F.col("root").alias(f"root_{c}"))
     chain = neighbours(members).join(of("a"), "a").join(of("b"), "b").filter("root_a <> root_b").select("a", "b")
-    left, most = members.filter("key <> first"), 1  # the first of a band has met all its members
     pairs = materialise(chain.join(tried, ["a", "b"], "left_anti"), "pairs")
-    while True:
-        if not pairs.isEmpty():
-            more = links(pairs)
-            tried, found = tried.unionByName(pairs), found.unionByName(more)
-            if not more.isEmpty():
-                roots = merged(roots, more)
-        left = still_apart(left, roots)
-        if left.isEmpty():
-            break
-        pivots = busiest(left, found, most)
-        met = joined(left, pivots, ["band", "hash"], "inner").filter("root <> pivot_root")
-        met = met.select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")).distinct()
-        pairs = materialise(met.join(tried, ["a", "b"], "left_anti"), "pairs")
-        # A pivot has met every member of its band that is not of its class.
-        left = joined(left, pivots.select("band", "hash", F.col("pivot").alias("key")), ["band", "hash", "key"], "left_anti")
-        most = min(8 * most, PIVOTS)
+    if not pairs.isEmpty():
+        roots = merged(roots, links(pairs))
+    apart = still_apart(members, roots)
+    if not apart.isEmpty():
+        roots = merged(roots, materialise(meetings(apart, signed, texts, size, similarity), "links"))
     of_copies = copies.join(roots.withColumnRenamed("key", "rep"), "rep", "left").select("key", F.coalesce("root", "rep").alias("root"))
     roots = roots.unionByName(of_copies)
     placed = rows.select("key", "doc_id").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))

@@ -220,7 +220,7 @@ def test_copies_linked_through_one_original_only(spark, make, rng):
 
 
 def test_a_band_of_classes_apart_is_compared_to_its_end(spark, make, rng, monkeypatch):
-    monkeypatch.setattr(near_dedup, "PIVOTS", 2)
+    monkeypatch.setattr(near_dedup, "BLOCK", 7)
     words, rows = [f"w{i}" for i in range(300)], []
     for i in range(14):  # every document is like the others to 0.7, and to 0.9 like the one after it or not at all
         copy = list(words)
