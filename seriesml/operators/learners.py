@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesml.operators import resampling
+
 REGRESSION, CLASSIFICATION = "regression", "classification"
 
 # Names of the ensemble members, sizes and penalties of the learners.
@@ -264,16 +266,10 @@ def linear_coefficients(model: PipelineModel) -> tuple[list[float], float]:
     return [float(c) for c in stage.coefficients.toArray()], float(stage.intercept)
 
 
-# P(at most n) of a Poisson distribution of mean 1, from n = 0 on.
-POISSON_ONE = (0.36787944117, 0.73575888234, 0.91969860293, 0.98101184312, 0.99634015317, 0.99940581518, 0.99991675885, 0.99998975080)
-
-
 def resample(train: DataFrame, ids: Sequence[str], draw: int, seed: int = 0) -> DataFrame:
     """Each row as often as a Poisson number of mean 1 says, drawn from the row's ids alone: the same on any cluster."""
-    text = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ids], F.lit(str(draw)), F.lit(str(seed)))
-    u = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    times = sum(((u >= p).cast("int") for p in POISSON_ONE), F.lit(0))
-    return train.withColumn("_times", times).filter("_times > 0").withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
+    counted = train.withColumn("_times", resampling.times(ids, F.lit(draw), seed)).filter("_times > 0")
+    return counted.withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
 
 
 def _bootstrap(train: DataFrame, ids: Sequence[str], method: str, task: str, draws: int, params: Mapping | None, seed: int, parallelism: int) -> list:
@@ -288,7 +284,15 @@ def _bootstrap(train: DataFrame, ids: Sequence[str], method: str, task: str, dra
 
 def bootstrap_draws(train: DataFrame, df: DataFrame, ids: Sequence[str], method: str, task: str, draws: int,
                     params: Mapping | None = None, seed: int = 0, parallelism: int = 3) -> DataFrame:
-    """(ids, draw, y_pred): predictions of the resampled models."""
+    """(ids, draw, y_pred): predictions of the resampled models.
+
+    Least squares and ridge take one pass over the table for all draws, as long as their sums are few enough.
+    """
+    if task == REGRESSION and method in ("linearregression", "ridgeregression"):
+        first = train.select("features").first()
+        if first is not None and resampling.fits(draws, len(first["features"])):
+            alpha = 0.0 if method == "linearregression" else float((params or {}).get("alpha", RIDGE_ALPHA))
+            return resampling.bootstrap_linear(train, ids, draws, seed, alpha).predict(df, ids)
     fitted = _bootstrap(train, ids, method, task, draws, params, seed, parallelism)
     got = predict_many(df, {str(i): m for i, m in enumerate(fitted)}, ids)
     return got.select(*ids, F.col("method").cast("int").alias("draw"), "y_pred")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from seriesml.config import Config
 from seriesml.functions.columns import nan_to_null
 from seriesml.operators import (
-    attribution, clean, discriminant, encode, evaluate, features, importance, learners, neighbours, scale, sequence, split, tuning)
+    attribution, clean, discriminant, encode, evaluate, features, importance, learners, neighbours, scale, sequence, split, tree_values, tuning)
 from seriesml.operators.learners import CLASSIFICATION, REGRESSION
 from seriesml.operators.ordering import SeriesLayout, series_layout
 from seriesml.operators.split import seeded_key
@@ -290,7 +290,9 @@ def explain(fitted: Fitted, spark) -> DataFrame:
         def score(rows: DataFrame, p=predictor) -> DataFrame:
             return p.predict(rows.withColumn("x", F.array(*names)), "y_pred").drop("x")
         for kind in kinds:
-            values = (attribution.shapley_values(test, ids, names, background, score, seed=cfg.explain.seed, mode=cfg.explain.shapley_mode) if kind == "shap"
+            trees = cfg.explain.shapley_mode == "exact" and isinstance(predictor, VectorPredictor) and len(predictor.models) == 1 and tree_values.is_supported(predictor.models[0])
+            values = (tree_values.tree_shapley_values(test, ids, names, background, predictor.models[0]) if kind == "shap" and trees
+                      else attribution.shapley_values(test, ids, names, background, score, seed=cfg.explain.seed, mode=cfg.explain.shapley_mode) if kind == "shap"
                       else attribution.local_surrogate(test, ids, names, train, score, seed=cfg.explain.seed))
             part = importance.global_importance(values).withColumn("model", F.lit(f"feature_importance_{kind}_{method}"))
             out = part if out is None else out.unionByName(part)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesml.functions.columns import dot, rounded
-from seriesml.operators import attribution, discriminant, evaluate, learners, neighbours, tuning
+from seriesml.operators import attribution, discriminant, evaluate, learners, neighbours, resampling, tree_values, tuning
 from seriesml.operators.learners import CLASSIFICATION, REGRESSION
 from seriesml.plans.registry import ev, query, table
 from seriesml.session import materialise
@@ -408,7 +408,7 @@ def bootstrap_draws(spark, sf):
 
 @query("bootstrap_ols", f"""WITH d AS (SELECT o_orderkey, {_DAYS} / 100 AS x, o_totalprice / 1000 AS y FROM orders),
 u AS (SELECT d.*, draw, CAST(('0x' || md5(o_orderkey || ':' || draw || ':11')[1:8]) AS BIGINT) / 4294967296.0 AS u FROM d, range(0, 100) r(draw)),
-w AS (SELECT *, {' + '.join(f'CAST(u >= {p} AS INTEGER)' for p in learners.POISSON_ONE)} AS w FROM u),
+w AS (SELECT *, {' + '.join(f'CAST(u >= {p} AS INTEGER)' for p in resampling.POISSON_ONE)} AS w FROM u),
 m AS (SELECT draw, sum(w) AS n, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my, sum(w * x * x) AS xx, sum(w * x * y) AS xy FROM w GROUP BY draw),
 c AS (SELECT draw, (xy / n - mx * my) / (xx / n - mx * mx) AS b, mx, my FROM m)
 SELECT o_orderkey, round(avg(my + b * (x - mx)), 4) AS mean, round(stddev_pop(my + b * (x - mx)), 4) AS std FROM d, c GROUP BY o_orderkey""")
@@ -474,16 +474,31 @@ def xai_shapley_split(spark, sf):
 
 @query("xai_shapley_tree")
 def xai_shapley_tree(spark, sf):
-    names = [f"e{i}" for i in range(6)]
-    df = table(spark, sf, "embeddings").select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(n)
-                                                                    for i, n in enumerate(names)])
+    """All values of the vectors, a forest of the default size, fifty centres; nothing sampled."""
+    names = [f"e{i}" for i in range(DIMS)]
+    df = table(spark, sf, "embeddings").select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)])
     data = learners.with_vector(df, names).withColumn("label", F.col("label").cast("double"))
-    model = learners.fit(data, "rf", REGRESSION, {"n_estimators": 10, "max_depth": 5}, seed=4)
-
-    def score(rows):
-        return learners.predict(learners.with_vector(rows, names), model).drop("features")
-    background = attribution.kmeans_background(df, names, 10, seed=4)
-    return attribution.shapley_values(df, ["vec_id"], names, background, score)
+    model = learners.fit(data, "rf", REGRESSION, seed=4)
+    background = attribution.kmeans_background(df, names, seed=4)
+    return tree_values.tree_shapley_values(df, ["vec_id"], names, background, model)
+
+
+_TWO_DEEP = "CASE WHEN o_orderkey % 2 = 1 THEN 4.0 + 2.0 * (o_custkey % 2) ELSE 0.0 END"
+
+
+@query("xai_shapley_two_deep", """WITH d AS (SELECT o_orderkey, o_orderkey % 2 AS a, o_custkey % 2 AS b FROM orders),
+g AS (SELECT a, b, count(*) * 1.0 / (SELECT count(*) FROM d) AS w FROM d GROUP BY a, b),
+v AS (SELECT o_orderkey, sum(w * ((d.a - g.a) * (4 + 2 * g.b) + (d.a - g.a) * (4 + 2 * d.b)) / 2) AS a,
+  sum(w * (g.a * 2 * (d.b - g.b) + d.a * 2 * (d.b - g.b)) / 2) AS b FROM d, g GROUP BY o_orderkey)
+SELECT o_orderkey, 'a' AS feature, round(CAST(a AS DOUBLE), 6) + 0.0 AS value FROM v UNION ALL SELECT o_orderkey, 'b', round(CAST(b AS DOUBLE), 6) + 0.0 FROM v""")
+def xai_shapley_two_deep(spark, sf):
+    """A tree of depth two whose splits are known: the second feature counts only where the first one is 1."""
+    df = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 2).cast("double").alias("a"), (F.col("o_custkey") % 2).cast("double").alias("b"),
+                                           F.expr(_TWO_DEEP).cast("double").alias("label"))
+    model = learners.fit(learners.with_vector(df, ["a", "b"]), "dt", REGRESSION, seed=1)
+    groups = df.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    got = tree_values.tree_shapley_values(df, ["o_orderkey"], ["a", "b"], attribution.sampled_background(groups, ["a", "b"], "n", 4), model)
+    return got.withColumn("value", rounded("value"))
 
 
 @query("xai_lime")
