@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from seriesml.config import Config
 from seriesml.functions.columns import rounded
-from seriesml.plans import lifecycle
-from seriesml.plans.registry import ev, query
+from seriesml.operators.resampling import POISSON_ONE
+from seriesml.plans import lifecycle, saved
+from seriesml.plans.registry import ORACLES, ev, query
+from seriesml.session import scratch_path
 
 # Two inputs of three values each; the first 70 % of the rows train.
 _FIT = """WITH {ev},
@@ -59,3 +61,31 @@ def lifecycle_combined(spark, sf):
     fitted = _fitted(spark, sf)
     got = lifecycle.combined(fitted, lifecycle.explain(fitted, spark))
     return got.select("feature", rounded("importance", 5).alias("importance"))
+
+
+@query("lifecycle_saved", ORACLES["lifecycle_transform"])
+def lifecycle_saved(spark, sf):
+    """Saved, loaded and applied to rows that name the model."""
+    root = scratch_path(spark, "models")
+    saved.save_fitted(_fitted(spark, sf), spark, root, "events")
+    got = saved.predict_saved(spark, root, _rows(spark, sf).drop("y").withColumn("model_id", F.lit("events")))
+    return got.select(F.col("sample").cast("long").alias("sample"), "method", rounded("y_pred", 5).alias("y_pred"))
+
+
+# A resample weighs a training sample by a hash of its number, the draw and the seed.
+_DRAWS = f""", x AS (SELECT i, y, a, b FROM s WHERE train),
+u AS (SELECT x.*, draw, CAST(('0x' || md5(i || ':' || draw || ':0')[1:8]) AS BIGINT) / 4294967296.0 AS u FROM x, range(0, 100) r(draw)),
+w AS (SELECT *, {' + '.join(f'CAST(u >= {p} AS INTEGER)' for p in POISSON_ONE)} AS w FROM u),
+e AS (SELECT draw, sum(w) AS n, sum(w * a) / sum(w) AS ma, sum(w * b) / sum(w) AS mb, sum(w * y) / sum(w) AS my, sum(w * a * a) / sum(w) AS aa,
+  sum(w * b * b) / sum(w) AS bb, sum(w * a * b) / sum(w) AS ab, sum(w * a * y) / sum(w) AS ay, sum(w * b * y) / sum(w) AS yb FROM w GROUP BY draw),
+f AS (SELECT draw, ma, mb, my, aa - ma * ma AS aa, bb - mb * mb AS bb, ab - ma * mb AS ab, ay - ma * my AS ay, yb - mb * my AS yb FROM e),
+l AS (SELECT *, (ay * bb - yb * ab) / (aa * bb - ab * ab) AS wa, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM f),
+q AS (SELECT i, y, my + wa * (a - ma) + wb * (b - mb) AS p FROM (SELECT * FROM s WHERE NOT train) t, l)
+SELECT i - (SELECT count(*) FROM x) AS sample, round(any_value(y), 4) AS y_true, round(avg(p), 4) AS y_pred, round(stddev_pop(p), 4) AS y_unc FROM q GROUP BY i"""
+
+
+@query("lifecycle_uncertainty", _FIT + _DRAWS)
+def lifecycle_uncertainty(spark, sf):
+    """Mean and deviation of a hundred resampled fits for each test sample."""
+    got = lifecycle.uncertainty(_fitted(spark, sf))
+    return got.select(F.col("sample").cast("long").alias("sample"), *[rounded(c, 4).alias(c) for c in ("y_true", "y_pred", "y_unc")])
