@@ -36,56 +36,69 @@ def words_of(text: str) -> list[str]:
 
 
 class Pieces:
-    """Finds all pieces of a word. A character that is no piece is the row of its bytes' pieces, one edge for each byte."""
+    """Finds all pieces of many words at once by a trie whose edges are a sorted array. A character that is no piece is the row
+    of its bytes' pieces, one edge for each byte.
+    """
 
     def __init__(self, pieces: list[str]):
         self.number: dict[str, int] = {}
         for i, p in enumerate(pieces):
             self.number.setdefault(p, i)
-        self.begun = {p[:n] for p in self.number for n in range(1, len(p) + 1)}
+        nodes = {"": 0}
+        for p in self.number:
+            for n in range(1, len(p) + 1):
+                nodes.setdefault(p[:n], len(nodes))
+        keys = np.array([nodes[q[:-1]] << 21 | ord(q[-1]) for q in nodes if q] or [-1], dtype=np.int64)
+        order = np.argsort(keys)
+        self.keys, self.child = keys[order], np.array([nodes[q] for q in nodes if q] or [0], dtype=np.int64)[order]
+        self.piece = np.full(len(nodes), -1, dtype=np.int64)
+        self.piece[[nodes[p] for p in self.number]] = list(self.number.values())
         self.bytes = [self.number.get(f"<0x{b:02X}>", -1) for b in range(256)]
-        self.size = len(pieces)
 
     def lattice(self, words: list[str]) -> Lattice:
-        sources, targets, found, depths = [], [], [], []
-        node, firsts, lasts = 0, [], []
-        number, begun = self.number.get, self.begun
-        for word in words:
-            said, at = _MARK + word, node
-            places, n = list(range(at, at + len(said) + 1)), len(said)
-            at += n + 1
-            for i in range(n):
-                for j in range(i + 1, n + 1):
-                    part = said[i:j]
-                    if part not in begun:
-                        break
-                    k = number(part)
-                    if k is not None:
-                        sources.append(places[i])
-                        targets.append(places[j])
-                        found.append(k)
-                        depths.append(j)
-                if said[i] not in self.number:  # through nodes of its own between the two places
-                    spelled = said[i].encode("utf-8", "surrogatepass")
-                    inner = [places[i], *range(at, at + len(spelled) - 1), places[i + 1]]
-                    at += len(spelled) - 1
-                    sources += inner[:-1]
-                    targets += inner[1:]
-                    found += [self.bytes[b] for b in spelled]
-                    depths += [i + (x + 1) / len(spelled) for x in range(len(spelled))]
-            firsts.append(node)
-            lasts.append(places[-1])
-            node = at
-        arrays = [np.array(x, dtype=np.int64) for x in (sources, targets, found, firsts, lasts)]
-        return Lattice(*arrays, np.array(depths), node)
+        text = "".join([f"{_MARK}{w}\0" for w in words])
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        last = np.flatnonzero(codes == 0)  # the place after a word's last character
+        first = np.concatenate([[0], last[:-1] + 1]).astype(np.int64)[:len(last)]
+        word_of = np.repeat(np.arange(len(last)), last - first + 1)
+        begin = at = np.flatnonzero(codes)
+        node, whole = np.zeros(len(at), dtype=np.int64), np.zeros(len(codes), dtype=bool)
+        parts: list[tuple] = []
+        while len(at):
+            key = node << 21 | codes[at]
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            found = self.keys[place] == key
+            begin, at, node = begin[found], at[found] + 1, self.child[place[found]]
+            piece = self.piece[node]
+            hit = piece >= 0
+            if not parts:
+                whole[begin[hit]] = True
+            parts.append((begin[hit], at[hit], piece[hit]))
+        source, target, piece = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0, dtype=np.int64)] * 3
+        word = word_of[source]
+        depth = (target - first[word]).astype(float)
+        sources, targets, pieces, depths, owners, nodes = [], [], [], [], [], len(codes)
+        for i in np.flatnonzero((codes != 0) & ~whole).tolist():  # through nodes of its own between the two places
+            spelled = text[i].encode("utf-8", "surrogatepass")
+            inner = [i, *range(nodes, nodes + len(spelled) - 1), i + 1]
+            nodes += len(spelled) - 1
+            w = int(word_of[i])
+            sources += inner[:-1]
+            targets += inner[1:]
+            pieces += [self.bytes[b] for b in spelled]
+            depths += [i - int(first[w]) + (x + 1) / len(spelled) for x in range(len(spelled))]
+            owners += [w] * len(spelled)
+        more = [np.array(x, dtype=np.int64) for x in (sources, targets, pieces, owners)]
+        arrays = [np.concatenate(x) for x in zip((source, target, piece, word), more)]
+        return Lattice(*arrays, first, last, np.concatenate([depth, np.array(depths)]), nodes)
 
 
 class Lattice:
     """The pieces of many words as edges between places, in steps of equal depth."""
 
-    def __init__(self, source, target, piece, first, last, depth, nodes):
+    def __init__(self, source, target, piece, word, first, last, depth, nodes):
         order = np.lexsort((target, depth))
-        self.source, self.target, self.piece = source[order], target[order], piece[order]
+        self.source, self.target, self.piece, self.word = source[order], target[order], piece[order], word[order]
         self.first, self.last, self.nodes, depth = first, last, nodes, depth[order]
         self.cuts = [0, *(np.flatnonzero(depth[1:] != depth[:-1]) + 1).tolist(), len(depth)] if len(depth) else [0]
 
@@ -94,8 +107,9 @@ class Lattice:
         alpha = np.full((self.nodes, log_p.shape[1]), -np.inf)
         alpha[self.first] = 0.0
         for a, b in zip(self.cuts[:-1], self.cuts[1:]):
-            target, starts = np.unique(self.target[a:b], return_index=True)
-            alpha[target] = _log_sums(alpha[self.source[a:b]] + log_p[a:b], starts)
+            target = self.target[a:b]
+            starts = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]]))
+            alpha[target[starts]] = _log_sums(alpha[self.source[a:b]] + log_p[a:b], starts)
         return alpha
 
     def backward(self, log_p: np.ndarray) -> np.ndarray:
@@ -164,7 +178,7 @@ def _expected(pieces: list[str], table: np.ndarray | None, languages: int):
                 part = batch.slice(a, 20_000)
                 words, language, n = part.column(0).to_pylist(), part.column(1).to_numpy(), part.column(2).to_numpy()
                 net = finder.lattice(words)
-                word = np.searchsorted(net.first, net.source, side="right") - 1
+                word = net.word
                 weight = n[word].astype(float)
                 if table is not None:
                     log_p = _rows(table, net.piece)[np.arange(len(net.piece)), language[word]][:, None]
