@@ -8,42 +8,47 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesml.llm.common import documents
+from seriesml.llm.common import documents, slices
 from seriesml.session import materialise
 
-#: A token is a word of the vocabulary or "other", numbered below SIDE * SIDE and predicted as two digits of base SIDE.
-SIDE = 32
-VOCABULARY = SIDE * SIDE
+#: A token is a frequent word or a bucket of other words, numbered below VOCABULARY and predicted as DIGITS digits of base SIDE.
+SIDE, DIGITS = 32, 3
+VOCABULARY = SIDE ** DIGITS
+#: Words with a number of their own, the most frequent ones; all others are hashed into the buckets above, each of CELLS cells.
+FREQUENT, CELLS = VOCABULARY // 2, 128
+BUCKETS = VOCABULARY - FREQUENT
 #: Neighbours on each side, width of the network, tokens in a step.
-REACH, WIDTH, STEP = 2, 16, 8192
-#: Token numbers besides words: other words, and the place outside a document (context only).
-OTHER, OUTSIDE = 0, VOCABULARY
+REACH, WIDTH, STEP = 2, 8, 8192
+#: The place outside a document (context only).
+OUTSIDE = VOCABULARY
+#: Words whose numbers a Python worker keeps.
+KEPT_WORDS = 200_000
 
 
 @dataclass
 class Network:
-    """The contexts' embeddings by place, the hidden bias, and the two digits' outputs; the second digit sees the first."""
+    """The contexts' embeddings by place, the hidden bias, and the digits' outputs; a digit sees those before it."""
 
     embeddings: np.ndarray  # (2 * REACH, VOCABULARY + 1, WIDTH)
     bias: np.ndarray        # (WIDTH,)
-    first: np.ndarray       # (WIDTH + 1, SIDE)
-    second: np.ndarray      # (WIDTH + 1, SIDE)
-    given: np.ndarray       # (SIDE, SIDE): the first digit's part in the second's scores
+    outputs: np.ndarray     # (WIDTH + 1, DIGITS * SIDE): the digits side by side
+    given: np.ndarray       # (DIGITS - 1, SIDE, DIGITS * SIDE): the part of a digit in the scores of those after it
 
     @staticmethod
     def start(seed: int = 11) -> Network:
         rng = np.random.default_rng(seed)
         return Network(*[x.astype(np.float32) for x in (
-            rng.normal(0, 0.1, (2 * REACH, VOCABULARY + 1, WIDTH)), np.zeros(WIDTH), rng.normal(0, 0.1, (WIDTH + 1, SIDE)),
-            rng.normal(0, 0.1, (WIDTH + 1, SIDE)), np.zeros((SIDE, SIDE)))])
+            rng.normal(0, 0.1, (2 * REACH, VOCABULARY + 1, WIDTH)), np.zeros(WIDTH), rng.normal(0, 0.1, (WIDTH + 1, DIGITS * SIDE)),
+            np.zeros((DIGITS - 1, SIDE, DIGITS * SIDE)))])
 
     def parts(self) -> list[np.ndarray]:
-        return [self.embeddings, self.bias, self.first, self.second, self.given]
+        return [self.embeddings, self.bias, self.outputs, self.given]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parts()])
@@ -56,22 +61,34 @@ class Network:
         return Network(*out)
 
 
+def digits_of(ids: np.ndarray) -> np.ndarray:
+    """(DIGITS, n), the highest first."""
+    ids = ids.astype(np.int64)
+    return np.stack([ids // SIDE ** (DIGITS - 1 - d) % SIDE for d in range(DIGITS)])
+
+
 def contexts(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """(2 * REACH, n): the neighbours of each token in its own document; OUTSIDE beyond its ends. `ids` are whole documents in a row."""
-    padded = np.full(len(ids) + REACH * (len(sizes) + 1), OUTSIDE, dtype=np.int16)
+    padded = np.full(len(ids) + REACH * (len(sizes) + 1), OUTSIDE, dtype=np.uint16)
     at = np.arange(len(ids)) + REACH * (1 + np.repeat(np.arange(len(sizes)), sizes))
     padded[at] = ids
     return np.stack([padded[at + k] for k in (*range(-REACH, 0), *range(1, REACH + 1))])
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
-
-
 def _hidden(net: Network, around: np.ndarray) -> np.ndarray:
     h = np.tanh(sum(net.embeddings[k][around[k]] for k in range(2 * REACH)) + net.bias)
-    return np.hstack([h, np.ones((len(h), 1), dtype=np.float32)])
+    return np.hstack([h, np.ones((len(h), 1), dtype=h.dtype)])
+
+
+def _scores(net: Network, h: np.ndarray, digits: np.ndarray) -> np.ndarray:
+    """(n, DIGITS, SIDE) scores, within the range of exp(); what earlier digits say of later ones is added."""
+    x = h @ net.outputs
+    for d in range(DIGITS - 1):
+        x[:, (d + 1) * SIDE:] += net.given[d][:, (d + 1) * SIDE:][digits[d]]
+    x = x.reshape(len(h), DIGITS, SIDE)
+    if max(x.max(initial=0), -x.min(initial=0)) > 60:
+        x -= x.max(axis=2, keepdims=True)
+    return x
 
 
 def log_probabilities(net: Network, ids: np.ndarray, around: np.ndarray) -> np.ndarray:
@@ -79,92 +96,147 @@ def log_probabilities(net: Network, ids: np.ndarray, around: np.ndarray) -> np.n
     out = np.empty(len(ids))
     for a in range(0, len(ids), STEP):
         b = min(a + STEP, len(ids))
-        h, rows = _hidden(net, around[:, a:b]), np.arange(b - a)
-        high, low = np.divmod(ids[a:b], SIDE)
-        x = h @ net.first
-        y = h @ net.second + net.given[high]
-        x -= x.max(axis=1, keepdims=True)
-        y -= y.max(axis=1, keepdims=True)
-        out[a:b] = x[rows, high] - np.log(np.exp(x).sum(axis=1)) + y[rows, low] - np.log(np.exp(y).sum(axis=1))
+        digits = digits_of(ids[a:b])
+        x = _scores(net, _hidden(net, around[:, a:b]), digits)
+        chosen = np.take_along_axis(x, digits.T[:, :, None], axis=2)[:, :, 0]
+        out[a:b] = (chosen - np.log(np.exp(x).sum(axis=2))).sum(axis=1)
     return out
 
 
 def train(net: Network, ids: np.ndarray, around: np.ndarray, squares: list[np.ndarray], rate: float = 0.15) -> None:
-    """One pass over the tokens in place, in steps with AdaGrad; `squares` are the sums kept between calls."""
+    """One pass over the tokens in place, in steps with AdaGrad; `squares` are the sums kept between calls. Of the embeddings only
+    those of the step's tokens are touched."""
     for a in range(0, len(ids), STEP):
         b = min(a + STEP, len(ids))
-        near, n, rows = around[:, a:b], b - a, np.arange(b - a)
+        near, n = around[:, a:b], b - a
+        digits = digits_of(ids[a:b])
         h = _hidden(net, near)
-        high, low = np.divmod(ids[a:b], SIDE)
-        dx, dy = _softmax(h @ net.first), _softmax(h @ net.second + net.given[high])
-        dx[rows, high] -= 1
-        dy[rows, low] -= 1
-        dx /= np.float32(n)
-        dy /= np.float32(n)
-        dh = (dx @ net.first.T + dy @ net.second.T)[:, :-1] * (1 - h[:, :-1] ** 2)
+        x = np.exp(_scores(net, h, digits))
+        x *= (1 / (n * x.sum(axis=2, keepdims=True)))
+        rows, dx = np.arange(n), x.reshape(n, DIGITS * SIDE)
+        for d in range(DIGITS):
+            dx[rows, d * SIDE + digits[d]] -= x.dtype.type(1 / n)
+        dh = (dx @ net.outputs.T)[:, :-1] * (1 - h[:, :-1] ** 2)
         given = np.zeros_like(net.given)
-        np.add.at(given, high, dy)
-        grads = [np.stack([_summed(near[k], dh, VOCABULARY + 1) for k in range(2 * REACH)]), dh.sum(axis=0), h.T @ dx, h.T @ dy, given]
-        for p, g, s in zip(net.parts(), grads, squares):
+        for d in range(DIGITS - 1):
+            hot = np.zeros((n, SIDE), dtype=x.dtype)
+            hot[rows, digits[d]] = 1
+            given[d][:, (d + 1) * SIDE:] = hot.T @ dx[:, (d + 1) * SIDE:]
+        for p, g, s in zip(net.parts()[1:], (dh.sum(axis=0), h.T @ dx, given), squares[1:]):
             s += g * g
-            p -= rate * g / np.sqrt(s)
+            p -= rate * g / np.sqrt(s + 1e-30)
+        for k in range(2 * REACH):
+            at, g = _summed(near[k], dh)
+            s = squares[0][k][at] + g * g
+            squares[0][k][at] = s
+            net.embeddings[k][at] -= rate * g / np.sqrt(s + 1e-30)
 
 
-def _summed(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Rows summed by index."""
+def _summed(index: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The indexes that occur, and the sums of their rows."""
     order = np.argsort(index, kind="stable")
-    found, first = np.unique(index[order], return_index=True)
-    out = np.zeros((n, rows.shape[1]), dtype=np.float32)
-    out[found] = np.add.reduceat(rows[order], first, axis=0)
-    return out
+    index = index[order]
+    first = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
+    return index[first], np.add.reduceat(rows[order], first, axis=0)
 
 
 def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
+def cell_of(word: str) -> int:
+    """The cell of a word that is not frequent; its bucket is the cell divided by CELLS."""
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) % (BUCKETS * CELLS)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of words; a task sends them on whenever it holds many."""
+    """Counts of words with their cells; a task sends them on whenever it holds many."""
     counts: Counter = Counter()
 
     def sent():
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-    for batch in batches:
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(map(cell_of, counts), pa.int32()),
+                                           pa.array(list(counts.values()), pa.int64())], names=["word", "cell", "n"])
+    for batch in slices(batches, 0):
         for text in batch.column(0).to_pylist():
             counts.update(words_of(text))
-        if len(counts) > 200_000:
+        if len(counts) > 300_000:
             yield sent()
             counts = Counter()
     yield sent()
 
 
-def vocabulary(texts: DataFrame) -> tuple[dict[str, int], DataFrame]:
-    """The most frequent words of all texts, numbered from 1 by count and word, and the counts (word, n) of all words.
+@dataclass(frozen=True)
+class Vocabulary:
+    """Numbers of the frequent words, and log P(cell | bucket) of all cells."""
+
+    words: dict[str, int]
+    shares: np.ndarray
+
+
+def vocabulary(texts: DataFrame) -> Vocabulary:
+    """The most frequent words of all texts, numbered by count and word, and the shares of the cells of all others.
 
-    Only the words of the vocabulary reach the driver; the counts are a written table.
+    Words are counted in Spark; the frequent words and one number for each cell that occurs (BUCKETS * CELLS at most) reach the
+    driver.
     """
-    counts = materialise(texts.select("text").mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 1).collect()
-    return {r["word"]: i + 1 for i, r in enumerate(top)}, counts
+    counts = materialise(texts.select("text").mapInArrow(_counted, "word string, cell int, n long").groupBy("word", "cell").agg(F.sum("n").alias("n")), "words")
+    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    cells = counts.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(BUCKETS * CELLS)
+    total[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+    np.subtract.at(total, [r["cell"] for r in top], [r["n"] for r in top])
+    total = total.reshape(BUCKETS, CELLS)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        shares = np.log(total / total.sum(axis=1, keepdims=True)).astype(np.float32)
+    return Vocabulary({r["word"]: i for i, r in enumerate(top)}, shares.ravel())
 
 
-class _Ids(dict):
+class _Numbers(dict):
+    """A word to its number, or for a word that is not frequent to VOCABULARY and its cell."""
+
+    def __init__(self, words: dict[str, int]):
+        super().__init__()
+        self.words = words
+
     def __missing__(self, word: str) -> int:
-        return OTHER
+        known = self.words.get(word)
+        made = self[word] = VOCABULARY + cell_of(word) if known is None else known
+        return made
 
 
-def _numbered(texts: list[str], ids: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    parts = []  # one text at a time, so that the words of a batch are never there together
-    for text in texts:
-        words = words_of(text)
-        parts.append(np.fromiter(map(ids.__getitem__, words), dtype=np.int32, count=len(words)))
-    return np.concatenate([np.zeros(0, dtype=np.int32), *parts]), np.array([len(p) for p in parts], dtype=np.int64)
+def number(texts: DataFrame, said: Vocabulary) -> DataFrame:
+    """doc_id, n_tokens, ids (numbers in 16 bits each), within (sum of the cells' log shares), split once."""
+    kind = dict(texts.dtypes)["doc_id"]
+    sent = texts.sparkSession.sparkContext.broadcast(said)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, shares = _Numbers(sent.value.words), sent.value.shares
+        for batch in slices(batches, 1):
+            ids, sizes, within = [], [], []
+            for text in batch.column(1).to_pylist():
+                words = words_of(text)
+                found = np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words))
+                cells = found[found >= VOCABULARY] - VOCABULARY
+                within.append(float(shares[cells].sum(dtype=np.float64)))
+                found[found >= VOCABULARY] = FREQUENT + cells // CELLS
+                ids.append(found.astype("<u2").tobytes())
+                sizes.append(len(words))
+            if len(numbers) > KEPT_WORDS:
+                numbers.clear()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(within, pa.float64())],
+                                             names=["doc_id", "n_tokens", "ids", "within"])
+    return texts.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary, within double")
+
+
+def _tokens(batch: pa.RecordBatch, sizes: int, ids: int) -> tuple[np.ndarray, np.ndarray]:
+    flat = np.frombuffer(b"".join(batch.column(ids).to_pylist()), dtype="<u2")
+    return flat, batch.column(sizes).to_numpy()
 
 
 BLOCK = 1024
 
 
-def fit_network(texts: DataFrame, ids: dict[str, int], seed: int = 11) -> Network:
+def fit_network(numbered: DataFrame, seed: int = 11) -> Network:
     """Train on every token of every text: each task passes over its own part from the same start, and the parameters are
     averaged over tasks, weighted by their tokens.
 
@@ -175,59 +247,49 @@ def fit_network(texts: DataFrame, ids: dict[str, int], seed: int = 11) -> Networ
     begin = Network.start(seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Ids(ids)
         net = begin.like(begin.flat())
         squares = [np.full(p.shape, 1e-6, dtype=np.float32) for p in net.parts()]
         total = 0
-        for batch in batches:
-            flat, sizes = _numbered(batch.column(0).to_pylist(), known)
+        for batch in slices(batches, 1):
+            flat, sizes = _tokens(batch, 0, 1)
             if len(flat):
                 train(net, flat, contexts(flat, sizes), squares)
                 total += len(flat)
         if total:
             values = net.flat()
-            values = np.pad(values, (0, -len(values) % BLOCK)).reshape(-1, BLOCK)
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(values)), pa.int32()), pa.array([float(total)] * len(values)),
-                                              pa.array(list(values), pa.list_(pa.float32()))], names=["block", "tokens", "part"])
-    sent = texts.select("text").mapInArrow(run, "block int, tokens double, part array<float>")
+            values = np.pad(values, (0, -len(values) % BLOCK))
+            offsets = pa.array(np.arange(0, len(values) + 1, BLOCK, dtype=np.int32))
+            blocks = len(values) // BLOCK
+            yield pa.RecordBatch.from_arrays([pa.array(range(blocks), pa.int32()), pa.array([float(total)] * blocks),
+                                              pa.ListArray.from_arrays(offsets, pa.array(values))], names=["block", "tokens", "part"])
+    sent = numbered.select("n_tokens", "ids").mapInArrow(run, "block int, tokens double, part array<float>")
     mean = sent.select("block", "tokens", array_to_vector("part").alias("part")).groupBy("block").agg(Summarizer.mean(F.col("part"), F.col("tokens")).alias("mean"))
-    rows = mean.select("block", vector_to_array("mean", "float32").alias("mean")).orderBy("block").collect()
-    return begin.like(np.concatenate([np.asarray(r["mean"], dtype=np.float32) for r in rows])) if rows else begin
+    rows = mean.select("block", vector_to_array("mean", "float32").alias("mean")).orderBy("block").toArrow()
+    return begin.like(rows.column("mean").combine_chunks().flatten().to_numpy()) if len(rows) else begin
 
 
 def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, log_likelihood (sum of log P(token | both sides)), mean_log of every row.
+    """doc_id, n_tokens, log_likelihood (sum of log P(word | both sides)), mean_log of every row.
 
-    Vocabulary and network come from all documents. A word outside the vocabulary has the probability of "other" times its
-    own share of all tokens there; the counts stay a distributed table, joined to the words of each document. A text
-    without words has 0 tokens, a sum of 0 and a NULL mean.
+    Vocabulary and network come from all documents; texts are split once more and then read as numbers. The FREQUENT most
+    frequent words are tokens of their own; another word is the token of its bucket, predicted like any other and seen as
+    context, times the share of its cell in the bucket by the counts of all documents. Words of the same cell are one word. A
+    text without words has 0 tokens, a sum of 0 and a NULL mean; repeated rows and NULL ids are rows like any other.
     """
     df = documents(docs, id_col, text_col)
-    ids, counts = vocabulary(df)
-    net = fit_network(df, ids)
-    sc = docs.sparkSession.sparkContext
-    sent = sc.broadcast((ids, net))
+    numbered = materialise(number(df, vocabulary(df)), "numbers")
+    sent = docs.sparkSession.sparkContext.broadcast(fit_network(numbered))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, model = _Ids(sent.value[0]), sent.value[1]
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            flat, sizes = _numbered(texts, known)
-            logs = log_probabilities(model, flat, contexts(flat, sizes))
-            ends = np.cumsum(sizes)
-            sums = np.concatenate([[0.0], np.cumsum(logs)])
-            total = sums[ends] - sums[ends - sizes]
-            words = [Counter(w for w in words_of(text) if w not in known) for text in texts]
-            lists = [pa.array([list(c) for c in words], pa.list_(pa.string())), pa.array([list(c.values()) for c in words], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(total), *lists],
-                                             names=["doc_id", "n_tokens", "known", "words", "times"])
+        for batch in slices(batches, 2):
+            flat, sizes = _tokens(batch, 1, 2)
+            logs = log_probabilities(sent.value, flat, contexts(flat, sizes))
+            total = np.zeros(len(sizes))
+            full = np.flatnonzero(sizes)
+            if len(full):
+                total[full] = np.add.reduceat(logs, (np.cumsum(sizes) - sizes)[full])
+            total += batch.column(3).to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(total)], names=["doc_id", "n_tokens", "log_likelihood"])
     kind = dict(df.dtypes)["doc_id"]
-    scored = df.mapInArrow(run, f"doc_id {kind}, n_tokens long, known double, words array<string>, times array<long>")
-    scored = materialise(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
-    beyond = counts.join(F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in ids], "word string")), "word", "left_anti")
-    tokens = beyond.agg(F.sum("n")).first()[0] or 1
-    said = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("z")).select("row", F.col("z.words").alias("word"), F.col("z.times").alias("times"))
-    own = said.join(counts, "word").groupBy("row").agg(F.sum(F.col("times") * F.log(F.col("n") / F.lit(float(tokens)))).alias("own"))
-    total = F.col("known") + F.coalesce("own", F.lit(0.0))
-    both = scored.select("row", "doc_id", "n_tokens", "known").join(own, "row", "left").select("doc_id", "n_tokens", total.alias("log_likelihood"))
-    return both.withColumn("mean_log", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
+    scored = numbered.mapInArrow(run, f"doc_id {kind}, n_tokens long, log_likelihood double")
+    return scored.withColumn("mean_log", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))

@@ -297,9 +297,12 @@ def _slow_log(net, ids):
     for t, word in enumerate(ids):
         near = [ids[t + k] if 0 <= t + k < len(ids) else lm_scoring.OUTSIDE for k in (-2, -1, 1, 2)]
         h = np.append(np.tanh(sum(net.embeddings[k][w] for k, w in enumerate(near)) + net.bias), 1)
-        high, low = divmod(word, lm_scoring.SIDE)
-        x, y = h @ net.first, h @ net.second + net.given[high]
-        out.append(x[high] - np.log(np.exp(x).sum()) + y[low] - np.log(np.exp(y).sum()))
+        side, digits = lm_scoring.SIDE, [word // lm_scoring.SIDE ** 2, word // lm_scoring.SIDE % lm_scoring.SIDE, word % lm_scoring.SIDE]
+        total = 0.0
+        for d, digit in enumerate(digits):
+            x = h @ net.outputs[:, d * side:(d + 1) * side] + sum(net.given[e][digits[e], d * side:(d + 1) * side] for e in range(d))
+            total += x[digit] - np.log(np.exp(x).sum())
+        out.append(total)
     return np.array(out)
 
 
@@ -322,14 +325,39 @@ def test_pseudo_likelihood_against_loops_and_training():
     assert lm_scoring.log_probabilities(net, mixed, lm_scoring.contexts(mixed, np.array([len(mixed)]))).mean() < after - 1
 
 
-def test_words_outside_the_vocabulary_count_by_their_own_share(make):
-    common = " ".join(f"c{i}" for i in range(lm_scoring.VOCABULARY - 1))
-    rows = [(0, " ".join([common] * 6)), (1, "seldom"), (2, "seldom"), (3, "seldom"), (4, "seldom"), (5, "once"), (5, "once")]
-    rows += [(6, "single"), (7, "")]
+def test_rare_words_are_shared_out_by_their_counts(make):
+    """Words of one bucket differ in texts of one word by their counts alone."""
+    common = " ".join(f"c{i}" for i in range(lm_scoring.FREQUENT))
+    buckets = {}
+    for i in range(60_000):
+        buckets.setdefault(lm_scoring.cell_of(f"seldom{i}") // lm_scoring.CELLS, {}).setdefault(lm_scoring.cell_of(f"seldom{i}"), f"seldom{i}")
+    a, b, c = list(next(w for w in buckets.values() if len(w) >= 3).values())[:3]
+    rows = [(i, t) for i, t in enumerate([a] * 4 + [b, c, "", " ".join([common] * 6)])]
     got = {r["doc_id"]: r for r in lm_scoring.pseudo_likelihood(make(rows)).collect()}
-    assert abs(got[1]["log_likelihood"] - got[6]["log_likelihood"] - math.log(4)) < 1e-9
-    assert abs(got[5]["log_likelihood"] - got[6]["log_likelihood"] - math.log(2)) < 1e-9
-    assert (got[7]["n_tokens"], got[7]["log_likelihood"], got[7]["mean_log"]) == (0, 0.0, None)
+    assert abs(got[0]["log_likelihood"] - got[4]["log_likelihood"] - math.log(4)) < 1e-5 and abs(got[4]["log_likelihood"] - got[5]["log_likelihood"]) < 1e-5
+    assert (got[6]["n_tokens"], got[6]["log_likelihood"], got[6]["mean_log"]) == (0, 0.0, None)
+
+
+def test_every_score_word_by_word(spark, make, odd_rows):
+    """The query's numbers from its vocabulary and network, one word at a time."""
+    df = make(odd_rows[:9] + odd_rows[11:]).select("doc_id", "text")
+    from seriesml.llm.common import documents
+    texts = documents(df)
+    said = lm_scoring.vocabulary(texts)
+    net = lm_scoring.fit_network(lm_scoring.number(texts, said).coalesce(1))
+    rows = lm_scoring.number(texts, said).collect()
+    for r in rows:
+        text = next(t for i, t in odd_rows if i == r["doc_id"]) or ""
+        ids, within = [], 0.0
+        for w in text.lower().split() if r["doc_id"] is not None else []:
+            cell = lm_scoring.cell_of(w)
+            ids.append(said.words.get(w, lm_scoring.FREQUENT + cell // lm_scoring.CELLS))
+            within += 0 if w in said.words else said.shares[cell]
+        if r["doc_id"] is not None:
+            flat = np.frombuffer(r["ids"], "<u2")
+            assert flat.tolist() == ids and abs(within - r["within"]) < 1e-6
+            got = lm_scoring.log_probabilities(net, flat, lm_scoring.contexts(flat, np.array([len(flat)])))
+            assert np.allclose(got, _slow_log(net, ids), atol=1e-3)
 
 
 def test_gradients_are_those_of_the_likelihood():
