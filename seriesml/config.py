@@ -13,7 +13,7 @@ EXPLANATIONS = ("shap", "lime", "all")
 # Fields of parameter files that belong to networks not built here, fields without effect, other spellings.
 NETWORK_FIELDS = {"train": ("activation_function", "early_stopping", "ff_dim", "head_size", "kernel_size", "maxpooling", "maxpooling_size",
                             "n_flattened_layers", "n_flattened_nodes", "n_heads", "n_transformer_blocks", "patience", "unit_type")}
-IGNORED = {"train": (*NETWORK_FIELDS["train"], "dropout"), "clean": ("combine_files",), "evaluate": ("show_inputs",),
+IGNORED = {"train": (*NETWORK_FIELDS["train"], "dropout"), "evaluate": ("show_inputs",),
            "explain": ("generate_explanations",)}
 RENAMED = {"evaluate": {"dropout_uncertainty_estimation": "uncertainty_estimation"}}
 

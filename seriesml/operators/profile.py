@@ -61,16 +61,34 @@ def missing(c: str) -> Column:
     return F.col(c).isNull()
 
 
+def _row_hashes(df: DataFrame) -> DataFrame:
+    """`df` with two 64-bit hashes of its rows."""
+    return df.withColumns({"_h1": F.xxhash64(*df.columns), "_h2": F.xxhash64(F.lit(1), *df.columns)})
+
+
+def _hash_groups(df: DataFrame) -> DataFrame:
+    """(_h1, _h2, _n) of the hashes that stand in several rows: 24 bytes a row are shuffled, however wide the rows are."""
+    return _row_hashes(df).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+
+
+def _rows_of(df: DataFrame, groups: DataFrame) -> DataFrame:
+    """The distinct rows with these hashes and their numbers; whole rows are compared only here."""
+    return lookup(_row_hashes(df), groups.select("_h1", "_h2"), ["_h1", "_h2"], "left_semi").groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def overview(df: DataFrame) -> DataFrame:
-    """Variables, rows, missing cells and duplicate rows (all copies beyond the first)."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    gaps = sum((missing(c).cast("long") for c in df.columns), F.lit(0).cast("long"))
+    """Variables, rows, missing cells and duplicate rows (all copies beyond the first).
 
-    def total(c: Column) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0)).cast("long")
-    return groups.agg(F.lit(len(df.columns)).cast("long").alias("n_variables"), total(F.col("_n")).alias("n_rows"),
-                      total(F.col("_n") * gaps).alias("n_missing_cells"),
-                      total(F.col("_n") - 1).alias("n_duplicate_rows"))
+    Rows are counted by two hashes first, and whole rows only among repeated hashes, so a wide table is not shuffled.
+    """
+    gaps = sum((missing(c).cast("long") for c in df.columns), F.lit(0).cast("long"))
+    facts = df.agg(F.lit(len(df.columns)).cast("long").alias("n_variables"), F.count(F.lit(1)).alias("n_rows"),
+                   F.coalesce(F.sum(gaps), F.lit(0)).cast("long").alias("n_missing_cells"))
+    groups = materialise(_hash_groups(df), "repeated")
+    if groups.isEmpty():
+        return facts.withColumn("n_duplicate_rows", F.lit(0).cast("long"))
+    again = _rows_of(df, groups).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("n_duplicate_rows")).first()
+    return facts.withColumn("n_duplicate_rows", F.lit(again["n_duplicate_rows"]).cast("long"))
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str], approximate: bool = False) -> DataFrame:
@@ -404,9 +422,19 @@ def character_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, rows: int = DUPLICATE_ROWS) -> DataFrame:
-    """Most repeated rows."""
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n_copies")).filter(F.col("n_copies") > 1)
-    return counted.orderBy(F.desc("n_copies"), *df.columns).limit(rows)
+    """Most repeated rows.
+
+    Hashes are counted first; rows are compared whole only for the hashes that are repeated as often as the last one wanted.
+    Two rows of one hash can only make a count too high: if that leaves too few rows, all repeated hashes are looked at.
+    """
+    groups = materialise(_hash_groups(df), "repeated")
+    top = groups.orderBy(F.desc("_n")).limit(rows).agg(F.min("_n").alias("least"), F.count(F.lit(1)).alias("n")).first()
+    least = top["least"] or 2
+
+    def counted(some: DataFrame, least: int) -> DataFrame:
+        return _rows_of(df, some).filter(F.col("_n") >= least).withColumnRenamed("_n", "n_copies").orderBy(F.desc("n_copies"), *df.columns).limit(rows)
+    found = counted(groups.filter(F.col("_n") >= least), least)
+    return found if top["n"] < rows or found.count() >= rows else counted(groups, 2)
 
 
 def head_and_tail(df: DataFrame, order: Sequence[str], rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -21,6 +21,8 @@ WINDOW_ROWS = 100_000
 ACCURACY = 10_000
 SLACK = 0.0005
 PARALLEL_COLUMNS = 8
+# Items that a quantile sketch keeps at its finest level.
+SKETCH_SIZE = 800
 
 Rank = tuple[str, int]
 Range = tuple[str, float, float, int, int]
@@ -147,3 +149,28 @@ def _read_ranges(df: DataFrame, ranks: dict[Rank, Range]) -> dict[Rank, float]:
              for i, k in enumerate(keys)]
     row = run.agg(*wants).first()
     return {k: row[str(i)] for i, k in enumerate(keys)}
+
+
+def quantile_sketches(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), size: int = SKETCH_SIZE) -> DataFrame:
+    """(by, column_name, sketch): a mergeable sketch of each column, for each group of `by` (a day, a file, a series).
+
+    A sketch has a fixed size; kept as a table, groups can be merged later without reading the rows again. The ranks of its
+    quantiles are off by some 2 / size of the rows at most.
+    """
+    # Without `by` one row; columns are aggregated side by side and only sketches are turned into rows.
+    made = df.groupBy(*by).agg(*[F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(size)).alias(f"_s{i}") for i, c in enumerate(cols)])
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(f"_s{i}").alias("sketch")) for i, c in enumerate(cols)]
+    return made.select(*by, F.inline(F.array(*cells)))
+
+
+def merged_quantiles(sketches: DataFrame, shares: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """(by, column_name, n, values): quantiles of merged sketches, in the order of `shares`; NULL for a column without values."""
+    merged = sketches.groupBy(*by, "column_name").agg(F.kll_merge_agg_double("sketch").alias("_s"))
+    n = F.kll_sketch_get_n_double("_s")
+    return merged.select(*by, "column_name", n.alias("n"), F.when(n > 0, F.array(*[F.kll_sketch_get_quantile_double("_s", F.lit(float(s))) for s in shares])).alias("values"))
+
+
+def sketched_quantiles(df: DataFrame, cols: Sequence[str], shares: Sequence[float], size: int = SKETCH_SIZE) -> dict[str, list[float | None]]:
+    """Quantiles of each column from one pass, off by some 2 / size of the rows at most; NULLs are left out."""
+    found = merged_quantiles(quantile_sketches(df, cols, size=size), shares).collect()
+    return {r["column_name"]: list(r["values"]) if r["n"] else [None] * len(shares) for r in found}

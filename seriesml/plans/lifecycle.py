@@ -21,6 +21,7 @@ from seriesml.operators.ordering import SeriesLayout, series_layout
 from seriesml.operators.split import seeded_key
 from seriesml.session import materialise
 from seriesml.sources.sinks import FeatureCatalogue
+from seriesml.sources.sinks import write_cleaned as write_cleaned_rows
 
 
 class Predictor(Protocol):
@@ -127,6 +128,18 @@ def _engineered(df: DataFrame, layout: SeriesLayout, config: Config, targets: Se
     return made.drop(*(fz.remove_features or []))
 
 
+def write_cleaned(df: DataFrame, config: Config, series: Sequence[str], path: str, order: Sequence[str] = ()) -> FeatureCatalogue:
+    """Write the cleaned rows, combined or by series as the configuration says; what was removed comes back."""
+    cl = config.clean
+    keys = list(dict.fromkeys([*series, *order]))
+    table = nan_to_null(df)
+    removed = [c for c in clean.removable_columns(table.drop(*[k for k in keys if k != cl.target]), cl.target, cl.percentage_zeros_threshold,
+                                                  cl.input_max_correlation_threshold, cl.correlation_metric) if c not in keys]
+    kept = clean.drop_missing(clean.drop_columns(table, removed))
+    write_cleaned_rows(kept, path, cl, series)
+    return FeatureCatalogue((cl.target,), tuple(c for c in kept.columns if c not in keys and c != cl.target), tuple(removed))
+
+
 def _prepare(df: DataFrame, config: Config, series: Sequence[str], order: Sequence[str]):
     """Cleaned and engineered rows with the target first, and what cleaning and encoding decided."""
     cl = config.clean

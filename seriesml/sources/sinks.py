@@ -9,8 +9,12 @@ from dataclasses import asdict, dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from seriesml.config import Clean
 from seriesml.operators.scale import Scaler
 
+# Files of a bucket are sorted as the table says; holds for tables whose buckets have one file each.
+SORTED_BUCKETS = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+
 
 @dataclass(frozen=True)
 class FeatureCatalogue:
@@ -29,6 +33,27 @@ def write_table(df: DataFrame, path: str, series: Sequence[str] | None = None, m
     writer.parquet(path)
 
 
+def write_series(df: DataFrame, table: str, series: Sequence[str], order: Sequence[str], buckets: int) -> None:
+    """A table in the warehouse whose buckets hold whole series in order, one file each.
+
+    Rolling features, splits and samples of it need no shuffle, and, with `SORTED_BUCKETS` set, no sort. A series of many rows
+    makes its bucket large: choose buckets for series that fit a task.
+    """
+    laid = df.repartition(buckets, *series).sortWithinPartitions(*series, *order)
+    laid.write.mode("overwrite").bucketBy(buckets, *series).sortBy(*series, *order).format("parquet").saveAsTable(table)
+
+
+def read_series(spark: SparkSession, table: str) -> DataFrame:
+    """A table of `write_series`; from now on the session takes the order of bucket files as given."""
+    spark.conf.set(SORTED_BUCKETS, "true")
+    return spark.table(table)
+
+
+def write_cleaned(df: DataFrame, path: str, clean: Clean, series: Sequence[str]) -> None:
+    """The cleaned rows as one combined table, or one folder per series when the configuration does not combine files."""
+    write_table(df, path, None if clean.combine_files else series)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """Predictions, metrics and reports as JSON lines."""
     df.write.mode("overwrite").json(path)

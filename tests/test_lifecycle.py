@@ -104,7 +104,7 @@ def test_the_shipped_parameter_file_is_accepted():
     made = Config.from_mapping(given)
     assert made.evaluate.uncertainty_estimation and made.train.n_neurons == [16, 16]
     assert set(made.unused) == {"train.activation_function", "train.n_heads", "train.unit_type", "train.patience", "train.dropout",
-                                "evaluate.show_inputs", "clean.combine_files", "explain.generate_explanations"}
+                                "evaluate.show_inputs", "explain.generate_explanations"}
     with pytest.raises(ValueError, match="unknown"):
         Config.from_mapping({"train": {"heads": 4}})
 
