@@ -1,16 +1,16 @@
 """Row order as data: dense positions, trailing and leading windows, and carried values per series.
 
 A series normally fits one task, and a plain window over it is the best plan. A series with more rows than
-`rows_per_task` is cut by value ranges of its first order column, so no task ever holds more than a slice of it.
-The first order column therefore has to spread the rows (a timestamp or sequence number); later order columns
-only break ties. The order must be total within a series.
+`rows_per_task` is cut by value ranges of its first order column where that spreads the rows (a timestamp or sequence
+number), and by ranges of the whole order tuple where it does not: text, steps below a second, many rows with one and the
+same first value. So no task holds more than a slice of a series. The order must be total within a series.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -34,13 +34,16 @@ class SeriesLayout:
     order: tuple[str, ...]
     rows_per_task: int
     splits: tuple[float, ...] = ()
+    # Order tuples as text, and the types of the order columns: the slices where the first column alone does not cut.
+    bounds: tuple[tuple[str | None, ...], ...] = ()
+    kinds: tuple[str, ...] = ()
     hot_ids: tuple | None = None
     hot_table: DataFrame | None = None
     hot_rows: int = 0
 
     @property
     def sliced(self) -> bool:
-        return bool(self.splits)
+        return bool(self.splits or self.bounds)
 
 
 def position_value(df: DataFrame, name: str) -> Column:
@@ -69,7 +72,7 @@ def series_layout(
         total = df.count()
         if total <= limit:
             return SeriesLayout(series, order, limit)
-        return SeriesLayout(series, order, limit, _splits(df, order[0], total, limit))
+        return _cut(df, SeriesLayout(series, order, limit), total)
     counts = df.groupBy(*series).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.filter(F.col("_n") > limit)
     sizes = hot.agg(F.count(F.lit(1)).alias("n"), F.sum("_n").alias("rows")).first()
@@ -81,9 +84,32 @@ def series_layout(
         layout = SeriesLayout(series, order, limit, hot_ids=ids)
     else:
         layout = SeriesLayout(series, order, limit, hot_table=hot, hot_rows=sizes["n"])
-    hot_rows = _mark_hot(df, layout).filter("_hot")
-    return SeriesLayout(series, order, limit, _splits(hot_rows, order[0], sizes["rows"], limit),
-                        layout.hot_ids, layout.hot_table, layout.hot_rows)
+    return _cut(_mark_hot(df, layout).filter("_hot"), layout, sizes["rows"])
+
+
+# Slices of an order tuple at most, and sampled rows for each.
+MAX_BOUNDS, ROWS_PER_BOUND = 4096, 50
+
+
+def _cut(rows: DataFrame, layout: SeriesLayout, total: int) -> SeriesLayout:
+    """The layout with its slices: by the first order column if no slice is then above twice the limit, else by the whole order."""
+    limit, name = layout.rows_per_task, layout.order[0]
+    if isinstance(rows.schema[name].dataType, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType)):
+        by_value = replace(layout, splits=_splits(rows, name, total, limit))
+        if len(layout.order) == 1 and not isinstance(rows.schema[name].dataType, T.TimestampNTZType):
+            return by_value  # distinct values spread
+        cut = _bucketed(rows, by_value).groupBy(*layout.series, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+        if cut.agg(F.max("_n")).first()[0] <= 2 * limit:
+            return by_value
+    return replace(layout, bounds=_bounds(rows, layout.order, total, limit), kinds=tuple(dict(rows.dtypes)[c] for c in layout.order))
+
+
+def _bounds(rows: DataFrame, order: Sequence[str], total: int, limit: int) -> tuple[tuple[str | None, ...], ...]:
+    """Order tuples that cut the rows evenly, from a sorted sample; as text, which gives back every value exactly."""
+    parts = min(MAX_BOUNDS, max(2, math.ceil(total / limit) * 2))
+    sample = rows.select(*order).sample(min(1.0, parts * ROWS_PER_BOUND / total), 7) if total > parts * ROWS_PER_BOUND else rows.select(*order)
+    found = [tuple(r) for r in sample.orderBy(*order).select(*[F.col(c).cast("string") for c in order]).collect()]
+    return tuple(dict.fromkeys(found[len(found) * i // parts] for i in range(1, parts))) if found else ((None,) * len(order),)
 
 
 def _splits(df: DataFrame, name: str, rows: int, limit: int) -> tuple[float, ...]:
@@ -126,14 +152,35 @@ def _mark_hot(df: DataFrame, layout: SeriesLayout) -> DataFrame:
     return marked.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
 
 
+def _bucketed(df: DataFrame, layout: SeriesLayout) -> DataFrame:
+    """Add `_slice`: the value range of each row."""
+    if layout.bounds:
+        return df.withColumn("_slice", _tuple_range(layout))
+    cutter = Bucketizer(splits=[-math.inf, *layout.splits, math.inf], inputCol="_pos", outputCol="_slice", handleInvalid="keep")
+    return cutter.transform(df.withColumn("_pos", position_value(df, layout.order[0]))).withColumn("_slice", F.col("_slice").cast("long")).drop("_pos")
+
+
+def _tuple_range(layout: SeriesLayout) -> Column:
+    """How many bounds are at or before a row's order; many bounds are searched in two steps."""
+    row = F.struct(*[F.col(c) for c in layout.order])
+
+    def literal(bound) -> Column:
+        return F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(bound, layout.kinds, layout.order)])
+
+    def before(bounds: Column) -> Column:
+        return F.size(F.filter(bounds, lambda b: b <= row)).cast("long")
+    width = math.isqrt(len(layout.bounds)) if len(layout.bounds) > 64 else len(layout.bounds)
+    groups = [F.array(*map(literal, layout.bounds[a:a + width])) for a in range(0, len(layout.bounds), width)]
+    if len(groups) == 1:
+        return before(groups[0])
+    first = before(F.array(*[literal(layout.bounds[a]) for a in range(0, len(layout.bounds), width)]))
+    within = before(F.get(F.array(*groups), (first - 1).cast("int")))
+    return F.when(first == 0, first).otherwise((first - 1) * width + within)
+
+
 def _sliced(df: DataFrame, layout: SeriesLayout) -> DataFrame:
-    """Add `_slice`: the value range of a row of a long series, 0 for all others."""
-    marked = _mark_hot(df, layout).withColumn("_pos", position_value(df, layout.order[0]))
-    cutter = Bucketizer(splits=[-math.inf, *layout.splits, math.inf], inputCol="_pos", outputCol="_slice",
-                        handleInvalid="keep")
-    return (cutter.transform(marked)
-            .withColumn("_slice", F.when(F.col("_hot"), F.col("_slice").cast("long")).otherwise(F.lit(0)))
-            .drop("_hot", "_pos"))
+    """Add `_slice`: the range of a row of a long series, 0 for all others."""
+    return _bucketed(_mark_hot(df, layout), layout).withColumn("_slice", F.when(F.col("_hot"), F.col("_slice")).otherwise(F.lit(0))).drop("_hot")
 
 
 def dense_index(df: DataFrame, layout: SeriesLayout, out: str = "_i", total: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from seriesml.operators import clean, features, peaks, profile, sequence, split
+from seriesml.operators import clean, features, ordering, peaks, profile, sequence, split
 from seriesml.operators.ordering import carry_forward, dense_index, neighbours, series_layout, series_stats
 from seriesml.operators.quantiles import exact_quantiles
 
@@ -135,3 +135,38 @@ def test_quantiles(spark, values):
         got = exact_quantiles(df, ["x", "y"], shares, direct, window)
         assert np.allclose(got["x"], np.quantile(x, shares), rtol=1e-12, atol=1e-12)
         assert np.allclose(got["y"], np.quantile(-x, shares), rtol=1e-12, atol=1e-12)
+
+
+ORDERS = {
+    "text": ("concat('k', lpad(cast(t as string), 6, '0'), 'é')", "s"),
+    "milliseconds": ("timestampadd(MILLISECOND, t, timestamp_ntz'2024-02-29 23:59:59.5')", "t % 5"),
+    "one_first_value": ("cast(7 as int)", "t"),
+    "two_first_values": ("cast(if(t % 5 = 0, null, 3) as double)", "concat('x', lpad(cast(t as string), 6, '0'))"),
+    "decimal_then_date": ("cast(t div 300 as decimal(20,2)) / 7", "date_add(date'2020-01-01', cast(t as int))"),
+}
+
+
+@pytest.mark.parametrize("name", ORDERS)
+@pytest.mark.parametrize("series", [("s",), ()])
+def test_slices_by_the_whole_order(skewed, name, series):
+    first, second = ORDERS[name]
+    df = skewed.selectExpr("s", "t", "v", f"{first} AS o1", f"{second} AS o2", "s AS o3")
+    plain, cut = layouts(df, ("o1", "o2", "o3"), series)
+    assert cut.bounds
+    sliced = ordering._sliced(df, cut).groupBy(*series, "_slice").count()
+    assert sliced.agg(F.max("count")).first()[0] <= 2 * LIMIT
+    same(dense_index(df, plain, "i", "n"), dense_index(df, cut, "i", "n"))
+    lengths = {"sum": 5, "mean": 5, "max_min": 4, "standard_deviation": 6}
+    same(features.engineer(df, plain, {"mean": ["v"], "gradient": ["v"]}, lengths), features.engineer(df, cut, {"mean": ["v"], "gradient": ["v"]}, lengths))
+    same(split.split_rows(df, plain, 0.6), split.split_rows(df, cut, 0.6))
+
+
+def test_many_bounds_in_two_steps(spark):
+    df = spark.range(6000).selectExpr("concat('a', lpad(cast(id as string), 5, '0')) AS o")
+    plain, cut = series_layout(df, (), ("o",)), series_layout(df, (), ("o",), 60)
+    assert len(cut.bounds) > 64 and cut.bounds == tuple(sorted(cut.bounds))
+    at = ordering._sliced(df, cut)
+    import bisect
+    keys = [b[0] for b in cut.bounds]
+    assert all(r["_slice"] == bisect.bisect_right(keys, r["o"]) for r in at.collect())
+    same(dense_index(df, plain, "i"), dense_index(df, cut, "i"))
