@@ -54,24 +54,22 @@ def fits(draws: int, features: int) -> bool:
     return draws * (features + 2) ** 2 <= MAX_CELLS
 
 
-def bootstrap_linear(train: DataFrame, ids: Sequence[str], draws: int, seed: int = 0, alpha: float = 0.0) -> LinearDraws:
-    """Least squares with a free intercept, or ridge with the penalty `alpha` on the sum of squares, for every draw.
-
-    `train` has the ids, the vector column `features` and `label`. One scan; tasks send draws times (features + 2) squared
-    numbers, summed by Spark. Sums are taken around the first row for accuracy. Of equally good coefficients the smallest are taken.
+def cross_products(train: DataFrame, weights: Column, groups: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """(groups, features + 2, features + 2) weighted sums of the products of 1, the features and the label, less the first row's
+    features and label, which come with them. `weights` is an array with a weight for each group. One scan; tasks send their
+    sums, and Spark adds them up.
     """
     first = train.select("features", "label").first()
     if first is None:
         raise ValueError("no training rows")
     centre, middle = np.asarray(first["features"].toArray()), float(first["label"])
     p = len(centre) + 2
-    if not fits(draws, len(centre)):
-        raise ValueError(f"{draws} draws of {len(centre)} features have more than {MAX_CELLS} sums")
-    counts = F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), lambda d: times(ids, d, seed))
-    rows = train.select(vector_to_array("features").alias("x"), F.col("label").cast("double").alias("y"), counts.alias("times"))
+    if not fits(groups, len(centre)):
+        raise ValueError(f"{groups} groups of {len(centre)} features have more than {MAX_CELLS} sums")
+    rows = train.select(vector_to_array("features").alias("x"), F.col("label").cast("double").alias("y"), weights.alias("w"))
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((draws, p * p))
+        total = np.zeros((groups, p * p))
         step = max(1, 4_000_000 // (p * p))
         for whole in batches:
             for a in range(0, whole.num_rows, step):
@@ -80,24 +78,41 @@ def bootstrap_linear(train: DataFrame, ids: Sequence[str], draws: int, seed: int
                 z[:, 0] = 1.0
                 z[:, 1:-1] = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) - centre
                 z[:, -1] = batch.column(1).to_numpy(zero_copy_only=False) - middle
-                w = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, draws)
+                w = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, groups)
                 total += w.T.astype(float) @ (z[:, :, None] * z[:, None, :]).reshape(batch.num_rows, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(range(draws), pa.int32()), pa.array(list(total), pa.list_(pa.float64()))], names=["draw", "cells"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(groups), pa.int32()), pa.array(list(total), pa.list_(pa.float64()))], names=["group", "cells"])
+
+    parts = rows.mapInArrow(sums, "group int, cells array<double>").select("group", F.posexplode("cells").alias("at", "v"))
+    got = parts.groupBy("group", "at").agg(F.sum("v").alias("v")).toPandas()
+    table = np.zeros((groups, p * p))
+    table[got["group"], got["at"]] = got["v"]
+    return table.reshape(groups, p, p), centre, middle
+
+
+def solve(cells: np.ndarray, alpha: float) -> tuple[np.ndarray, float]:
+    """Coefficients and intercept of one group's sums; of equally good coefficients the smallest."""
+    n = cells[0, 0]
+    mean = cells[0, 1:] / n
+    spread = cells[1:, 1:] - n * np.outer(mean, mean)
+    b = np.linalg.lstsq(spread[:-1, :-1] + alpha * np.eye(len(mean) - 1), spread[:-1, -1], rcond=1e-12)[0]
+    return b, float(mean[-1] - b @ mean[:-1])
 
-    parts = rows.mapInArrow(sums, "draw int, cells array<double>").select("draw", F.posexplode("cells").alias("at", "v"))
-    got = parts.groupBy("draw", "at").agg(F.sum("v").alias("v")).toPandas()
-    table = np.zeros((draws, p * p))
-    table[got["draw"], got["at"]] = got["v"]
+
+def bootstrap_linear(train: DataFrame, ids: Sequence[str], draws: int, seed: int = 0, alpha: float = 0.0) -> LinearDraws:
+    """Least squares with a free intercept, or ridge with the penalty `alpha` on the sum of squares, for every draw.
+
+    `train` has the ids, the vector column `features` and `label`. One scan; tasks send draws times (features + 2) squared
+    numbers, summed by Spark. Sums are taken around the first row for accuracy. Of equally good coefficients the smallest are taken.
+    """
+    counts = F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), lambda d: times(ids, d, seed))
+    table, centre, middle = cross_products(train, counts, draws)
+    p = len(centre) + 2
     known, coefficients, intercepts = [], [], []
-    for d, cells in enumerate(table.reshape(draws, p, p)):
-        n = cells[0, 0]
-        if not n:
+    for d, cells in enumerate(table):
+        if not cells[0, 0]:
             continue
-        mean = cells[0, 1:] / n
-        spread = cells[1:, 1:] - n * np.outer(mean, mean)
-        system = spread[:-1, :-1] + alpha * np.eye(p - 2)
-        b = np.linalg.lstsq(system, spread[:-1, -1], rcond=1e-12)[0]
+        b, at = solve(cells, alpha)
         known.append(d)
         coefficients.append(b)
-        intercepts.append(middle + mean[-1] - b @ (centre + mean[:-1]))
+        intercepts.append(middle + at - b @ centre)
     return LinearDraws(tuple(known), np.array(coefficients).reshape(len(known), p - 2), np.array(intercepts))

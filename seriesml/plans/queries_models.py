@@ -36,12 +36,12 @@ def _fitted(spark, sf, method, params=None, task=CLASSIFICATION):
 
 @query("train_dt")
 def train_dt(spark, sf):
-    return _fitted(spark, sf, "dt", {"max_depth": 6})
+    return _fitted(spark, sf, "dt")
 
 
 @query("train_rf")
 def train_rf(spark, sf):
-    return _fitted(spark, sf, "rf", {"max_depth": 6})
+    return _fitted(spark, sf, "rf")
 
 
 @query("train_gbt")
@@ -389,13 +389,29 @@ def tune_random_search(spark, sf):
 
 @query("tune_neighbours")
 def tune_neighbours(spark, sf):
-    return tuning.search_neighbours(table(spark, sf, "embeddings"), "vec_id", "embedding", "label", CLASSIFICATION,
-                                    {"n_neighbors": (2, 5, 10), "weights": ("uniform", "distance")}, folds=3)
+    return tuning.search_neighbours(table(spark, sf, "embeddings"), "vec_id", "embedding", "label", CLASSIFICATION)
+
+
+PENALTIES = (0.01, 0.1, 1.0, 10.0, 100.0, 1e3, 1e4, 1e5, 1e6, 1e7)
+
+
+@query("tune_ridge", f"""WITH d AS (SELECT o_orderkey, {_DAYS} / 100 AS x, o_totalprice / 1000 AS y, CAST(('0x' || md5(o_orderkey || ':fold3')[1:8]) AS BIGINT) % 5 AS fold FROM orders),
+f AS (SELECT DISTINCT fold FROM d), a AS (SELECT unnest([{', '.join(map(str, PENALTIES))}]::DOUBLE[]) AS alpha),
+t AS (SELECT f.fold, count(*) AS n, avg(x) AS mx, avg(y) AS my, var_pop(x) * count(*) AS xx, covar_pop(x, y) * count(*) AS xy FROM f JOIN d ON d.fold <> f.fold GROUP BY f.fold),
+m AS (SELECT alpha, fold, xy / (xx + alpha) AS b, my - xy / (xx + alpha) * mx AS c FROM t, a),
+s AS (SELECT alpha, m.fold, 1 - sum((y - c - b * x) ** 2) / (var_pop(y) * count(*)) AS r2 FROM m JOIN d USING (fold) GROUP BY alpha, m.fold)
+SELECT alpha, round(avg(r2), 6) + 0.0 AS score FROM s GROUP BY alpha""")
+def tune_ridge(spark, sf):
+    """Ten penalties over five hashed folds from one pass."""
+    df = table(spark, sf, "orders")
+    days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date")).cast("double")
+    data = learners.with_vector(df.select("o_orderkey", (days / 100).alias("x"), (F.col("o_totalprice") / 1000).alias("label")), "x")
+    return tuning.search_ridge(data, ["o_orderkey"], PENALTIES, folds=5, seed=3).select("alpha", rounded("score").alias("score"))
 
 
 @query("tree_importances")
 def tree_importances(spark, sf):
-    model = learners.fit(_vectors(spark, sf), "rf", CLASSIFICATION, {"max_depth": 5}, seed=1)
+    model = learners.fit(_vectors(spark, sf), "rf", CLASSIFICATION, seed=1)
     return learners.tree_importances(model, [f"e{i}" for i in range(DIMS)], spark)
 
 

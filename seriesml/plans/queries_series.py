@@ -476,11 +476,11 @@ def encode_onehot(spark, sf):
     return encode.one_hot(df, encode.fit_labels(df, "event_type"))
 
 
-@query("decode_argmax", """WITH d AS (SELECT vec_id, embedding[1:8] AS a FROM embeddings)
+@query("decode_argmax", """WITH d AS (SELECT vec_id, embedding AS a FROM embeddings)
 SELECT vec_id, CAST(list_position(a, list_max(a)) - 1 AS INTEGER) AS cls, CASE WHEN a[1] > 0.5 THEN 1 ELSE 0 END AS binary_cls FROM d""")
 def decode_argmax(spark, sf):
-    df = table(spark, sf, "embeddings").select("vec_id", F.slice("embedding", 1, 8).alias("a"))
-    return df.select("vec_id", encode.decode("a", 8).alias("cls"), encode.decode(F.col("a")[0], 2).alias("binary_cls"))
+    df = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("a"))
+    return df.select("vec_id", encode.decode("a", 64).alias("cls"), encode.decode(F.col("a")[0], 2).alias("binary_cls"))
 
 
 @query("distinct_values", "SELECT DISTINCT o_orderpriority FROM orders")

@@ -93,3 +93,20 @@ def test_draws_of_degenerate_tables(spark, table):
     assert 0 < len(few.draws) < 40 and np.allclose(few.coefficients, 0)
     with pytest.raises(ValueError, match="no training rows"):
         resampling.bootstrap_linear(table.limit(0), ["id"], 5)
+
+
+def test_ridge_search_agrees_with_refits(spark, table):
+    from seriesml.operators import tuning
+    got = {r["alpha"]: r["score"] for r in tuning.search_ridge(table, ["id"], [0.0, 2.0, 500.0], 3).collect()}
+    import hashlib
+    fold = {i: int(hashlib.md5(f"{i}:fold0".encode()).hexdigest()[:8], 16) % 3 for i in range(150)}
+    rows = [(r["id"], np.append(r["features"].toArray(), 1.0), r["label"]) for r in table.collect()]
+    for alpha, score in got.items():
+        want = []
+        for f in range(3):
+            x, y = (np.array([r[k] for r in rows if fold[r[0]] != f]) for k in (1, 2))
+            vx, vy = (np.array([r[k] for r in rows if fold[r[0]] == f]) for k in (1, 2))
+            b = np.linalg.solve(x.T @ x + alpha * np.diag([1.0] * 6 + [0.0]), x.T @ y)
+            want.append(1 - ((vy - vx @ b) ** 2).sum() / ((vy - vy.mean()) ** 2).sum())
+        assert abs(score - np.mean(want)) < 1e-9
+    assert tuning.search_ridge(table.limit(1), ["id"], [1.0], 3).first()["score"] is None
