@@ -131,7 +131,7 @@ def search_ridge(train: DataFrame, ids: Sequence[str], penalties: Sequence[float
             b, at = resampling.solve(others, alpha)
             v = np.concatenate([[-at], -b, [1.0]])  # the error of a row is this combination of 1, features and label
             spread = own[-1, -1] - own[0, -1] ** 2 / own[0, 0]
-            scores.append(1 - float(v @ own @ v) / spread if spread > 0 else None)
+            scores.append(1 - float(v @ own @ v) / float(spread) if spread > 0 else None)
         known = [x for x in scores if x is not None]
         rows.append((float(alpha), sum(known) / len(known) if known else None))
     return train.sparkSession.createDataFrame(rows, "alpha double, score double").orderBy(F.desc("score"), "alpha")

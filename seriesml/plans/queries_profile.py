@@ -80,7 +80,7 @@ def profile_quantiles_narrowed(spark, sf):
 
 
 @query("profile_quantile_sketches", _union(
-    f"SELECT '{c}' AS column_name, {q} AS share, count(*) AS n, true AS within FROM lineitem" for c in MEASURES for q in profile.QUANTILES))
+    f"SELECT '{c}' AS column_name, CAST({q} AS DOUBLE) AS share, count(*) AS n, true AS within FROM lineitem" for c in MEASURES for q in profile.QUANTILES))
 def profile_quantile_sketches(spark, sf):
     """Sketches of every ship month, stored and merged; each quantile's rank, counted exactly, is within half a percent of its share."""
     df = table(spark, sf, "lineitem")
