@@ -6,6 +6,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from seriesml.llm import decontaminate, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, secret_scan, token_files, toxicity
+from seriesml.llm.catalogue import QUERIES
 from seriesml.session import scratch_path
 
 
@@ -101,3 +102,11 @@ def test_stages_keep_columns(spark, make, odd_rows, tmp_path, name, stage):
         assert got.schema.names == docs.schema.names and got.dtypes == docs.dtypes
         n = got.count()
         assert n == len(rows) - (2 if name == "near_dedup" and rows else 0)
+
+
+def test_rows_without_an_id_are_not_held_out(spark, make, tmp_path):
+    make([(1, "a b"), (None, "c"), (10, None)]).write.parquet(f"{tmp_path}/documents.parquet")
+    labelled(spark, [(1, 1, "")]).write.parquet(f"{tmp_path}/labels.parquet")
+    for name in ("op10_toxicity", "op11_language_id"):
+        got = {r["doc_id"]: r["held_out"] for r in QUERIES[name](spark, str(tmp_path)).collect()}
+        assert got[None] is False and all(isinstance(x, bool) for x in got.values())
