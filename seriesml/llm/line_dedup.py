@@ -49,20 +49,19 @@ def _within_one_edit(a: str, b: str) -> F.Column:
     return common(F.col(a), F.col(b)) + common(F.reverse(a), F.reverse(b)) >= F.greatest(n, m) - 1
 
 
-def near_lines(docs: DataFrame, lines: DataFrame, min_chars: int, min_words: int) -> DataFrame:
+def near_lines(docs: DataFrame, distinct_lines: DataFrame, min_chars: int, min_words: int) -> DataFrame:
     """h1, h2 of the distinct lines that are one edit away from an earlier line.
 
-    Lines which share no half with another one cannot be within the bound and emit no variants. The others emit, for each
+    `distinct_lines` (written already) has h1, h2, first (doc_id, pos, key of the earliest) and halves of each line. Lines which
+    share no half with another one cannot be within the bound and emit no variants. The others emit, for each
     word, the line without it as a hash: equal hashes at the same place of equally long lines are a changed word, and a hash
-    equal to a whole line is an added word. Only the earliest line of each hash is met, so a group gives as many rows as it
-    has lines. What meets is compared word by word.
+    equal to a whole line is an added word. Hashes are counted alone first, and lines meet only where one repeats. Only the
+    earliest line of each hash is met, so a group gives as many rows as it has lines. What meets is compared word by word.
     """
-    eligible = lines.filter(F.size("halves") > 0)
-    halves = eligible.select("h1", "h2", F.explode("halves").alias("half"))
-    shared = materialise(halves.groupBy("half").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).filter("lo <> hi").select("half"), "halves")
+    halves = distinct_lines.filter(F.size("halves") > 0).select("h1", "h2", F.explode("halves").alias("half"))
+    shared = materialise(halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half"), "halves")
     some = joined(halves, shared, ["half"], "left_semi").select("h1", "h2").distinct()
-    first = eligible.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos", "key")).alias("at"))
-    chosen = materialise(first.join(some, ["h1", "h2"], "left_semi").select("h1", "h2", F.col("at.*")), "near-lines")
+    chosen = materialise(distinct_lines.join(some, ["h1", "h2"], "left_semi").select("h1", "h2", F.col("first.*")), "near-lines")
     rows = _lines(docs, min_chars).select("key", "pos", "words")
     texts = joined(rows, chosen, ["key", "pos"], "inner").dropDuplicates(["h1", "h2"])
     texts = materialise(texts.select("h1", "h2", F.struct("doc_id", "pos", "key", "h1", "h2").alias("at"), "words"), "near-texts")
@@ -76,14 +75,19 @@ def near_lines(docs: DataFrame, lines: DataFrame, min_chars: int, min_words: int
     variants = each.select("h1", "h2", "at", "n", "i", variant.alias("variant"), F.when(F.col("i") == F.col("n") - 1, F.col("front")).alias("whole"))
     variants = materialise(variants, "variants")
 
-    changed = variants.groupBy("variant", "i", "n").agg(F.min("at").alias("earliest"), F.max("at").alias("latest"))
-    changed = changed.filter(F.col("earliest") < F.col("latest")).drop("latest")
-    pairs = variants.join(changed, ["variant", "i", "n"]).select("at", "earliest")
+    def repeated(rows, keys, counts, wanted):
+        """The rows whose `keys` pass `wanted` by their counts; only keys and counts are shuffled, and rows when keys are many."""
+        groups = materialise(rows.groupBy(*keys).agg(*counts).filter(wanted).select(*keys), "repeated-variants")
+        return materialise(joined(rows, groups, keys, "left_semi"), "met-variants")
+
+    same = repeated(variants.select("variant", "i", "n", "at"), ["variant", "i", "n"], [F.count("*").alias("several")], "several > 1")
+    changed = same.groupBy("variant", "i", "n").agg(F.min("at").alias("earliest"))
+    pairs = same.join(changed, ["variant", "i", "n"]).select("at", "earliest")
     shorter = variants.select("variant", "at", F.lit(False).alias("is_whole")).unionByName(
         variants.filter(F.col("whole").isNotNull()).select(F.col("whole").alias("variant"), "at", F.lit(True).alias("is_whole")))
+    shorter = repeated(shorter, ["variant"], [F.max("is_whole").alias("any_whole"), F.min("is_whole").alias("all_whole")], "any_whole AND NOT all_whole")
     met = shorter.groupBy("variant").agg(F.min(F.when(F.col("is_whole"), F.col("at"))).alias("first_whole"),
                                          F.min(F.when(~F.col("is_whole"), F.col("at"))).alias("first_cut"))
-    met = met.filter(F.col("first_whole").isNotNull() & F.col("first_cut").isNotNull())
     other = F.when(F.col("is_whole"), F.col("first_cut")).otherwise(F.col("first_whole"))
     pairs = pairs.unionByName(shorter.join(met, "variant").select("at", other.alias("earliest")))
     pairs = pairs.filter(F.col("earliest") < F.col("at")).select(
@@ -109,13 +113,14 @@ def repeated_lines(docs: DataFrame, edits: int = 1, min_chars: int = MIN_CHARS,
     enough = F.size("words") >= min_words if edits else F.lit(False)
     lines = _hashed(_lines(df, min_chars)).select("key", "doc_id", "pos", "h1", "h2", F.when(enough, _halves()).otherwise(empty).alias("halves"))
     lines = materialise(lines, "lines")
-    first = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos", "key")).alias("first"), F.count("*").alias("n"))
+    first = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "pos", "key")).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves"))
+    first = materialise(first, "distinct-lines")  # lines of the same words have the same halves
     if edits:
-        near = near_lines(df, lines, min_chars, min_words).withColumn("near", F.lit(True))
+        near = near_lines(df, first, min_chars, min_words).withColumn("near", F.lit(True))
         first = first.join(near, ["h1", "h2"], "left").withColumn("near", F.coalesce("near", F.lit(False)))
     else:
         first = first.withColumn("near", F.lit(False))
-    several = materialise(first.filter("n > 1 OR near").drop("n"), "repeated")
+    several = materialise(first.filter("n > 1 OR near").drop("n", "halves"), "repeated")
     here = F.struct("doc_id", "pos", "key")
     gone = joined(lines.drop("halves"), several, ["h1", "h2"], "inner").filter(F.col("near") | (here != F.col("first")))
     return gone.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_set("pos")).alias("removed"),
