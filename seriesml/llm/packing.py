@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from seriesml.llm.common import documents, joined, slices
-from seriesml.llm.tokens import encoder
+from seriesml.llm.tokens import CACHED_WORDS, encoder
 from seriesml.session import materialise
 
 #: Numbers within one length are counted in so many parts, or more when there are more than PART_ROWS pieces in each.
@@ -85,9 +85,9 @@ def plan_packing(counts: dict[int, int], limits: Limits = Limits()) -> pd.DataFr
     return pd.DataFrame(rows, columns=["length", "rank_from", "rank_to", "each", "sequence", "offset"]).astype("int64")
 
 
-def _cut(path: str, end_id: int, size: int):
+def _cut(path: str, end_id: int, size: int, cached: int, forget: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(path), np.array([end_id], dtype="<u4").tobytes()
+        enc, end = encoder(path, cached), np.array([end_id], dtype="<u4").tobytes()
         for batch in slices(batches, 1):
             row, piece, start, part = [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
@@ -102,18 +102,22 @@ def _cut(path: str, end_id: int, size: int):
                 [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                  pa.array([len(p) // 4 for p in part], pa.int64()), pa.array(part, pa.binary())],
                 names=["doc_id", "piece", "start", "length", "ids"])
+        if forget:
+            enc.forget()
+            pa.default_memory_pool().release_unused()
     return run
 
 
-def encode_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int = 2048) -> DataFrame:
+def encode_pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int = 2048, cached: int = CACHED_WORDS, forget: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids (little-endian unsigned 32-bit integers) of every whole text with its end id.
 
     Texts of more than `size` ids are cut; only the last piece may be shorter. A NULL text is the end id alone. Rows with
-    the same id are cut apart from each other; an empty table gives none.
+    the same id are cut apart from each other; an empty table gives none. Python workers remember `cached` words, from task
+    to task unless `forget` is set: workers live on, and their memory would stay taken in whatever they do next.
     """
     df = documents(docs)
     kind = dict(df.dtypes)["doc_id"]
-    return df.mapInArrow(_cut(tokenizer, end_id, size), f"doc_id {kind}, piece int, start long, length long, ids binary")
+    return df.mapInArrow(_cut(tokenizer, end_id, size, cached, forget), f"doc_id {kind}, piece int, start long, length long, ids binary")
 
 
 def _placed(plan: pd.DataFrame):
@@ -171,8 +175,8 @@ def sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:
         "sequence_id", "n_tokens", F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["ids"])).alias("ids"))
 
 
-def packed_documents(docs: DataFrame, tokenizer: str, end_id: int, limits: Limits = Limits()) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of `docs`."""
-    pieces = encode_pieces(docs, tokenizer, end_id, limits.tokens)
+def packed_documents(docs: DataFrame, tokenizer: str, end_id: int, limits: Limits = Limits(), cached: int = CACHED_WORDS, forget: bool = False) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of `docs`; `cached` and `forget` as in encode_pieces."""
+    pieces = encode_pieces(docs, tokenizer, end_id, limits.tokens, cached, forget)
     narrow = materialise(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
     return pack(narrow, limits)

@@ -66,6 +66,11 @@ class Encoder:
             return self._asked(text)
         return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
+    def forget(self) -> None:
+        """Empties the memory, for a worker that goes on to other work."""
+        self.words.clear()
+        self.pieces.clear()
+
     def trim(self) -> None:
         """To be called between batches: bounds the memory."""
         for memory in (self.words, self.pieces):

@@ -1,5 +1,8 @@
 """What the text operators shuffle, write and keep."""
 
+import gc
+
+import pyarrow as pa
 from conftest import prose
 
 from seriesml.llm import line_dedup
@@ -19,3 +22,17 @@ def test_only_lines_whose_variants_repeat_are_shuffled(make, rng, monkeypatch):
     got = {r["doc_id"]: r["removed"] for r in line_dedup.repeated_lines(make(rows)).collect()}
     assert got == {41: [0], 42: [0]}
     assert sum(written["variants"]) > 600 and 0 < sum(written["met-variants"]) < 10
+
+
+def test_workers_of_the_pipeline_forget_packed_words(spark, make, rng, tokenizer_path):
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    @F.arrow_udf("long")
+    def kept(a: pa.Array) -> pa.Array:
+        held = [len(x.words) + len(x.pieces) for x in gc.get_objects() if type(x).__name__ == "Encoder" and hasattr(x, "pieces")]
+        return pa.array([sum(held)] * len(a), pa.int64())
+    docs = make([(i, prose(rng, 60)) for i in range(20)]).repartition(8)
+    corpus_pipeline.pack_sequences(spark, docs, "").collect()
+    after = spark.range(64).repartition(8).select(F.max(kept("id"))).first()[0]
+    assert after == 0
