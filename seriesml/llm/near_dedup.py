@@ -205,31 +205,33 @@ def neighbours(members: DataFrame) -> DataFrame:
 
 
 def classes(links: DataFrame) -> DataFrame:
-    """key, root of every document with a link: the smallest key that it reaches over `links` (a, b).
+    """key, root of every document with a link: the smallest key that it reaches over `links` (a, b; written already).
 
     Each round every document takes the smallest root among its neighbours' and its root's, and roots are followed to
-    their own roots, so the number of rounds grows with the logarithm of the longest chain. Each round is a written table.
+    their own roots, so the number of rounds grows with the logarithm of the longest chain. Rounds end when the two ends of
+    every link have the same root. Each round is one shuffle while the roots are few enough to broadcast.
     """
-    both = materialise(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     roots = materialise(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "key"), "roots")
+    n = roots.count()
     while True:
-        near = both.join(roots.select(F.col("key").alias("b"), "root"), "b").select(F.col("a").alias("key"), "root")
+        of = lambda c, r: roots.select(F.col("key").alias(c), F.col("root").alias(r))
+        near = joined(both, of("b", "root"), ["b"], "inner", n).select(F.col("a").alias("key"), "root")
+        if joined(near, of("key", "own"), ["key"], "inner", n).filter("root <> own").isEmpty():
+            return roots
         # What a document has found is told to its root as well (hooking), and its root's root is taken over (shortcut).
-        offered = near.join(roots.select("key", F.col("root").alias("old")), "key").filter("root < old").select(F.col("old").alias("key"), "root")
-        best = roots.unionByName(near).unionByName(offered).groupBy("key").agg(F.min("root").alias("root"))
+        offered = joined(near, of("key", "old"), ["key"], "inner", n).filter("root < old").select(F.col("old").alias("key"), "root")
+        best = materialise(roots.unionByName(near).unionByName(offered).groupBy("key").agg(F.min("root").alias("root")), "roots")
         up = best.select(F.col("key").alias("root"), F.col("root").alias("above"))
-        after = materialise(best.join(up, "root", "left").select("key", F.least("root", F.coalesce("above", "root")).alias("root")), "roots")
-        if after.join(roots.select("key", F.col("root").alias("old")), "key").filter("root <> old").isEmpty():
-            return after
-        roots = after
+        roots = materialise(joined(best, up, ["root"], "left", n).select("key", F.least("root", F.coalesce("above", "root")).alias("root")), "roots")
 
 
 def still_apart(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """key, band, hash, root of the members of bands that hold two classes or more."""
-    placed = members.select("key", "band", "hash").join(roots, "key")
-    several = placed.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    several = materialise(several.select("band", "hash"), "open")
-    return materialise(joined(placed, several, ["band", "hash"], "left_semi"), "apart")
+    """key, band, hash, root of the members of bands that hold two classes or more, and the number of blocks of the band."""
+    placed = joined(members.select("key", "band", "hash"), roots, ["key"], "inner")
+    several = placed.groupBy("band", "hash").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    several = materialise(several.filter("low < high").select("band", "hash", "blocks"), "open")
+    return materialise(joined(placed, several, ["band", "hash"], "inner"), "apart")
 
 
 def _meet(size: int, similarity: float):
@@ -288,17 +290,15 @@ def _meet(size: int, similarity: float):
 
 
 def meetings(apart: DataFrame, signed: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Links (a, b) that join the classes of every open band. `apart` has key, band, hash, root of the members of open bands.
+    """Links (a, b) that join the classes of every open band. `apart` is what still_apart returns.
 
     A band of many members is cut into blocks by a hash of the key; each member goes to the meetings of its block, so a task
     holds two blocks of texts and a band of n members takes (n / BLOCK) squared of them. What comes out has fewer rows than
     each meeting has members.
     """
-    per = apart.groupBy("band", "hash").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    per = materialise(per, "blocks")
     asked = apart.select("key").distinct()
     told = signed.select("key", "signature").join(asked, "key", "left_semi").join(texts, "key")
-    placed = joined(apart, per, ["band", "hash"], "inner").withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
+    placed = apart.withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
         {"low": F.least("block", "other"), "high": F.greatest("block", "other")})
     rows = spread.select("band", "hash", "low", "high", "block", "key", "root").join(told, "key")
@@ -321,9 +321,9 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SI
     said = F.array_join(F.array_remove(F.split(F.lower("text"), BLANKS), ""), " ")
     rows = materialise(df.select(row_key().alias("key"), "doc_id", F.xxhash64(said).alias("w1"), F.xxhash64(said, F.lit(1)).alias("w2"),
                                  (said != "").alias("full")), "rows")
-    same = rows.filter("full").groupBy("w1", "w2").agg(F.min("key").alias("rep"))
+    same = rows.filter("full").groupBy("w1", "w2").agg(F.min("key").alias("rep"), F.max("key").alias("last")).filter("rep < last")
     rep = materialise(same.select("w1", "w2", "rep"), "texts")
-    several = rows.filter("full").join(rep, ["w1", "w2"]).select("key", "rep")
+    several = joined(rows.filter("full"), rep, ["w1", "w2"], "inner").select("key", "rep")
     copies = materialise(several.filter("key <> rep").distinct(), "copies")
     chosen = joined(df.withColumn("key", row_key()), copies.select("key").distinct(), ["key"], "left_anti").select("key", "text")
     signed = materialise(chosen.mapInArrow(_signed(size), "key long, bands array<long>, orders array<long>, signature binary"), "bands")
@@ -333,42 +333,50 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: float = SI
     busy = materialise(busy, "busy")
     members = materialise(joined(banded, busy, ["band", "hash"], "inner").select("key", "band", "hash", "turn", "first"), "members")
     star = members.filter("key <> first").select(F.col("first").alias("a"), F.col("key").alias("b"))
-    wanted = materialise(members.select("key").distinct(), "wanted")
+    tried = materialise(star.distinct(), "pairs")
+
+    def ends_of(pairs: DataFrame) -> DataFrame:
+        """key of every document in a pair, and whether it is an a or a b."""
+        ends = pairs.select(F.explode(F.array(*[F.struct(F.col(c).alias("key"), *[F.lit(c == x).alias(f"is_{x}") for x in "ab"]) for c in "ab"])).alias("end"))
+        return materialise(ends.select("end.*").groupBy("key").agg(F.max("is_a").alias("is_a"), F.max("is_b").alias("is_b")), "ends")
+    ends = ends_of(tried)  # every member of a busy band is in a pair with its first
+    wanted = ends.select("key")
     texts = joined(df.withColumn("key", row_key()), wanted, ["key"], "left_semi").dropDuplicates(["key"])
     texts = materialise(texts.select("key", "text"), "candidates")
 
-    def links(pairs: DataFrame) -> DataFrame:
-        """The pairs (a written table) that are similar; only texts in a pair are shuffled."""
+    def links(pairs: DataFrame, ends: DataFrame) -> DataFrame:
+        """The pairs (a written table, with their ends) that are similar; only texts in a pair are shuffled."""
+        n = ends.count()
+
         def said_by(c):
-            ends = materialise(pairs.select(F.col(c).alias("key")).distinct(), "ends")
-            return joined(texts, ends, ["key"], "left_semi").select(F.col("key").alias(c), F.col("text").alias(f"text_{c}"))
+            asked = joined(texts, ends.filter(f"is_{c}").select("key"), ["key"], "left_semi", n)
+            return asked.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}"))
         both = pairs.join(said_by("b"), "b").join(said_by("a"), "a").select("a", "b", "text_a", "text_b")
         return materialise(both.mapInArrow(_verified(size, similarity), "a long, b long"), "links")
 
     def merged(roots: DataFrame, found: DataFrame) -> DataFrame:
         """The roots after further links between classes."""
         of = lambda c: roots.select(F.col("key").alias(c), F.col("root").alias(f"root_{c}"))
-        between = found.join(of("a"), "a").join(of("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        between = joined(joined(found, of("a"), ["a"], "inner"), of("b"), ["b"], "inner").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
         between = materialise(between.filter("a <> b"), "between")
         if between.isEmpty():
             return roots
         above = classes(between).select(F.col("key").alias("root"), F.col("root").alias("above"))
         return materialise(joined(roots, above, ["root"], "left").select("key", F.coalesce("above", "root").alias("root")), "roots")
 
-    tried = materialise(star.distinct(), "pairs")
-    found = links(tried)
+    found = links(tried, ends)
     roots = materialise(joined(wanted, classes(found), ["key"], "left").select("key", F.coalesce("root", "key").alias("root")), "roots")
     of = lambda c: roots.select(F.col("key").alias(c), F.col("root").alias(f"root_{c}"))
-    chain = neighbours(members).join(of("a"), "a").join(of("b"), "b").filter("root_a <> root_b").select("a", "b")
-    pairs = materialise(chain.join(tried, ["a", "b"], "left_anti"), "pairs")
+    chain = joined(joined(neighbours(members), of("a"), ["a"], "inner"), of("b"), ["b"], "inner").filter("root_a <> root_b").select("a", "b")
+    pairs = materialise(joined(chain, tried, ["a", "b"], "left_anti"), "pairs")
     if not pairs.isEmpty():
-        roots = merged(roots, links(pairs))
+        roots = merged(roots, links(pairs, ends_of(pairs)))
     apart = still_apart(members, roots)
     if not apart.isEmpty():
         roots = merged(roots, materialise(meetings(apart, signed, texts, size, similarity), "links"))
-    of_copies = copies.join(roots.withColumnRenamed("key", "rep"), "rep", "left").select("key", F.coalesce("root", "rep").alias("root"))
-    roots = roots.unionByName(of_copies)
-    placed = rows.select("key", "doc_id").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    of_copies = joined(copies, roots.withColumnRenamed("key", "rep"), ["rep"], "left").select("key", F.coalesce("root", "rep").alias("root"))
+    roots = materialise(roots.unionByName(of_copies), "roots")
+    placed = joined(rows.select("key", "doc_id"), roots, ["key"], "left").withColumn("root", F.coalesce("root", "key"))
     first = placed.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("first"), F.count("*").alias("n_class"))
     return placed.join(first, "root").select("key", "doc_id", F.col("first.key").alias("class_key"), F.col("first.doc_id").alias("class_id"), "n_class")
 

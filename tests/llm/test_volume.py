@@ -5,7 +5,7 @@ import gc
 import pyarrow as pa
 from conftest import prose
 
-from seriesml.llm import line_dedup
+from seriesml.llm import line_dedup, near_dedup
 
 
 def test_only_lines_whose_variants_repeat_are_shuffled(make, rng, monkeypatch):
@@ -36,3 +36,12 @@ def test_workers_of_the_pipeline_forget_packed_words(spark, make, rng, tokenizer
     corpus_pipeline.pack_sequences(spark, docs, "").collect()
     after = spark.range(64).repartition(8).select(F.max(kept("id"))).first()[0]
     assert after == 0
+
+
+def test_settled_classes_take_no_further_round(spark, monkeypatch):
+    written, through = [], near_dedup.materialise
+    monkeypatch.setattr(near_dedup, "materialise", lambda df, name="table": written.append(name) or through(df, name))
+    links = through(spark.range(1, 40).selectExpr("id % 3 AS a", "id + 10 AS b"))
+    got = {r["key"]: r["root"] for r in near_dedup.classes(links).collect()}
+    assert got == {i + 10: i % 3 for i in range(1, 40)} | {0: 0, 1: 1, 2: 2}
+    assert written == ["roots"]
