@@ -7,13 +7,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesml.llm.common import documents
+from seriesml.llm.common import documents, slices
 from seriesml.session import materialise
 
 _TERM = re.compile(r"\w+")
@@ -21,6 +20,8 @@ _TERM = re.compile(r"\w+")
 TERM_BITS = 40
 #: The most terms with weights, and the smallest likelihood ratio of a term between its presence and the label.
 MAX_TERMS, LEAST_RATIO = 512, 16.0
+#: Terms whose places a Python worker keeps.
+KEPT_TERMS = 200_000
 
 
 def term_bucket(term: str) -> int:
@@ -112,7 +113,7 @@ def _places(buckets: np.ndarray, found: np.ndarray) -> np.ndarray:
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, 0):
         found = [[term_bucket(t) for t in terms(x)] for x in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64())), batch.column(1)], names=["buckets", "label"])
 
@@ -174,12 +175,15 @@ class _Places(dict):
 
 def toxicity_score(text: F.Column, model: FactorizationMachine) -> F.Column:
     """Probability of label 1 for a text of any length; a NULL text scores as an empty one, by the bias alone."""
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         place = _Places(model.buckets)
         for texts in batches:
-            present = [np.unique(np.array([p for p in map(place.__getitem__, terms(t)) if p >= 0], dtype=np.int64)) for t in texts]
-            if len(place) > 300_000:
-                place.clear()
-            yield pd.Series(probabilities(model.margins(present)))
+            present = []
+            for text in texts:  # one text at a time as a Python string
+                found = np.array([p for p in map(place.__getitem__, terms(text.as_py())) if p >= 0], dtype=np.int64)
+                present.append(np.unique(found))
+                if len(place) > KEPT_TERMS:
+                    place.clear()
+            yield pa.array(probabilities(model.margins(present)), pa.float64())
     return score(F.coalesce(text.cast("string"), F.lit("")))

@@ -5,7 +5,8 @@ import gc
 import pyarrow as pa
 from conftest import prose
 
-from seriesml.llm import line_dedup, near_dedup
+from seriesml.llm import line_dedup, near_dedup, toxicity
+from seriesml.llm.common import SLICE_BYTES
 
 
 def test_only_lines_whose_variants_repeat_are_shuffled(make, rng, monkeypatch):
@@ -45,3 +46,12 @@ def test_settled_classes_take_no_further_round(spark, monkeypatch):
     got = {r["key"]: r["root"] for r in near_dedup.classes(links).collect()}
     assert got == {i + 10: i % 3 for i in range(1, 40)} | {0: 0, 1: 1, 2: 2}
     assert written == ["roots"]
+
+
+def test_terms_are_hashed_a_slice_of_text_at_a_time():
+    texts = ["word " * (SLICE_BYTES // 10)] * 6 + ["", "last"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([1] * 8, pa.int32())], names=["text", "label"])
+    got = list(toxicity._hashed(iter([batch])))
+    assert len(got) >= 3 and sum(b.num_rows for b in got) == 8
+    one = toxicity.term_bucket("word")
+    assert [x for b in got for x in b.column(0).to_pylist()] == [[one]] * 6 + [[], [toxicity.term_bucket("last")]]
