@@ -25,6 +25,8 @@ FREQUENT, CELLS = VOCABULARY // 2, 128
 BUCKETS = VOCABULARY - FREQUENT
 #: Neighbours on each side, width of the network, tokens in a step.
 REACH, WIDTH, STEP = 2, 8, 8192
+#: Tokens whose scores are held at a time (0.4 MB), within the cache of a core; the results do not depend on it but for rounding.
+HELD = 1024
 #: The place outside a document (context only).
 OUTSIDE = VOCABULARY
 #: Words whose numbers a Python worker keeps.
@@ -76,15 +78,21 @@ def contexts(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _hidden(net: Network, around: np.ndarray) -> np.ndarray:
-    h = np.tanh(sum(net.embeddings[k][around[k]] for k in range(2 * REACH)) + net.bias)
-    return np.hstack([h, np.ones((len(h), 1), dtype=h.dtype)])
+    h = np.empty((around.shape[1], WIDTH + 1), dtype=net.bias.dtype)
+    total = net.embeddings[0].take(around[0], axis=0)
+    for k in range(1, 2 * REACH):
+        total += net.embeddings[k].take(around[k], axis=0)
+    total += net.bias
+    np.tanh(total, out=h[:, :-1])
+    h[:, -1] = 1
+    return h
 
 
 def _scores(net: Network, h: np.ndarray, digits: np.ndarray) -> np.ndarray:
     """(n, DIGITS, SIDE) scores, within the range of exp(); what earlier digits say of later ones is added."""
     x = h @ net.outputs
     for d in range(DIGITS - 1):
-        x[:, (d + 1) * SIDE:] += net.given[d][:, (d + 1) * SIDE:][digits[d]]
+        x[:, (d + 1) * SIDE:] += net.given[d][:, (d + 1) * SIDE:].take(digits[d], axis=0)
     x = x.reshape(len(h), DIGITS, SIDE)
     if max(x.max(initial=0), -x.min(initial=0)) > 60:
         x -= x.max(axis=2, keepdims=True)
@@ -94,35 +102,42 @@ def _scores(net: Network, h: np.ndarray, digits: np.ndarray) -> np.ndarray:
 def log_probabilities(net: Network, ids: np.ndarray, around: np.ndarray) -> np.ndarray:
     """log P(token | both sides) of each token."""
     out = np.empty(len(ids))
-    for a in range(0, len(ids), STEP):
-        b = min(a + STEP, len(ids))
+    ones = np.ones(SIDE, dtype=net.bias.dtype)
+    for a in range(0, len(ids), HELD):
+        b = min(a + HELD, len(ids))
         digits = digits_of(ids[a:b])
         x = _scores(net, _hidden(net, around[:, a:b]), digits)
         chosen = np.take_along_axis(x, digits.T[:, :, None], axis=2)[:, :, 0]
-        out[a:b] = (chosen - np.log(np.exp(x).sum(axis=2))).sum(axis=1)
+        out[a:b] = (chosen - np.log(np.exp(x, out=x) @ ones)).sum(axis=1)
     return out
 
 
 def train(net: Network, ids: np.ndarray, around: np.ndarray, squares: list[np.ndarray], rate: float = 0.15) -> None:
     """One pass over the tokens in place, in steps with AdaGrad; `squares` are the sums kept between calls. Of the embeddings only
     those of the step's tokens are touched."""
+    ones = np.ones(SIDE, dtype=net.bias.dtype)
     for a in range(0, len(ids), STEP):
         b = min(a + STEP, len(ids))
         near, n = around[:, a:b], b - a
-        digits = digits_of(ids[a:b])
-        h = _hidden(net, near)
-        x = np.exp(_scores(net, h, digits))
-        x *= (1 / (n * x.sum(axis=2, keepdims=True)))
-        rows, dx = np.arange(n), x.reshape(n, DIGITS * SIDE)
-        for d in range(DIGITS):
-            dx[rows, d * SIDE + digits[d]] -= x.dtype.type(1 / n)
-        dh = (dx @ net.outputs.T)[:, :-1] * (1 - h[:, :-1] ** 2)
-        given = np.zeros_like(net.given)
-        for d in range(DIGITS - 1):
-            hot = np.zeros((n, SIDE), dtype=x.dtype)
-            hot[rows, digits[d]] = 1
-            given[d][:, (d + 1) * SIDE:] = hot.T @ dx[:, (d + 1) * SIDE:]
-        for p, g, s in zip(net.parts()[1:], (dh.sum(axis=0), h.T @ dx, given), squares[1:]):
+        all_digits = digits_of(ids[a:b])
+        dh = np.empty((n, WIDTH), dtype=net.bias.dtype)
+        outputs, given = np.zeros_like(net.outputs), np.zeros_like(net.given)
+        for c in range(0, n, HELD):
+            digits = all_digits[:, c:c + HELD]
+            h = _hidden(net, near[:, c:c + HELD])
+            x = _scores(net, h, digits)
+            np.exp(x, out=x)
+            x *= (1 / (n * (x @ ones)))[:, :, None]
+            rows, dx = np.arange(len(h)), x.reshape(len(h), DIGITS * SIDE)
+            for d in range(DIGITS):
+                dx[rows, d * SIDE + digits[d]] -= x.dtype.type(1 / n)
+            dh[c:c + HELD] = (dx @ net.outputs.T)[:, :-1] * (1 - h[:, :-1] ** 2)
+            outputs += h.T @ dx
+            for d in range(DIGITS - 1):
+                hot = np.zeros((len(h), SIDE), dtype=x.dtype)
+                hot[rows, digits[d]] = 1
+                given[d][:, (d + 1) * SIDE:] += hot.T @ dx[:, (d + 1) * SIDE:]
+        for p, g, s in zip(net.parts()[1:], (dh.sum(axis=0), outputs, given), squares[1:]):
             s += g * g
             p -= rate * g / np.sqrt(s + 1e-30)
         for k in range(2 * REACH):

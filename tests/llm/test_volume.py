@@ -2,10 +2,11 @@
 
 import gc
 
+import numpy as np
 import pyarrow as pa
 from conftest import prose
 
-from seriesml.llm import line_dedup, near_dedup, toxicity
+from seriesml.llm import line_dedup, lm_scoring, near_dedup, toxicity
 from seriesml.llm.common import SLICE_BYTES
 
 
@@ -55,3 +56,16 @@ def test_terms_are_hashed_a_slice_of_text_at_a_time():
     assert len(got) >= 3 and sum(b.num_rows for b in got) == 8
     one = toxicity.term_bucket("word")
     assert [x for b in got for x in b.column(0).to_pylist()] == [[one]] * 6 + [[], [toxicity.term_bucket("last")]]
+
+
+def test_scores_do_not_depend_on_the_tokens_held(monkeypatch):
+    rng = np.random.default_rng(3)
+    sizes = np.array([700, 0, 1, 2300])
+    ids = rng.integers(0, 500, sizes.sum()).astype("<u2")
+    around, logs = lm_scoring.contexts(ids, sizes), []
+    for held in (1024, 37):
+        monkeypatch.setattr(lm_scoring, "HELD", held)
+        net = lm_scoring.Network.start()
+        lm_scoring.train(net, ids, around, [np.full(p.shape, 1e-6, dtype=np.float32) for p in net.parts()])
+        logs.append(lm_scoring.log_probabilities(net, ids, around))
+    assert np.allclose(logs[0], logs[1], atol=1e-4) and logs[0].mean() > -10.3
