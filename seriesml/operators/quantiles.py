@@ -8,6 +8,7 @@ only those are sorted. All columns and quantiles share each pass.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -107,15 +108,20 @@ def _narrow(df: DataFrame, wide: dict[Range, list[Rank]], ranks: dict[Rank, Rang
     cuts = [sorted(set(row[str(i)])) for i in range(len(spans))]
     # Zone 2j lies below cut j, zone 2j + 1 is the cut itself. A search in the sorted edges finds the zone of a value.
     values = df.select(*[F.when(_inside(r), F.col(r[0]).cast("double")).alias(f"v{i}") for i, r in enumerate(spans)])
-    edges = [[-math.inf, *[e for c in cut for e in (c, math.nextafter(c, math.inf))], math.inf] for cut in cuts]
+    # Cuts may be neighbouring numbers, or infinite; each edge stands once, and infinite values have buckets of their own.
+    edges = [sorted({-math.inf, math.inf, *[e for c in cut for e in (c, math.nextafter(c, math.inf))]}) for cut in cuts]
     names = [f"z{i}" for i in range(len(spans))]
     zoned = Bucketizer(splitsArray=edges, inputCols=[f"v{i}" for i in range(len(spans))], outputCols=names,
                        handleInvalid="keep").transform(values)
-    cells = F.array(*[F.struct(F.lit(i).alias("span"), F.when(F.col(f"v{i}").isNotNull(), F.col(n)).cast("int").alias("zone"))
-                      for i, n in enumerate(names)])
-    counted = zoned.select(F.inline(cells)).filter(F.col("zone").isNotNull()).groupBy("span", "zone").agg(
+    cells = F.array(*[F.struct(F.lit(i).alias("span"), F.when(F.col(f"v{i}") == math.inf, F.lit(len(edges[i]))).when(F.col(f"v{i}") == -math.inf, F.lit(-1))
+                               .when(F.col(f"v{i}").isNotNull(), F.col(n)).cast("int").alias("bucket")) for i, n in enumerate(names)])
+    counted = zoned.select(F.inline(cells)).filter(F.col("bucket").isNotNull()).groupBy("span", "bucket").agg(
         F.count(F.lit(1)).alias("n"))
-    rows = {(c["span"], c["zone"]): c["n"] for c in counted.collect()}
+    rows: dict[tuple[int, int], int] = defaultdict(int)
+    for c in counted.collect():
+        edge, cut = [*edges[c["span"]][:-1], math.nan, math.inf, -math.inf][c["bucket"]], cuts[c["span"]]
+        if edge == edge:  # NaN has the bucket after the last
+            rows[c["span"], 2 * bisect_left(cut, edge) + (edge in cut)] += c["n"]
     for i, r in enumerate(spans):
         c, lo, hi, below, _ = r
         for zone in range(2 * len(cuts[i]) + 1):

@@ -137,6 +137,19 @@ def test_quantiles(spark, values):
         assert np.allclose(got["y"], np.quantile(-x, shares), rtol=1e-12, atol=1e-12)
 
 
+def test_quantiles_of_numbers_side_by_side(spark):
+    low = 0.02
+    x = np.repeat([low, np.nextafter(low, 1), np.nextafter(np.nextafter(low, 1), 1), 0.03], [30, 40, 25, 5])
+    df = spark.createDataFrame(pd.DataFrame({"x": x})).repartition(3)
+    shares = [0.0, 0.29, 0.3, 0.5, 0.69, 0.7, 0.9, 1.0]
+    assert np.array_equal(exact_quantiles(df, ["x"], shares, 10, 5)["x"], exact_quantiles(df, ["x"], shares)["x"])
+    ends = np.repeat([-np.inf, 1.0, np.inf], 30)
+    got = exact_quantiles(spark.createDataFrame(pd.DataFrame({"x": ends})).repartition(3), ["x"], [0.0, 0.1, 0.5, 0.9, 1.0], 10, 5)
+    assert got["x"] == [-np.inf, -np.inf, 1.0, np.inf, np.inf]
+    away = profile.numeric_summary(spark.createDataFrame(pd.DataFrame({"x": np.tile([0.03, 0.05, 0.07, 0.1], 50)})), ["x"], 10).first()
+    assert abs(away["mad"] - 0.02) < 1e-12
+
+
 ORDERS = {
     "text": ("concat('k', lpad(cast(t as string), 6, '0'), 'é')", "s"),
     "milliseconds": ("timestampadd(MILLISECOND, t, timestamp_ntz'2024-02-29 23:59:59.5')", "t % 5"),
