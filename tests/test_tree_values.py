@@ -85,6 +85,20 @@ def test_draws_take_one_scan(spark, table, tmp_path):
     assert plan.count("FileScan") == 1 and "Exchange" not in plan
 
 
+def test_hashes_of_all_draws_at_once(spark):
+    texts = [None, "", "7", "äöü", *["x" * n for n in (48, 51, 52, 53, 54, 55, 56, 63, 64, 120, 130)], *[str(i) for i in range(95, 105)]]
+    df = spark.createDataFrame([(t, i % 3 or None) for i, t in enumerate(texts)], "a string, b int").coalesce(1)
+    for ids in (["a"], ["a", "b"]):
+        got = df.select(resampling.id_text(ids).alias("t"), F.transform(F.sequence(F.lit(0), F.lit(104)), lambda d: resampling.times(ids, d, 11)).alias("w")).toArrow()
+        assert np.array_equal(resampling.all_times(got["t"].combine_chunks(), 105, 11), np.array(got["w"].to_pylist()))
+
+
+def test_draws_are_dealt_over_all_tasks(spark, table):
+    n = 4 * spark.sparkContext.defaultParallelism
+    got = learners.bootstrap_draws(table.coalesce(1), table.coalesce(1), ["id"], "linearregression", REGRESSION, 3)
+    assert got.rdd.getNumPartitions() >= n
+
+
 def test_draws_of_degenerate_tables(spark, table):
     twins = learners.with_vector(table.withColumn("b", F.col("a")).drop("features"), ["a", "b"])
     got = resampling.bootstrap_linear(twins, ["id"], 5)
