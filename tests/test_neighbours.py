@@ -64,3 +64,36 @@ def test_small_cells_look_beyond_themselves(spark):
     q = rng.normal(size=(20, 2)) + 50
     model = neighbours.fit_neighbours(table(spark, x), "id", "x", "label", 6, 20)
     assert rows(neighbours.neighbours(model, table(spark, q), "id", "x")) == by_hand(x, q, 6)
+
+
+def test_vectors_are_not_written_for_each_cell(spark, monkeypatch):
+    """In many dimensions every query has to look at nearly every cell."""
+    x = np.random.default_rng(9).normal(size=(1500, 24))
+    df, written = table(spark, x), []
+
+    def counted(made, name, plain=neighbours.materialise):
+        out = plain(made, name)
+        written.append(out.count() if "_x" in out.columns else 0)
+        return out
+    monkeypatch.setattr(neighbours, "materialise", counted)
+    got = neighbours.neighbours(neighbours.fit_neighbours(df, "id", "x", "label", 3, block=100), df, "id", "x")
+    assert rows(got) == by_hand(x, x, 3)
+    assert sum(written) <= 3 * len(x)
+
+
+def test_names_as_ids_over_many_parts(spark):
+    """Ids that sort as text, labels with gaps, single precision, equal distances in other cells, a query that comes twice."""
+    x = np.concatenate([np.repeat(np.arange(12.0), 10)[:, None] * [1, 0], np.repeat(np.arange(12.0), 10)[:, None] * [1, 0] + [0, 1]])
+    names = [f"n{i}" for i in range(len(x))]
+    df = spark.createDataFrame([(n, v.tolist(), i if i % 7 else None) for i, (n, v) in enumerate(zip(names, x))], "id string, x array<float>, label int")
+    q = [[3.5, 0.5], [3.5, 0.5], [0.0, 0.0], [20.0, 20.0]]
+    asked = spark.createDataFrame([(f"q{i // 2 if i < 2 else i}", v) for i, v in enumerate(q)], "id string, x array<double>")
+    model = neighbours.fit_neighbours(df, "id", "x", "label", 25, 20, 5)
+    got = [(r["id"], r["neighbour"], r["label"]) for r in neighbours.neighbours(model, asked, "id", "x").orderBy("id", "rank").collect()]
+
+    def near(v):
+        d = np.sqrt(((x - v) ** 2).sum(1))
+        best = sorted(range(len(x)), key=lambda j: (d[j], names[j]))
+        return [(names[j], j if j % 7 else None) for j in best[:25]]
+    assert [g[1:] for g in got if g[0] == "q2"] == near(q[2]) and [g[1:] for g in got if g[0] == "q3"] == near(q[3])
+    assert [g[1:] for g in got if g[0] == "q0"] == [n for n in near(q[0])[:13] for _ in range(2)][:25]
